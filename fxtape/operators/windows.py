@@ -35,15 +35,26 @@ PEER_KEYS = ["minute_utc", "ingestion_mode", "record_type"]
 WIDE_UNIVERSE = 20_000
 
 
+def with_bar_epoch(df: DataFrame) -> DataFrame:
+    """Add the bar start in unix seconds, once.
+
+    Every session window orders by this one column. Ordering by an expression instead would give
+    each window a column and a sort of its own.
+    """
+    if "bar_epoch" in df.columns:
+        return df
+    return df.withColumn("bar_epoch", epoch(F.col("minute_utc")))
+
+
 def session_window() -> WindowSpec:
     """The one window specification of a trading session, ordered by bar."""
-    return W.partitionBy(*SESSION_KEYS).orderBy(epoch(F.col("minute_utc")))
+    return W.partitionBy(*SESSION_KEYS).orderBy("bar_epoch")
 
 
 def with_previous(df: DataFrame) -> DataFrame:
     """Bar, price, rate and value of the previous observation in the session."""
     w = session_window()
-    return df.withColumns(
+    return with_bar_epoch(df).withColumns(
         {
             "previous_minute": F.lag("minute_utc").over(w),
             "previous_price": F.lag("price_usd").over(w),
@@ -80,7 +91,7 @@ def contributions(df: DataFrame, step_seconds: int = 60) -> DataFrame:
 def rolling_baseline(df: DataFrame, from_s: int = 1800, to_s: int = 60) -> DataFrame:
     """Count, mean and sample deviation of the returns between ``from_s`` and ``to_s`` ago."""
     history = session_window().rangeBetween(-from_s, -to_s)
-    return df.withColumns(
+    return with_bar_epoch(df).withColumns(
         {
             "baseline_count": F.count("asset_return").over(history),
             "baseline_mean": F.avg("asset_return").over(history),
@@ -114,7 +125,7 @@ def moving_average(seconds: int) -> Column:
 def moving_averages(df: DataFrame, rules: MarketRules) -> DataFrame:
     """Short and long average, and the number of rows in the long window."""
     long_window = session_window().rangeBetween(-rules.long_seconds, W.currentRow)
-    return df.withColumns(
+    return with_bar_epoch(df).withColumns(
         {
             "moving_average_short": moving_average(rules.short_seconds),
             "moving_average_long": moving_average(rules.long_seconds),
@@ -126,7 +137,7 @@ def moving_averages(df: DataFrame, rules: MarketRules) -> DataFrame:
 def session_first(df: DataFrame) -> DataFrame:
     """Price and bar with which the session of a symbol began."""
     so_far = session_window().rowsBetween(W.unboundedPreceding, W.currentRow)
-    return df.withColumns(
+    return with_bar_epoch(df).withColumns(
         {
             "session_first_price": F.first("price_usd").over(so_far),
             "session_first_minute": F.first("minute_utc").over(so_far),
@@ -137,7 +148,7 @@ def session_first(df: DataFrame) -> DataFrame:
 def with_previous_features(df: DataFrame) -> DataFrame:
     """Averages and count of the previous observation, and the return since the session began."""
     w = session_window()
-    return df.withColumns(
+    return with_bar_epoch(df).withColumns(
         {
             "previous_short_ma": F.lag("moving_average_short").over(w),
             "previous_long_ma": F.lag("moving_average_long").over(w),
@@ -208,11 +219,12 @@ def peer_comparison(df: DataFrame, universe_size: int, wide: bool | None = None)
     """Peer statistics, rank and comparison columns of every bar.
 
     A bar holds one row per symbol. Up to ``WIDE_UNIVERSE`` symbols one window exchange by bar
-    serves all of it; larger universes aggregate first.
+    serves all of it, with the rank first so that its sort serves the statistics too; larger
+    universes aggregate first.
     """
     if wide is None:
         wide = universe_size > WIDE_UNIVERSE
-    peers = _wide_peers(df, universe_size) if wide else peer_rank(peer_window(df))
+    peers = _wide_peers(df, universe_size) if wide else peer_window(peer_rank(df))
     return peer_columns(peers, universe_size)
 
 

@@ -59,7 +59,7 @@ def features(risks: DataFrame, rules: MarketRules) -> DataFrame:
 
 def monitoring(feature_rows: DataFrame, rules: MarketRules) -> DataFrame:
     """Signals, statuses and peer comparison."""
-    signals = windows.signal_columns(feature_rows, rules)
+    signals = windows.signal_columns(feature_rows, rules).drop("bar_epoch")
     return windows.peer_comparison(signals, rules.universe_size)
 
 
