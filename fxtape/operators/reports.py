@@ -130,7 +130,7 @@ def selection_summary(mart: DataFrame, by: Sequence[str] = SELECTION) -> DataFra
     """Last price and value, observations, missing rates, review and insufficient counts, signals."""
     return mart.groupBy(*by).agg(
         _last(F.col("price_usd")).alias("last_price_usd"),
-        _last(F.struct("exposure_idr")).getField("exposure_idr").alias("last_exposure_idr"),
+        _last(F.col("exposure_idr")).alias("last_exposure_idr"),
         F.count(F.lit(1)).alias("observations"),
         F.count_if(F.col("usd_idr").isNull()).alias("missing_fx"),
         F.count_if(F.col("risk_indicator") == c.RISK_LABELS[1]).alias("review"),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from registry import market
+from registry import market, reports
 from registry.tables import SMOKE_RULES, marts
 
-QUERIES = dict(market.QUERIES)
-SQL = dict(market.SQL)
+QUERIES = {**market.QUERIES, **reports.QUERIES}
+SQL = {**market.SQL, **reports.SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
