@@ -5,7 +5,7 @@ Validation never raises. Every event gets one error code, the first check it fai
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,8 @@ from fxtape.functions.scalars import (
     utf8_text,
     zoned_time,
 )
-from fxtape.schemas import BAR, EVENT_TEXT, MARKET_EVENT, TICK
+from fxtape.schemas import BAR, MARKET_EVENT, TICK
+from fxtape.shared import evaluated
 
 COORDINATE = ["kafka_topic", "kafka_partition", "kafka_offset"]
 EVENT_FIELDS = [name for name in MARKET_EVENT.names if name not in COORDINATE]
@@ -108,76 +109,84 @@ def event_error(
     )
 
 
-def is_object(variant: Column) -> Column:
-    return F.schema_of_variant(variant).startswith("OBJECT")
-
-
 def is_json_object(text: Column) -> Column:
-    return is_object(F.try_parse_json(text))
+    return F.json_object_keys(text).isNotNull()
 
 
 _PRICE_LITERAL = r'(?<!\\)"price_usd"\s*:\s*([^,}\s]+)'
+_MALFORMED = "_malformed"
+_MESSAGE = ", ".join(f"{name} VARIANT" for name in EVENT_FIELDS) + f", {_MALFORMED} STRING"
+_STRICT = {"columnNameOfCorruptRecord": _MALFORMED, "allowNonNumericNumbers": "false"}
 
 
 def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -> DataFrame:
     """Add the typed event fields and ``error`` for a JSON message.
 
-    The price enters the identity as it is written in the message. A fraction is also tried as
-    this engine prints it, for messages with superfluous zeros.
+    The message is parsed once, into one variant per field, which still tells a number from a text
+    and a null from an absent field. The price enters the identity as it is written in the
+    message. A fraction is also tried as this engine prints it, for superfluous zeros.
     """
     parsed = (
         df.withColumn("_text", text)
-        .withColumn("_json", F.try_parse_json("_text"))
-        .withColumn("_event", F.from_json("_text", EVENT_TEXT))
+        .withColumn("_event", F.from_json("_text", _MESSAGE, _STRICT))
         .withColumn("_price", F.regexp_extract("_text", _PRICE_LITERAL, 1))
     )
-    kind = {
-        name: F.schema_of_variant(F.try_variant_get("_json", f"$.{name}", "variant"))
-        for name in EVENT_TEXT.names
-    }
+
+    def kind(name: str) -> Column:
+        return F.schema_of_variant(F.col(f"_event.{name}"))
+
+    def value(name: str, to: str) -> Column:
+        return F.try_variant_get(F.col(f"_event.{name}"), "$", to)
 
     def words(name: str) -> Column:
-        return F.when(kind[name] == "STRING", F.col(f"_event.{name}"))
-
-    def number(name: str, to: str) -> Column:
-        numeric = (kind[name] == "BIGINT") | (kind[name] == "DOUBLE") | kind[name].startswith("DECIMAL")
-        return F.when(numeric, F.col(f"_event.{name}").try_cast(to))
-
-    times = {name: zoned_time(words(name)) for name in ("event_timestamp", "ingested_at", "replayed_at")}
-    event = {
-        "schema_version": number("schema_version", "double").cast("long"),
-        "event_id": words("event_id"),
-        "symbol": words("symbol"),
-        "currency": words("currency"),
-        "price_usd": number("price_usd", "double"),
-        **times,
-        "event_date": F.when(words("event_date").rlike(r"^\d{4}-\d{2}-\d{2}$"),
-                             words("event_date").try_cast("date")),
-        **{n: words(n) for n in ("source", "record_type", "source_interval", "ingestion_mode",
-                                 "raw_payload")},
-    }
-    typed = parsed.withColumn("_typed", F.struct(*[event[n].alias(n) for n in EVENT_FIELDS]))
-    fields = {name: F.col(f"_typed.{name}") for name in EVENT_FIELDS}
-    stamped = {**fields, "event_timestamp": F.col("_event.event_timestamp")}
+        return F.when(kind(name) == "STRING", value(name, "string"))
+
+    def number(name: str) -> Column:
+        other = kind(name).isin("STRING", "BOOLEAN", "VOID")
+        return F.when(~other, value(name, "double"))
+
+    texts = parsed.withColumns(
+        {
+            **{f"_{name}": words(name) for name in EVENT_FIELDS
+               if name not in ("schema_version", "price_usd")},
+            "_price_usd": number("price_usd"),
+            "_schema_version": number("schema_version").cast("long"),
+            "_readable": F.col(f"_event.{_MALFORMED}").isNull()
+            & F.startswith(F.ltrim("_text"), F.lit("{")),
+            "_replay_key": F.col("_event.replayed_at").isNotNull(),
+            "_live_null": kind("replayed_at") == "VOID",
+        }
+    )
+    iso_day = F.col("_event_date").rlike(r"^\d{4}-\d{2}-\d{2}$")
+    typed = texts.withColumns(
+        {
+            **{name: F.col(f"_{name}") for name in EVENT_FIELDS},
+            **{name: zoned_time(F.col(f"_{name}"))
+               for name in ("event_timestamp", "ingested_at", "replayed_at")},
+            "event_date": F.when(iso_day, F.col("_event_date").try_cast("date")),
+        }
+    )
+    fields = {name: F.col(name) for name in EVENT_FIELDS}
+    stamped = {**fields, "event_timestamp": F.col("_event_timestamp")}
     as_written = event_id(stamped, F.col("_price"))
-    as_printed = event_id(stamped, number_text(fields["price_usd"]))
+    as_printed = event_id(stamped, number_text(F.col("price_usd")))
     fraction = F.col("_price").rlike("[.eE]")
-    identity = (fields["event_id"] == as_written) | (fraction & (fields["event_id"] == as_printed))
-    live_null = F.array_contains(F.json_object_keys("_text"), "replayed_at") & (
-        fields["ingestion_mode"].eqNullSafe(F.lit(c.REPLAY_MODE)) | F.col("_event.replayed_at").isNull()
+    identity = (F.col("event_id") == as_written) | (
+        fraction & (F.col("event_id") == as_printed)
+    )
+    mode = F.col("ingestion_mode")
+    replay_field = F.col("_replay_key") & ((mode == c.REPLAY_MODE) | F.col("_live_null"))
+    rules = event_error(
+        {**fields, "symbols": symbols or c.SYMBOLS}, identity, is_json_object(F.col("raw_payload"))
     )
-    checked = {**fields, "symbols": symbols or c.SYMBOLS}
     error = F.coalesce(
         F.when(F.col("_text").isNull(), "encoding"),
-        F.when(F.col("_json").isNull() | ~is_object(F.col("_json")), "json"),
-        event_error(checked, identity, is_json_object(fields["raw_payload"])),
-        F.when(~F.coalesce(live_null, F.lit(False)), "replay_time"),
-    )
-    return (
-        typed.withColumn("error", error)
-        .withColumns({name: F.col(f"_typed.{name}") for name in EVENT_FIELDS})
-        .drop("_text", "_json", "_event", "_price", "_typed")
+        F.when(~F.coalesce(F.col("_readable"), F.lit(False)), "json"),
+        rules,
+        F.when(~F.coalesce(replay_field, F.lit(False)), "replay_time"),
     )
+    kept = [name for name in df.columns if name not in EVENT_FIELDS]
+    return evaluated(typed.select(*kept, *EVENT_FIELDS, error.alias("error")))
 
 
 def decode_envelope(df: DataFrame, symbols: list[str] | None = None) -> DataFrame:
@@ -219,9 +228,16 @@ def _payload(df: DataFrame, names: list[str]) -> Column:
 
 
 def make_events(
-    df: DataFrame, mode: str, ingested_at: Column, symbols: list[str] | None = None
+    df: DataFrame,
+    mode: str,
+    ingested_at: Column,
+    symbols: list[str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Events from replay bars or live ticks, with ``error``; ``ingested_at`` is an instant."""
+    """Events from replay bars or live ticks, with ``error``; ``ingested_at`` is an instant.
+
+    ``keep`` names further input columns to carry along.
+    """
     if mode == c.REPLAY_MODE:
         candidate = (
             (F.col("record_type") == c.BAR_RECORD)
@@ -253,6 +269,7 @@ def make_events(
         F.lit(mode).alias("ingestion_mode"),
         payload.alias("raw_payload"),
         candidate.alias("_candidate"),
+        *keep,
     )
     fields = {name: F.col(name) for name in built.columns}
     identity = event_id(
@@ -263,9 +280,11 @@ def make_events(
         {**fields, "symbols": symbols or c.SYMBOLS}, F.lit(True), is_json_object(F.col("raw_payload"))
     )
     refused = F.when(~F.coalesce(F.col("_candidate"), F.lit(False)), "not_a_candidate")
-    return built.withColumns(
-        {"event_id": identity, "error": F.coalesce(refused, error)}
-    ).select(*EVENT_FIELDS, "error")
+    return evaluated(
+        built.withColumns(
+            {"event_id": identity, "error": F.coalesce(refused, error)}
+        ).select(*EVENT_FIELDS, "error", *keep)
+    )
 
 
 def event_json(df: DataFrame) -> Column:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
 
@@ -50,3 +51,13 @@ def published(df: DataFrame, label: str, *partition: str) -> DataFrame:
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; stops counting right after the bound."""
     return df.select().limit(max_rows + 1).count() <= max_rows
+
+
+def evaluated(df: DataFrame) -> DataFrame:
+    """The same rows and columns, with computed columns computed once.
+
+    Catalyst pushes a filter on a computed column below the projection by repeating the column's
+    expression there. For a long validation expression that means parsing the message again for
+    every field it mentions. Unpacking a one-element array is a step filters do not cross.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

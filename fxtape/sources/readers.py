@@ -83,10 +83,9 @@ def stored_files(spark: SparkSession, root: str, contents: bool = True) -> DataF
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     )
-    base = F.lit(root.rstrip("/").removeprefix("file:").removeprefix("//") + "/")
-    name = F.regexp_replace(F.substring_index("path", base, -1), "^file:/*", "/")
+    base = root.rstrip("/").removeprefix("file:").removeprefix("//") + "/"
     columns: list[Column] = [
-        name.alias("name"),
+        F.substring_index("path", base, -1).alias("name"),
         F.length("content").cast("long").alias("bytes"),
         F.sha2("content", 256).alias("sha256"),
     ]

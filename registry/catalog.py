@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from registry import market, reports
+from registry import market, messages, relations, reports
 from registry.tables import SMOKE_RULES, marts
 
-QUERIES = {**market.QUERIES, **reports.QUERIES}
-SQL = {**market.SQL, **reports.SQL}
+_GROUPS = (market, reports, relations, messages)
+QUERIES = {name: run for group in _GROUPS for name, run in group.QUERIES.items()}
+SQL = {name: text for group in _GROUPS for name, text in group.SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
