@@ -11,6 +11,7 @@ from fxtape import constants as c
 from fxtape.functions.scalars import clean_code, local_date, try_rate, try_time, zoned_time
 from fxtape.operators.quality import check_fx_record
 from fxtape.schemas import BAR, ENVELOPE, FX_DOCUMENT, FX_RECORD_TEXT, MANIFEST, MESSAGE
+from fxtape.shared import published
 
 
 def read_fx_xml(spark: SparkSession, path: str) -> DataFrame:
@@ -101,12 +102,13 @@ def verify_hash(spark: SparkSession, path: str, sha: str) -> DataFrame:
     return files.select("path", digest.alias("sha256")).where(F.col("sha256") != sha)
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Objects of manifests, one row each with the run, the source and the number of records."""
-    document = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
-    return document.select(
-        "run_id", "source", "records", F.inline_outer("objects")
-    )
+def read_manifest(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Objects of manifests, one row each with the run, the source and the number of records.
+
+    A manifest is one JSON object per line, or with ``multiline`` one object per file.
+    """
+    document = spark.read.schema(MANIFEST).option("multiLine", multiline).json(path)
+    return document.select("run_id", "source", "records", F.inline_outer("objects"))
 
 
 def read_manifested(
@@ -115,6 +117,7 @@ def read_manifested(
     root: str,
     run_id: str,
     prefixes: tuple[str, str] = ("raw/", "processed/"),
+    multiline: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Records of a run whose files agree with its manifest, and everything that does not agree.
 
@@ -123,7 +126,7 @@ def read_manifested(
     manifest's source and be unique, and their number must be the manifest's. Any violation is a
     row with the object's name and the broken rule; the batch is good when there is none.
     """
-    listed = read_manifest(spark, manifest_path)
+    listed = read_manifest(spark, manifest_path, multiline)
     per_name = listed.groupBy("name").agg(
         F.count(F.lit(1)).alias("listings"),
         *[F.max(n).alias(f"listed_{n}") for n in ("run_id", "source", "records", "bytes", "sha256")],
@@ -142,9 +145,13 @@ def read_manifested(
         .when(F.col("sha256") != F.col("listed_sha256"), "digest")
     )
     content = F.from_json(F.col("content").cast("string"), FX_RECORD_TEXT)
-    opened = checked.withColumn("problem", object_problem).withColumn(
-        "record", F.when(is_record & F.col("problem").isNull(), content)
+    opened = (
+        checked.withColumn("problem", object_problem)
+        .withColumn("record", F.when(is_record & F.col("problem").isNull(), content))
+        .select("name", "listed_source", "listed_records", "problem", "record")
     )
+    # Every file is opened and hashed once; the rules below read this small relation.
+    opened = published(opened, "manifest_objects")
     records = check_fx_record(
         opened.where(is_record & F.col("problem").isNull()).select(
             "name", "listed_source", "listed_records", "record.*"

@@ -473,11 +473,25 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("manifest_violations", "SELECT NULL AS name, NULL AS problem FROM events WHERE false")
+@query("manifest_violations", sql.with_fx(f"""SELECT {sql.day("jisdor_date")} AS "date",
+    CASE WHEN fx_available_at IS NOT NULL THEN 'length' ELSE 'digest' END AS problem FROM fx
+    WHERE fx_available_at IS NOT NULL OR day(jisdor_date) > 20"""))
 def manifest_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest names a wrong length for odd days, and a wrong digest late in the month."""
     root, listing = _landed(spark, sf_dir)
-    _, violations = readers.read_manifested(spark, listing, root, RUN_ID)
-    return violations
+    number = F.regexp_extract("name", r"date=[0-9]+-[0-9]+-([0-9]+)", 1).cast("int")
+    entry = F.struct(
+        "name", "content_type",
+        F.when(number > 20, F.sha2("sha256", 256)).otherwise(F.col("sha256")).alias("sha256"),
+        (F.col("bytes") + number % 2).alias("bytes"),
+    )
+    tampered = new_folder(spark, "tampered")
+    readers.read_manifest(spark, listing).select(
+        "run_id", "records", "source", F.array(entry).alias("objects")
+    ).write.json(tampered)
+    _, violations = readers.read_manifested(spark, tampered, root, RUN_ID)
+    date = F.regexp_extract("name", "date=([0-9-]+)", 1)
+    return violations.select(date.alias("date"), "problem")
 
 
 @query("sink_processed_json", sql.with_fx(f"""SELECT {sql.day("jisdor_date")} AS "date", currency,
