@@ -168,9 +168,18 @@ def try_json(text: Column, schema: T.StructType) -> Column:
     return F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, schema))
 
 
+# Printable ASCII without quote and backslash needs no escape in JSON.
+_PLAIN_TEXT = r"^[ !#-\[\]-~]*$"
+
+
 def json_quoted(text: Column) -> Column:
-    """A text as a JSON string literal, ``null`` when it is missing."""
+    """A text as a JSON string literal, ``null`` when it is missing.
+
+    Only texts that need escaping go through the JSON writer.
+    """
     array = F.to_json(F.array(text))
-    return F.when(text.isNull(), F.lit("null")).otherwise(
-        F.substring(array, F.lit(2), F.length(array) - 2)
+    return (
+        F.when(text.isNull(), F.lit("null"))
+        .when(text.rlike(_PLAIN_TEXT), F.concat(F.lit('"'), text, F.lit('"')))
+        .otherwise(F.substring(array, F.lit(2), F.length(array) - 2))
     )

@@ -21,19 +21,30 @@ def _differing(fields: Sequence[str], left: str, right: str) -> Column:
     return F.array_compact(F.array(*names))
 
 
+def _per_key(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
+    """One row per key: a row's fields, and how often the key occurs.
+
+    Copies of a key shrink in the partial aggregation, so the join that follows meets each key
+    once per side and never pairs up repeated rows.
+    """
+    return df.groupBy(*keys).agg(
+        F.max(F.struct(*fields)).alias(name), F.count(F.lit(1)).alias(f"{name}_rows")
+    )
+
+
 def compare_rows(
     left: DataFrame, right: DataFrame, keys: Sequence[str], fields: Sequence[str]
 ) -> DataFrame:
-    """Full outer comparison of two relations that are unique by ``keys``.
+    """Full outer comparison of two relations that should be unique by ``keys``.
 
-    One row per key with ``problems``: ``missing`` (only left), ``extra`` (only right), or the
-    names of the differing fields; empty when both agree.
+    One row per key with ``problems``: ``missing`` (only left), ``extra`` (only right),
+    ``repeated``, or the names of the differing fields; empty when both agree.
     """
-    a = left.select(*keys, F.struct(F.lit(1).alias("_in"), *fields).alias("_left"))
-    b = right.select(*keys, F.struct(F.lit(1).alias("_in"), *fields).alias("_right"))
+    a, b = _per_key(left, keys, fields, "_left"), _per_key(right, keys, fields, "_right")
     problems = (
-        F.when(F.col("_right").isNull(), F.array(F.lit("missing")))
-        .when(F.col("_left").isNull(), F.array(F.lit("extra")))
+        F.when(F.col("_right_rows").isNull(), F.array(F.lit("missing")))
+        .when(F.col("_left_rows").isNull(), F.array(F.lit("extra")))
+        .when(F.col("_left_rows") + F.col("_right_rows") > 2, F.array(F.lit("repeated")))
         .otherwise(_differing(fields, "_left", "_right"))
     )
     return a.join(b, list(keys), "full").select(*keys, problems.alias("problems"))

@@ -85,31 +85,37 @@ def merge_mismatches(
 
 
 def merge_checked(
-    target: DataFrame, staged: DataFrame, invalid: Column, keys: Sequence[str] = FX_KEYS,
-    version: str = "ingested_at", fields: Sequence[str] = ("usd_idr", "source", "fx_available_at"),
+    target: DataFrame,
+    staged: DataFrame,
+    invalid: Column,
+    keys: Sequence[str] = FX_KEYS,
+    version: str = "ingested_at",
+    fields: Sequence[str] = ("usd_idr", "source", "fx_available_at"),
 ) -> tuple[DataFrame, DataFrame]:
     """The merged relation, and one row that says whether it may be published.
 
-    The row holds duplicates of either side before the merge, quality after it, and staged rows
-    that do not reconcile.
+    Repeated keys are counted first, by partial aggregation. Where there are any the merge is
+    cancelled and the target returned as it is, so repeated rows never meet in a join. Otherwise
+    the row also holds the quality after the merge and the staged rows that do not reconcile.
     """
+    repeated = {
+        "target_duplicates": duplicate_keys(target, keys).count(),
+        "staged_duplicates": duplicate_keys(staged, keys).count(),
+    }
+    counts = {name: F.lit(n).cast("long") for name, n in repeated.items()}
+    if any(repeated.values()):
+        gate = key_quality(target, keys, invalid).withColumns(counts)
+        nothing = F.lit(None).cast("long")
+        return target, gate.withColumns({"mismatches": nothing, "accepted": F.lit(False)})
     merged = merge_latest(target, staged, keys, version)
-
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
-
+    open_rows = merge_mismatches(staged, merged, keys, version, fields)
+    mismatches = open_rows.agg(F.count(F.lit(1)).alias("mismatches"), F.lit(1).alias("_one"))
     gate = (
-        key_quality(merged, keys, invalid).withColumn("_one", F.lit(1))
-        .join(count(duplicate_keys(target, keys), "target_duplicates"), "_one")
-        .join(count(duplicate_keys(staged, keys), "staged_duplicates"), "_one")
-        .join(count(merge_mismatches(staged, merged, keys, version, fields), "mismatches"), "_one")
-        .drop("_one")
+        key_quality(merged, keys, invalid).withColumns(counts).withColumn("_one", F.lit(1))
+        .join(mismatches, "_one").drop("_one")
     )
-    faults = ["target_duplicates", "staged_duplicates", "duplicate_keys", "invalid_rows", "mismatches"]
-    clean = F.lit(True)
-    for name in faults:
-        clean = clean & (F.col(name) == 0)
-    return merged, gate.withColumn("accepted", clean)
+    faults = F.col("duplicate_keys") + F.col("invalid_rows") + F.col("mismatches")
+    return merged, gate.withColumn("accepted", faults == 0)
 
 
 def merge_archive(

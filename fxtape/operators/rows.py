@@ -130,13 +130,18 @@ def union_rows(*frames: DataFrame) -> DataFrame:
 
 
 def missing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of ``left`` that ``right`` does not have; each once."""
-    return left.select(*keys).distinct().join(right.select(*keys), list(keys), "left_anti")
+    """Keys of ``left`` that ``right`` does not have; each once.
+
+    Both sides are reduced to distinct keys before the shuffle, so a frequent key costs no more
+    than a rare one.
+    """
+    mine, theirs = left.select(*keys).distinct(), right.select(*keys).distinct()
+    return mine.join(theirs, list(keys), "left_anti")
 
 
 def captured_only(stored: DataFrame, raw: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose coordinate was captured."""
-    return stored.join(raw.select(*keys), list(keys), "left_semi")
+    return stored.join(raw.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def _id_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

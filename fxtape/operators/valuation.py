@@ -54,8 +54,9 @@ def fx_intervals(rates: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
 
     A rate with a known publication counts from then on, but not before its own date begins in
     ``zone``; one without counts from the next local midnight. A late publication of an older
-    date never replaces a newer date, hence the running maximum by date. Rates are unique per
-    date and currency, so a window partition holds at most one row per calendar day.
+    date never replaces a newer date, hence the running maximum by date. Rates are first reduced
+    to one per currency and instant, which for daily rates is about one per calendar day, and
+    that is what a currency's window partition holds.
     """
     available = F.greatest("fx_available_at", local_midnight(F.col("jisdor_date"), zone))
     assumed = local_midnight(F.date_add("jisdor_date", 1), zone)
@@ -65,14 +66,15 @@ def fx_intervals(rates: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
         F.when(F.col("fx_available_at").isNull(), assumed).otherwise(available).alias("valid_from"),
         F.struct("jisdor_date", "usd_idr", "fx_available_at", "source_run_id").alias("rate"),
     )
+    per_instant = stamped.groupBy("currency", "valid_from").agg(F.max("rate").alias("rate"))
     timeline = W.partitionBy("currency").orderBy("valid_from")
-    so_far = timeline.rangeBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        stamped.withColumn("rate", F.max("rate").over(so_far))
-        .withColumn("valid_until", F.lead("valid_from").over(timeline))
-        .where(F.col("valid_until").isNull() | (F.col("valid_from") < F.col("valid_until")))
-        .select("currency", "valid_from", "valid_until", "rate.*")
-    )
+    so_far = timeline.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return per_instant.select(
+        "currency",
+        "valid_from",
+        F.lead("valid_from").over(timeline).alias("valid_until"),
+        F.max("rate").over(so_far).alias("rate"),
+    ).select("currency", "valid_from", "valid_until", "rate.*")
 
 
 def asof_fx(

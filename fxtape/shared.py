@@ -1,4 +1,4 @@
-"""Session helpers: the shared working folder, the UTC pin and the broadcast size check."""
+"""Session helpers: the shared working folder, the UTC pin and the broadcast bound."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Rows up to which a counted relation is broadcast.
 BROADCAST_ROWS = 500_000
 
 
@@ -48,11 +49,6 @@ def published(df: DataFrame, label: str, *partition: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting right after the bound."""
-    return df.select().limit(max_rows + 1).count() <= max_rows
-
-
 def evaluated(df: DataFrame) -> DataFrame:
     """The same rows and columns, with computed columns computed once.
 

@@ -96,30 +96,30 @@ def replace_snapshot(df: DataFrame, root: str, version: str, expected: int | Non
     return written
 
 
-def write_fx_processed(df: DataFrame, root: str) -> int:
-    """Rate records as JSON, one file each, by date; dates that are there must have the same content.
+def write_fx_processed(df: DataFrame, root: str, run_id: str) -> int:
+    """Rate records as JSON, one file each, by date and run.
 
-    Returns the number of records added.
+    A date the run has written already must have the same content. Returns the number of records
+    added.
     """
-    spark = df.sparkSession
-    records = df.withColumn("date", F.col("jisdor_date").cast("string"))
-    existing = read_if_present(
-        spark, root, "json", T.StructType([*df.schema.fields, T.StructField("date", T.StringType())])
-    )
-    fresh = records
+    places = ["date", "run_id"]
+    located = df.withColumns({"date": F.col("jisdor_date").cast("string"), "run_id": F.lit(run_id)})
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.StringType()) for n in places]])
+    existing = read_if_present(df.sparkSession, root, "json", schema)
+    fresh = located
     if existing is not None:
+        mine = existing.where(F.col("run_id") == run_id)
         fields = F.struct(*df.columns)
-        there = existing.select("date", fields.alias("_there"))
-        both = records.join(there, "date")
+        both = located.join(mine.select("date", fields.alias("_there")), "date")
         if not both.where(~fields.eqNullSafe(F.col("_there"))).isEmpty():
             raise RefusedWrite("existing processed output differs; use a fresh run")
-        fresh = records.join(existing.select("date"), "date", "left_anti")
+        fresh = located.join(mine.select("date"), "date", "left_anti")
     observed = Observation("processed")
     (
         fresh.observe(observed, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")
         .option("maxRecordsPerFile", 1)
-        .partitionBy("date")
+        .partitionBy(*places)
         .json(root)
     )
     return observed.get["rows"]
@@ -132,14 +132,15 @@ _CONTENT_TYPES = {
 }
 
 
-def manifest_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Name, type, digest and length of every file below ``folder``."""
+def manifest_rows(spark: SparkSession, folder: str, run_id: str) -> DataFrame:
+    """Name, type, digest and length of every file of a run below ``folder``."""
     suffix = F.substring_index("name", ".", -1)
     pairs = [F.lit(part) for pair in _CONTENT_TYPES.items() for part in pair]
     kind = F.coalesce(
         F.try_element_at(F.create_map(*pairs), suffix), F.lit("application/octet-stream")
     )
     files = stored_files(spark, folder, contents=False)
+    files = files.where(F.contains("name", F.lit(f"/run_id={run_id}/")))
     return files.select("name", kind.alias("content_type"), "sha256", "bytes")
 
 
@@ -152,7 +153,7 @@ def write_manifest(
     reader takes documents with any number of objects.
     """
     entry = F.struct("name", "content_type", "sha256", "bytes")
-    manifest_rows(spark, folder).select(
+    manifest_rows(spark, folder, run_id).select(
         F.lit(run_id).alias("run_id"),
         F.lit(records).cast("long").alias("records"),
         F.lit(source).alias("source"),

@@ -43,8 +43,9 @@ def capture_then_process(
 ) -> StreamingQuery:
     """Store the raw messages of each micro-batch, then its events and its dead letters.
 
-    The batch is decoded from the capture just written, so the source is read once and the
-    message is on disk before it is interpreted. Every folder is named by the batch, so a batch
+    The batch is decoded once, from the capture just written: the source is read once and the
+    message is on disk before it is interpreted, so a lost executor costs a re-read of the
+    capture. Every folder is named by the batch, so a batch
     that is tried again after a failure overwrites its own output.
     """
 
@@ -61,10 +62,12 @@ def capture_then_process(
             F.col("kafka_offset").alias("offset"),
             F.lit(None).cast("timestamp").alias("timestamp"),
         )
-        valid, invalid = process_events(messages, symbols)
+        decoded = decode_message(messages, symbols).persist()
+        valid, invalid = route_invalid(decoded)
         stamped = valid.withColumns({"consumer_received_at": received, "sink_requested_at": received})
         writers.append_events(stamped, batch_id, paths.valid, paths.run_id)
         writers.write_invalid(invalid.drop("key", "timestamp"), batch_id, paths.invalid)
+        decoded.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", paths.checkpoint)
     if available_now:

@@ -10,13 +10,13 @@ from fxtape.functions import contract
 from fxtape.functions import scalars as s
 from fxtape.operators import compare, reports, rows
 from fxtape.schemas import BAR, FX_RECORD_TEXT, MARKET_EVENT, MESSAGE
-from fxtape.shared import evaluated, new_folder
+from fxtape.shared import evaluated, new_folder, published
 from fxtape.sinks import writers
 from fxtape.sources import readers
 from fxtape.streaming import ingest
 from registry import sql
 from registry.market import rounded, sql_rounded
-from registry.tables import RUN_ID, day, fx_fact, raw_market, table, text, utc
+from registry.tables import RUN_ID, day, fx_fact, raw_market, spread, table, text, utc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -57,7 +57,7 @@ def replay_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type": F.lit(c.BAR_RECORD),
         "currency": F.lit(c.CURRENCY),
     }
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     return events.select("event_id", *[values[name].alias(name) for name in BAR.names])
 
 
@@ -262,7 +262,8 @@ def event_reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     'passed' AS run_status, 'replay' AS run_modes, true AS accepted FROM events""")
 def publication_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sound messages, their decoded events, and a report with the same counts."""
-    captured = contract.decode_envelope(envelopes(spark, sf_dir, broken=False), SYMBOLS)
+    decoded = contract.decode_envelope(envelopes(spark, sf_dir, broken=False), SYMBOLS)
+    captured = published(decoded, "captured")
     valid, _ = contract.route_invalid(captured)
     report = table(spark, sf_dir, "events").agg(
         F.count(F.lit(1)).alias("kafka_records"), F.count(F.lit(1)).alias("valid"),
@@ -454,10 +455,8 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """A run's processed records and their manifest."""
     root, manifest = new_folder(spark, "landed"), new_folder(spark, "manifest")
     records = _fx_records(spark, sf_dir)
-    records.withColumns(
-        {"date": F.col("jisdor_date"), "run_id": F.lit(RUN_ID)}
-    ).write.partitionBy("date", "run_id").option("maxRecordsPerFile", 1).json(f"{root}/processed")
-    writers.write_manifest(spark, root, manifest, RUN_ID, "daily events", records.count())
+    stored = writers.write_fx_processed(records, f"{root}/processed", RUN_ID)
+    writers.write_manifest(spark, root, manifest, RUN_ID, "daily events", stored)
     return root, manifest
 
 
@@ -500,8 +499,8 @@ def sink_processed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate records written by date twice; the second time adds nothing."""
     folder = new_folder(spark, "processed")
     records = _fx_records(spark, sf_dir)
-    writers.write_fx_processed(records, folder)
-    again = writers.write_fx_processed(records, folder)
+    writers.write_fx_processed(records, folder, RUN_ID)
+    again = writers.write_fx_processed(records, folder, RUN_ID)
     schema = FX_RECORD_TEXT.add("date", "string")
     return spark.read.schema(schema).json(folder).select(
         "date", "currency", "source", F.lit(again).alias("added_again")

@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Widen a scan of few files for work that is heavy per row; a wide scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def utc(column: str) -> Column:
     """A zone-less timestamp read as UTC."""
     return F.col(column).cast("timestamp")

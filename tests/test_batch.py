@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fxtape import constants as c
 from fxtape.operators import bars, merge, quality, reports, rows
 from fxtape.schemas import FX_DOCUMENT, FX_FACT, FX_RECORD_TEXT, conform
-from fxtape.shared import fits_broadcast, new_folder
+from fxtape.shared import new_folder
 from fxtape.sinks import writers
 from fxtape.sources import readers
 
@@ -242,10 +242,12 @@ def test_snapshot_shows_newest_version(spark):
 def test_processed_json_refuses_other_content(spark):
     root = new_folder(spark, "processed")
     frame = spark.createDataFrame([RECORD], FX_RECORD_TEXT)
-    assert writers.write_fx_processed(frame, root) == 1
-    assert writers.write_fx_processed(frame, root) == 0
+    assert writers.write_fx_processed(frame, root, RUN) == 1
+    assert writers.write_fx_processed(frame, root, RUN) == 0
+    other = frame.withColumn("usd_idr", F.lit("1"))
     with pytest.raises(writers.RefusedWrite):
-        writers.write_fx_processed(frame.withColumn("usd_idr", F.lit("1")), root)
+        writers.write_fx_processed(other, root, RUN)
+    assert writers.write_fx_processed(other, root, "20260910T214210877646Z") == 1
 
 
 def landed(spark, tmp_path, tamper=None):
@@ -253,8 +255,7 @@ def landed(spark, tmp_path, tamper=None):
         [RECORD, RECORD | {"jisdor_date": "2026-09-08", "usd_idr": "17000"}], FX_RECORD_TEXT
     )
     root, manifest = str(tmp_path / "root"), str(tmp_path / "manifest")
-    stamped = frame.withColumns({"date": F.col("jisdor_date"), "run_id": F.lit(RUN)})
-    stamped.write.partitionBy("date", "run_id").option("maxRecordsPerFile", 1).json(f"{root}/processed")
+    writers.write_fx_processed(frame, f"{root}/processed", RUN)
     writers.write_manifest(spark, root, manifest, RUN, "url", 2)
     if tamper:
         tamper(tmp_path / "root")
@@ -340,8 +341,3 @@ def test_fx_audit_and_readiness_of_empty_tables(spark):
     fx = fx_rows(spark, [("2026-09-01", 1, None)])
     assert reports.fx_audit(fx).first().asDict()["invalid"] == 0
     assert reports.fx_audit(fx.where("false")).first().row_count == 0
-
-
-def test_size_check(spark):
-    assert fits_broadcast(spark.range(10), 10)
-    assert not fits_broadcast(spark.range(11), 10)
