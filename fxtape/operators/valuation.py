@@ -49,24 +49,32 @@ def minute_columns(df: DataFrame, rules: MarketRules) -> DataFrame:
     )
 
 
-def fx_intervals(rates: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
-    """For every currency, which rate counts from when until when.
+def _stamped(rates: DataFrame, zone: str) -> DataFrame:
+    """Every rate with the instant from which it may be used.
 
     A rate with a known publication counts from then on, but not before its own date begins in
-    ``zone``; one without counts from the next local midnight. A late publication of an older
-    date never replaces a newer date, hence the running maximum by date. Rates are first reduced
-    to one per currency and instant, which for daily rates is about one per calendar day, and
-    that is what a currency's window partition holds.
+    ``zone``; one without counts from the next local midnight.
     """
     available = F.greatest("fx_available_at", local_midnight(F.col("jisdor_date"), zone))
     assumed = local_midnight(F.date_add("jisdor_date", 1), zone)
     known = rates.where(F.col("jisdor_date").isNotNull() & F.col("currency").isNotNull())
-    stamped = known.select(
+    return known.select(
         "currency",
         F.when(F.col("fx_available_at").isNull(), assumed).otherwise(available).alias("valid_from"),
         F.struct("jisdor_date", "usd_idr", "fx_available_at", "source_run_id").alias("rate"),
     )
-    per_instant = stamped.groupBy("currency", "valid_from").agg(F.max("rate").alias("rate"))
+
+
+def fx_intervals(rates: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
+    """For every currency, which rate counts from when until when.
+
+    A late publication of an older date never replaces a newer date, hence the running maximum by
+    date. Rates are first reduced to one per currency and instant, which for daily rates is about
+    one per calendar day, and that is what a currency's window partition holds.
+    """
+    per_instant = (
+        _stamped(rates, zone).groupBy("currency", "valid_from").agg(F.max("rate").alias("rate"))
+    )
     timeline = W.partitionBy("currency").orderBy("valid_from")
     so_far = timeline.rowsBetween(W.unboundedPreceding, W.currentRow)
     return per_instant.select(
@@ -77,6 +85,25 @@ def fx_intervals(rates: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
     ).select("currency", "valid_from", "valid_until", "rate.*")
 
 
+def _interval_days(rates: DataFrame, zone: str):
+    """Upper bound of the rows the intervals fill by day, and the day of the last change.
+
+    A currency's intervals follow each other, so it has one row per day of its span and one per
+    change. Its last interval reaches to the last change of any currency, the ``tail``.
+    """
+    start = F.to_date("valid_from")
+    per_currency = _stamped(rates, zone).groupBy("currency").agg(
+        F.count(F.lit(1)).alias("changes"), F.min(start).alias("first"), F.max(start).alias("last")
+    )
+    last_day = F.max("last")
+    span = F.datediff("last", "first") + 1
+    return per_currency.agg(
+        F.coalesce(F.sum(F.col("changes") + span), F.lit(0)).alias("rows"),
+        (F.coalesce(F.datediff(last_day, F.min("last")), F.lit(0)) * F.count(F.lit(1))).alias("tail"),
+        F.coalesce(last_day, F.current_date()).alias("last_day"),
+    ).first()
+
+
 def asof_fx(
     events: DataFrame,
     rates: DataFrame,
@@ -97,13 +124,7 @@ def asof_fx(
     """
     intervals = fx_intervals(rates, zone)
     start = F.to_date("valid_from")
-    size = intervals.agg(
-        F.count(F.lit(1)).alias("intervals"),
-        F.countDistinct("currency").alias("currencies"),
-        F.coalesce(F.min(start), F.current_date()).alias("first_day"),
-        F.coalesce(F.max(start), F.current_date()).alias("last_day"),
-    ).first()
-    span = (size.last_day - size.first_day).days + 1
+    size = _interval_days(rates, zone)
     last_day = F.lit(size.last_day)
     end = F.least(F.coalesce(F.to_date("valid_until"), last_day), last_day)
     by_day = intervals.select(
@@ -123,8 +144,7 @@ def asof_fx(
         & (ts >= F.col("valid_from"))
         & (F.col("valid_until").isNull() | (ts < F.col("valid_until")))
     )
-    # A currency's intervals follow each other, so it has one row per day and one per change.
-    if size.intervals + size.currencies * span <= broadcast_rows:
+    if size.rows + size.tail <= broadcast_rows:
         joined = events.join(F.broadcast(by_day), matches, "left")
     else:
         salt = F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int")

@@ -96,7 +96,7 @@ def fx_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     Weekend events count for Monday; the 17th is taken as a holiday, its events count for the
     18th. Rates of odd days have a known publication at 09:00 UTC, those of even days have none.
     """
-    local = local_date(utc("ts"), c.LOCAL_ZONE)
+    local = F.col("local")
     moved = (
         F.when(F.dayofweek(local) == 7, F.date_add(local, 2))
         .when(F.dayofweek(local) == 1, F.date_add(local, 1))
@@ -105,6 +105,7 @@ def fx_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     daily = (
         table(spark, sf_dir, "events")
+        .withColumn("local", local_date(utc("ts"), c.LOCAL_ZONE))
         .select(moved.alias("jisdor_date"), F.round(F.col("value") * 100).cast("long").alias("cents"))
         .groupBy("jisdor_date")
         .agg(F.sum("cents").alias("cents"))
