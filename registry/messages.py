@@ -239,7 +239,7 @@ def _reconciliation(spark: SparkSession, sf_dir: str) -> compare.Reconciliation:
 
 @query("event_reconcile", """SELECT event_id AS kafka_offset, event_id % 3 AS kafka_partition,
     CASE WHEN value < 5 THEN 'missing' ELSE 'price_usd' END AS problem,
-    CASE WHEN value < 5 THEN 0 WHEN event_type = 'view' THEN 2 ELSE 1 END AS "rows"
+    CAST(CASE WHEN value < 5 THEN 0 WHEN event_type = 'view' THEN 2 ELSE 1 END AS BIGINT) AS "rows"
     FROM events WHERE value < 5 OR value > 100""")
 def event_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reconciliation(spark, sf_dir).detail.select(
@@ -249,7 +249,7 @@ def event_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("event_reconcile_summary", f"""SELECT count(*) AS raw_records, count(*) AS raw_coordinates,
     count(*) FILTER (value >= 5) AS warehouse_coordinates, count(*) FILTER (value < 5) AS missing,
-    0 AS refused, CAST(sum(CASE WHEN value > 100 THEN CASE WHEN event_type = 'view' THEN 2 ELSE 1 END
+    CAST(0 AS BIGINT) AS refused, CAST(sum(CASE WHEN value > 100 THEN CASE WHEN event_type = 'view' THEN 2 ELSE 1 END
       ELSE 0 END) AS BIGINT) AS mismatches,
     count(*) FILTER (value >= 5 AND event_type = 'view') AS duplicate_warehouse_rows,
     count(DISTINCT {ID_SQL}) AS unique_event_ids, 'failed' AS status FROM events""")
@@ -273,7 +273,7 @@ def publication_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.withColumn("run_modes", F.concat_ws(",", "run_modes"))
 
 
-@query("readback", """SELECT count(*) AS keys, count(*) FILTER (value < 5) AS missing, 0 AS extra,
+@query("readback", """SELECT count(*) AS keys, count(*) FILTER (value < 5) AS missing, CAST(0 AS BIGINT) AS extra,
     count(*) FILTER (value > 100) AS different, 'failed' AS status FROM events""")
 def readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was sent against the deduplicated read view of what is stored."""
@@ -525,7 +525,7 @@ def sink_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "staging")
     orders = table(spark, sf_dir, "orders")
     stored = writers.stage(orders, folder, orders.count())
-    return spark.read.parquet(folder).select("o_orderkey", "o_custkey", F.lit(stored).alias("stored"))
+    return spark.read.parquet(folder).select("o_orderkey", "o_custkey", F.lit(stored).cast("long").alias("stored"))
 
 
 @query("sink_snapshot", "SELECT c_custkey, c_acctbal + 1 AS c_acctbal FROM customer")
@@ -601,7 +601,7 @@ def ndjson_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("hash_check", "SELECT 1 AS files, 0 AS differing FROM events LIMIT 1")
+@query("hash_check", "SELECT CAST(1 AS BIGINT) AS files, CAST(0 AS BIGINT) AS differing FROM events LIMIT 1")
 def hash_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored digest of a table's file against its bytes."""
     path = f"{sf_dir}/orders.parquet"

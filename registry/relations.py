@@ -108,7 +108,7 @@ def id_set_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("compare_ids", sql.upto("minutes", """SELECT count(*) AS keys,
-    count(*) FILTER (m.event_id IS NULL) AS missing, 0 AS extra,
+    count(*) FILTER (m.event_id IS NULL) AS missing, CAST(0 AS BIGINT) AS extra,
     count(*) FILTER (m.event_id IS NOT NULL AND s.price_usd IS DISTINCT FROM m.price_usd) AS different,
     'failed' AS status FROM stg s LEFT JOIN (
       SELECT event_id, price_usd + CASE WHEN price_usd > 50 THEN 1 ELSE 0 END AS price_usd
@@ -193,9 +193,10 @@ def merge_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("merge_checked", f"""WITH {_MERGE}
-    SELECT count(*) AS total_rows, 0 AS duplicate_keys, 0 AS invalid_rows,
+    SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS duplicate_keys,
+      CAST(0 AS BIGINT) AS invalid_rows,
       min(o_orderkey) AS first_date, max(o_orderkey) AS last_date,
-      0 AS target_duplicates, 0 AS staged_duplicates,
+      CAST(0 AS BIGINT) AS target_duplicates, CAST(0 AS BIGINT) AS staged_duplicates,
       (SELECT count(*) FROM staged s JOIN target t USING (o_orderkey)
        WHERE t.version = s.version AND t.o_totalprice <> s.o_totalprice) AS mismatches,
       false AS accepted FROM staged""")
@@ -282,7 +283,8 @@ def latest_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.latest_sessions(_bars(spark, sf_dir), 5).select("event_id")
 
 
-@query("window_check", """SELECT count(*) AS "rows", 1 AS absent_symbols, 3 AS foreign_symbols,
+@query("window_check", """SELECT count(*) AS "rows", CAST(1 AS BIGINT) AS absent_symbols,
+    CAST(3 AS BIGINT) AS foreign_symbols,
     false AS accepted FROM events""")
 def window_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three symbols are required, of which one does not occur."""
@@ -305,7 +307,7 @@ def is_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
       date_trunc('hour', ts) AS t, value - 2 AS p FROM events),
     k AS (SELECT symbol, t, count(*) AS n, count(*) FILTER (p <= 0) AS bad FROM b GROUP BY symbol, t)
     SELECT symbol, CAST(sum(n) AS BIGINT) AS "rows", CAST(sum(n - 1) AS BIGINT) AS repeated_times,
-    0 AS unzoned_times, 0 AS foreign_currency, CAST(sum(bad) AS BIGINT) AS bad_prices
+    CAST(0 AS BIGINT) AS unzoned_times, CAST(0 AS BIGINT) AS foreign_currency, CAST(sum(bad) AS BIGINT) AS bad_prices
     FROM k GROUP BY symbol HAVING sum(n - 1) + sum(bad) > 0""")
 def check_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of every user by hour, with prices lowered by two."""
@@ -330,8 +332,8 @@ def time_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- rates --------------------------------------------------------------------------------
 
 
-@query("fx_batch_check", sql.with_fx("""SELECT count(*) + 1 AS total_rows, 1 AS duplicate_keys,
-    0 AS invalid_rows, strftime(min(jisdor_date), '%Y-%m-%d') AS first_date,
+@query("fx_batch_check", sql.with_fx("""SELECT count(*) + 1 AS total_rows, CAST(1 AS BIGINT) AS duplicate_keys,
+    CAST(0 AS BIGINT) AS invalid_rows, strftime(min(jisdor_date), '%Y-%m-%d') AS first_date,
     strftime(max(jisdor_date), '%Y-%m-%d') AS last_date, false AS accepted FROM fx"""))
 def fx_batch_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch holds its latest rate twice."""

@@ -376,7 +376,7 @@ def scenario_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "scenario_mismatches",
-    sql.upto("features", "SELECT count(*) AS row_count, 0 AS mismatches FROM features"),
+    sql.upto("features", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS mismatches FROM features"),
 )
 def scenario_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scenario_mismatches(_both_rules(spark, sf_dir))
