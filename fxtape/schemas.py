@@ -60,24 +60,6 @@ TICK = _struct(
     ("time", _LONG, True),
 )
 
-# Event message as text: types are checked by the contract, not by the reader.
-EVENT_TEXT = _struct(
-    ("schema_version", _STRING, True),
-    ("event_id", _STRING, True),
-    ("symbol", _STRING, True),
-    ("currency", _STRING, True),
-    ("price_usd", _STRING, True),
-    ("event_timestamp", _STRING, True),
-    ("event_date", _STRING, True),
-    ("ingested_at", _STRING, True),
-    ("replayed_at", _STRING, True),
-    ("source", _STRING, True),
-    ("record_type", _STRING, True),
-    ("source_interval", _STRING, True),
-    ("ingestion_mode", _STRING, True),
-    ("raw_payload", _STRING, True),
-)
-
 ENVELOPE = _struct(
     ("value_base64", _STRING, True),
     ("kafka_topic", _STRING, True),

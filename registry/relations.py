@@ -9,7 +9,7 @@ from fxtape import constants as c
 from fxtape.functions import scalars as s
 from fxtape.operators import bars, compare, merge, quality, rows
 from registry import sql
-from registry.tables import RULES, day, fx_fact, marts, raw_market, table, text, utc
+from registry.tables import day, fx_fact, marts, table, text, utc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
