@@ -11,7 +11,9 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, rows
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from registry import catalog
+
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 SOME = [
     "stg_dedup", "fx_asof_events", "stock_monitoring", "latest", "selection_summary",
     "selection_contribution", "selection_last", "signal_pivot", "history_audit",
@@ -44,6 +46,7 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
 
 def test_every_query_has_its_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
