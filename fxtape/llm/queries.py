@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm import quality_rules, url_filter
+from fxtape.llm import bpe, quality_rules, simple8b, url_filter
 from fxtape.llm.url_filter import UrlRule
 
 
@@ -24,6 +24,20 @@ URL_RULES = [
 ]
 
 
+def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return simple8b.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encoded(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.filtered(pages, url_filter.link_edges(pages), URL_RULES)
@@ -40,6 +54,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simple8b": op2_simple8b,
+    "op3_bpe": op3_bpe,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
 }
