@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm import bpe, quality_rules, simple8b, url_filter
+from fxtape.llm import bpe, ngram_join, quality_rules, simple8b, url_filter
 from fxtape.llm.url_filter import UrlRule
 
 
@@ -53,10 +53,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simple8b": op2_simple8b,
     "op3_bpe": op3_bpe,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
+    "op8_ngram_join": op8_ngram_join,
 }
 SQL: dict[str, str] = {}

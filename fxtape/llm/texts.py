@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at once; one longer text is handled alone.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 CACHE_PIECES = 300_000
 
 # White space in the Unicode sense, as the patterns of byte-level tokenizers use it.
@@ -54,3 +54,81 @@ class PieceCache:
         if new:
             known.update(zip(new, self.encode(new), strict=True))
         return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+
+
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+BASE = 0x9E3779B97F4A7C15 | 1
+INVERSE = pow(BASE, -1, 1 << 64)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values that spreads every bit (the finalizer of splitmix64)."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE ** i and its inverse for i up to ``n``, kept for the usual length only."""
+    usual = SLICE_BYTES + (SLICE_BYTES >> 2)
+    size = max(n, usual)
+    if size not in _POWERS:
+        both = tuple(np.full(size, x, np.uint64) for x in (BASE, INVERSE))
+        for a in both:
+            a[0] = 1
+            np.multiply.accumulate(a, out=a)
+        if size > usual:
+            return both
+        _POWERS[size] = both
+    return _POWERS[size]
+
+
+class Words:
+    """The words of some texts: 64-bit hashes in order, and where each text's words begin and end.
+
+    A word is a run of bytes other than space and the controls 9 to 13, with A-Z lower-cased. Its hash
+    is a polynomial over random byte values, taken for all words at once from running sums.
+    """
+
+    def __init__(self, texts: list[str]):
+        parts = [t.encode() for t in texts]
+        ends = np.cumsum([len(p) + 1 for p in parts]) if parts else np.zeros(0, np.int64)
+        raw = np.frombuffer((b"\n".join(parts) + b"\n").lower(), np.uint8)
+        space = IS_SPACE[raw]
+        edge = np.flatnonzero(np.diff(space.view(np.int8), prepend=np.int8(1), append=np.int8(1)))
+        self.start, self.stop = edge[::2], edge[1::2]
+        up, down = powers(len(raw) + 1)
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(BYTE_VALUES[raw] * up[: len(raw)], out=total[1:])
+        value = (total[self.stop] - total[self.start]) * down[self.start]
+        self.hash = mixed(value + (self.stop - self.start).astype(np.uint64))
+        self.last = np.searchsorted(self.start, ends)
+        self.first = np.concatenate([[0], self.last[:-1]]).astype(np.int64) if len(parts) else self.last
+        self.raw = raw
+
+    def windows(self, size: int) -> np.ndarray:
+        """The hash of the ``size`` words from each word on; the last ones of a text run over its end."""
+        n, h = len(self.hash), np.zeros(len(self.hash), np.uint64)
+        for k in range(size):
+            h[: n - k] += self.hash[k:] * np.uint64((BASE * (2 * k + 1)) % (1 << 64) | 1)
+        return mixed(h)
+
+    def shingles(self, size: int) -> list[np.ndarray]:
+        """The sorted distinct window hashes of each text; fewer words make one shingle of them all."""
+        window, out = self.windows(size), []
+        for a, b in zip(self.first.tolist(), self.last.tolist(), strict=True):
+            if b - a >= size:
+                out.append(np.unique(window[a : b - size + 1]))
+            elif b > a:
+                short = np.zeros(1, np.uint64)
+                for k in range(a, b):
+                    short = mixed(short + self.hash[k : k + 1] + np.uint64(b - a))
+                out.append(short)
+            else:
+                out.append(np.zeros(0, np.uint64))
+        return out
