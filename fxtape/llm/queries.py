@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm import bpe, ngram_join, quality_rules, simple8b, url_filter
+from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, simple8b, url_filter
 from fxtape.llm.url_filter import UrlRule
 
 
@@ -38,6 +38,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_cgk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cgk.searched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.filtered(pages, url_filter.link_edges(pages), URL_RULES)
@@ -60,6 +68,8 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simple8b": op2_simple8b,
     "op3_bpe": op3_bpe,
+    "op4_cgk": op4_cgk,
+    "op5_line_dedup": op5_line_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_ngram_join": op8_ngram_join,
