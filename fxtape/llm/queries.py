@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, simple8b, url_filter
+from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, simple8b, suffix_tree, url_filter
 from fxtape.llm.url_filter import UrlRule
 
 
@@ -65,6 +65,10 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simple8b": op2_simple8b,
     "op3_bpe": op3_bpe,
@@ -73,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_ngram_join": op8_ngram_join,
+    "op9_suffix_tree": op9_suffix_tree,
 }
 SQL: dict[str, str] = {}

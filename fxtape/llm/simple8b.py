@@ -22,7 +22,7 @@ from fxtape.shared import new_folder
 
 BLOCK = 1024
 CHUNK_IDS = 1 << 20
-LINE = 1024  # pieces tokenized as one text
+LINE = 16384  # pieces tokenized as one text
 # Selectors 1..14 of a word: ids per word and bits per id.
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
