@@ -1,9 +1,9 @@
 """Language-model scores from a probabilistic suffix tree over bytes, beside a word unigram base.
 
-Training counts every byte with the five before it. A context of one to five bytes is a state of the
+Training counts every byte with the six before it. A context of one to six bytes is a state of the
 tree when coding its next bytes by its own distribution instead of its suffix's saves THRESHOLD bits
 or more, or when a longer state ends in it. A state's distribution is smoothed with its suffix's by
-Witten-Bell weights, down to the uniform distribution. A byte is scored by the longest state that the
+Kneser-Ney discounts, down to the uniform distribution. A byte is scored by the longest state that the
 text before it ends in.
 """
 
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from fxtape.llm.texts import Words, sliced, strings
 from fxtape.shared import published
 
-DEPTH = 5
-THRESHOLD = 12.0  # bits
+DEPTH = 6
+THRESHOLD = 1.0  # bits
 SLICE_STATES = 4_000_000  # model rows broadcast at once; more rows mean more passes
 FREQUENT = 400_000  # most word counts that are broadcast; all others are joined
 MERGE_ROWS = 3_000_000  # distinct keys a counting task holds
@@ -112,28 +112,41 @@ def last(column: str, n: int) -> Column:
     return F.col(column).bitwiseAND(F.lit((1 << 8 * n) - 1))
 
 
+def discounts(entries: DataFrame) -> list[float]:
+    """What is taken from counts of one, two and more, from the numbers of counts of one to four."""
+    n1, n2, n3, n4 = entries.agg(*[F.count_if(F.col("n") == i) for i in range(1, 5)]).first()
+    y = n1 / max(1, n1 + 2 * n2)
+    found = [1 - 2 * y * n2 / max(1, n1), 2 - 3 * y * n3 / max(1, n2), 3 - 4 * y * n4 / max(1, n3)]
+    return [min(max(x, 0.05), i - 0.1) for i, x in enumerate(found, 1)]
+
+
 def tree(grams: DataFrame, threshold: float) -> DataFrame:
     """(depth, kind, k, value): log10 probabilities (kind 1) of a state's next bytes and the log10
     weight (kind 0) with which a state hands unseen bytes to its suffix."""
+    entries = {DEPTH: grams.select(F.col("k").alias("e"), "n")}
+    for d in range(DEPTH - 1, -1, -1):  # a shorter context counts the different bytes before it
+        counted = entries[d + 1].groupBy(last("e", d + 1).alias("e")).agg(F.count("*").alias("n"))
+        entries[d] = published(counted, "entries")
     levels = []
     for d in range(DEPTH + 1):
-        entry = grams.groupBy(last("k", d + 1).alias("e")).agg(F.sum("n").alias("n"))
-        state = entry.groupBy(F.shiftright("e", 8).alias("s")).agg(
-            F.sum("n").alias("total"), F.count("*").alias("kinds")
+        less = discounts(entries[d])
+        own = entries[d].withColumn("s", F.shiftright("e", 8)).withColumn(
+            "less", F.when(F.col("n") == 1, less[0]).when(F.col("n") == 2, less[1]).otherwise(less[2])
         )
-        own = entry.withColumn("s", F.shiftright("e", 8)).join(state, "s")
+        state = own.groupBy("s").agg(F.sum("n").alias("total"), F.sum("less").alias("free"))
+        own = own.join(state, "s")
         if d:
             below = levels[-1].select(F.col("e").alias("pe"), F.col("p").alias("q"))
             own = own.withColumn("pe", last("e", d)).join(below, "pe")
         else:
             own = own.withColumn("q", F.lit(1 / 256))
-        p = (F.col("n") + F.col("kinds") * F.col("q")) / (F.col("total") + F.col("kinds"))
-        levels.append(published(own.select("e", "s", "n", "q", "total", "kinds", p.alias("p")), "level"))
+        p = (F.col("n") - F.col("less") + F.col("free") * F.col("q")) / F.col("total")
+        levels.append(published(own.select("e", "s", "n", "q", "total", "free", p.alias("p")), "level"))
     needed, rows = None, []
     for d in range(DEPTH, -1, -1):
         saved = F.sum(F.col("n") * F.log2(F.col("p") / F.col("q")))
         states = levels[d].groupBy("s").agg(
-            saved.alias("bits"), F.first("total").alias("total"), F.first("kinds").alias("kinds")
+            saved.alias("bits"), F.first("total").alias("total"), F.first("free").alias("free")
         )
         if d == 0:
             kept = states
@@ -143,9 +156,9 @@ def tree(grams: DataFrame, threshold: float) -> DataFrame:
             kept = states.join(needed.withColumn("used", F.lit(True)), "s", "left").where(
                 (F.col("bits") >= threshold) | F.col("used")
             )
-        kept = published(kept.select("s", "total", "kinds"), "states")
+        kept = published(kept.select("s", "total", "free"), "states")
         needed = kept.select(last("s", max(d - 1, 0)).alias("s")).distinct()
-        weight = F.log10(F.col("kinds") / (F.col("total") + F.col("kinds")))
+        weight = F.log10(F.col("free") / F.col("total"))
         rows.append(kept.select(F.lit(d).alias("depth"), F.lit(0).alias("kind"), F.col("s").alias("k"), weight.alias("value")))
         rows.append(
             levels[d].join(kept.select("s"), "s", "left_semi")
