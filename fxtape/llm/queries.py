@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, simple8b, suffix_tree, url_filter
+from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, simple8b, suffix_tree, toxicity, url_filter
 from fxtape.llm.url_filter import UrlRule
 
 
@@ -69,6 +69,10 @@ def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scored(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simple8b": op2_simple8b,
     "op3_bpe": op3_bpe,
@@ -78,5 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_ngram_join": op8_ngram_join,
     "op9_suffix_tree": op9_suffix_tree,
+    "op10_toxicity": op10_toxicity,
 }
 SQL: dict[str, str] = {}
