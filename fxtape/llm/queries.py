@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, simple8b, suffix_tree, toxicity, url_filter
+from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, quotes, simple8b, suffix_tree, toxicity, url_filter
 from fxtape.llm.url_filter import UrlRule
 
 
@@ -24,6 +24,15 @@ URL_RULES = [
 ]
 
 
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quotes.conversations(table(spark, sf_dir, "conversations"))
+    return rows.select(
+        F.col("conv").alias("conv_id"), "turn", "thread", "reply_to", "n_passages", "n_linked",
+        F.col("deepest").cast("long").alias("deepest"), F.length("clean").cast("long").alias("clean_chars"),
+        F.md5("clean").alias("clean_md5"),
+    )
+
+
 def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +83,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quotes": op1_quotes,
     "op2_simple8b": op2_simple8b,
     "op3_bpe": op3_bpe,
     "op4_cgk": op4_cgk,
