@@ -57,12 +57,13 @@ def latest_sessions(
 
 
 def window_violations(
-    df: DataFrame, required: Sequence[str] = tuple(c.SYMBOLS), max_rows: int = 10_000
+    df: DataFrame, required: Sequence[str] = tuple(c.SYMBOLS), max_rows: int | None = None
 ) -> DataFrame:
     """One row on an active window: rows, required symbols that are absent, unexpected ones, and
     whether it is accepted.
 
-    Counted by symbol first, so only distinct symbols are compared.
+    Counted by symbol first, so only distinct symbols are compared. A largest size holds only where
+    the caller names one.
     """
     wanted = F.col("symbol").isin(list(required))
     counted = (
@@ -75,14 +76,16 @@ def window_violations(
         )
     )
     complete = (F.col("absent_symbols") == 0) & (F.col("foreign_symbols") == 0)
-    return counted.withColumn("accepted", F.col("rows").between(1, max_rows) & complete)
+    fits = F.col("rows") >= 1 if max_rows is None else F.col("rows").between(1, max_rows)
+    return counted.withColumn("accepted", fits & complete)
 
 
 def is_stale(incoming: DataFrame, archive: DataFrame, time: str = "bar_start") -> DataFrame:
     """One row: newest incoming and archived bar, and whether the incoming data is older."""
-    new = incoming.agg(F.max(time).alias("newest_incoming")).withColumn("_one", F.lit(1))
-    old = archive.agg(F.max(time).alias("newest_archived")).withColumn("_one", F.lit(1))
+    archived = archive.agg(F.max(time)).scalar()
     older = F.col("newest_incoming") < F.col("newest_archived")
     return (
-        new.join(old, "_one").drop("_one").withColumn("stale", F.coalesce(older, F.lit(False)))
+        incoming.agg(F.max(time).alias("newest_incoming"))
+        .withColumn("newest_archived", archived)
+        .withColumn("stale", F.coalesce(older, F.lit(False)))
     )

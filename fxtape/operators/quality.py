@@ -250,13 +250,19 @@ def check_bars(df: DataFrame, key: str = "symbol", time: str = "bar_start_utc")
     return counted.where(faults + F.col("bad_prices") > 0)
 
 
-def check_export(df: DataFrame, max_rows: int = 10_000, mode: str = c.REPLAY_MODE) -> DataFrame:
-    """One row: export size, foreign modes, and whether the export is allowed."""
+def check_export(
+    df: DataFrame, max_rows: int | None = None, mode: str = c.REPLAY_MODE
+) -> DataFrame:
+    """One row: export size, foreign modes, and whether the export is allowed.
+
+    Counted over the whole relation; there is a largest size only where the caller names one.
+    """
     probed = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~F.col("ingestion_mode").eqNullSafe(F.lit(mode))).alias("other_modes"),
     )
-    allowed = F.col("rows").between(1, max_rows) & (F.col("other_modes") == 0)
+    fits = F.col("rows") >= 1 if max_rows is None else F.col("rows").between(1, max_rows)
+    allowed = fits & (F.col("other_modes") == 0)
     return probed.withColumn("allowed", allowed)
 
 

@@ -107,9 +107,9 @@ def time_ordered(df: DataFrame, time: str = "bar_start_utc") -> DataFrame:
     return df.orderBy(F.asc(time), F.asc("symbol"))
 
 
-def ordered_export(df: DataFrame, order: Sequence[str], max_rows: int = 10_000) -> DataFrame:
-    """The rows of a bounded export, plus one row that shows an overflow."""
-    return df.orderBy(*[F.asc_nulls_first(name) for name in order]).limit(max_rows + 1)
+def ordered_export(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """All rows in a total order: a range-partitioned sort."""
+    return df.orderBy(*[F.asc_nulls_first(name) for name in order])
 
 
 def first_messages(messages: DataFrame, n: int = 3) -> DataFrame:

@@ -17,7 +17,6 @@ from fxtape.functions.scalars import (
 )
 from fxtape.rules import MarketRules
 from fxtape.schemas import STOCK
-from fxtape.shared import BROADCAST_ROWS
 
 
 def dim_stock(spark: SparkSession, rows: list | None = None) -> DataFrame:
@@ -85,32 +84,7 @@ def fx_intervals(rates: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
     ).select("currency", "valid_from", "valid_until", "rate.*")
 
 
-def _interval_days(rates: DataFrame, zone: str):
-    """Upper bound of the rows the intervals fill by day, and the day of the last change.
-
-    A currency's intervals follow each other, so it has one row per day of its span and one per
-    change. Its last interval reaches to the last change of any currency, the ``tail``.
-    """
-    start = F.to_date("valid_from")
-    per_currency = _stamped(rates, zone).groupBy("currency").agg(
-        F.count(F.lit(1)).alias("changes"), F.min(start).alias("first"), F.max(start).alias("last")
-    )
-    last_day = F.max("last")
-    span = F.datediff("last", "first") + 1
-    return per_currency.agg(
-        F.coalesce(F.sum(F.col("changes") + span), F.lit(0)).alias("rows"),
-        (F.coalesce(F.datediff(last_day, F.min("last")), F.lit(0)) * F.count(F.lit(1))).alias("tail"),
-        F.coalesce(last_day, F.current_date()).alias("last_day"),
-    ).first()
-
-
-def asof_fx(
-    events: DataFrame,
-    rates: DataFrame,
-    zone: str = c.LOCAL_ZONE,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 32,
-) -> DataFrame:
+def asof_fx(events: DataFrame, rates: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
     """The rate in force at each event, NULL and labelled when there is none.
 
     Rate intervals do not overlap, so an event meets at most one of them and is neither ranked
@@ -118,14 +92,14 @@ def asof_fx(
     which leaves an event a few intervals to test instead of the whole history. Days after the
     last change of any rate all share the last day's intervals.
 
-    The rates are counted up to ``broadcast_rows`` and broadcast when they fit: the events are
-    then not shuffled at all. Beyond that both sides are shuffled by currency, day and a salt of
-    the event id, so that one busy currency and day is spread over ``salts`` tasks.
+    One lazy plan: the last day is a subquery, and the join carries no hint. Where the rates are
+    too large to broadcast, a currency and day holds a few rate rows, so adaptive execution splits
+    the events of a busy one, or those after the last change, over as many tasks as they need.
     """
     intervals = fx_intervals(rates, zone)
     start = F.to_date("valid_from")
-    size = _interval_days(rates, zone)
-    last_day = F.lit(size.last_day)
+    changes = _stamped(rates, zone).agg(F.max(start).alias("last"))
+    last_day = F.coalesce(changes.scalar(), F.current_date())
     end = F.least(F.coalesce(F.to_date("valid_until"), last_day), last_day)
     by_day = intervals.select(
         F.col("currency").alias("_currency"),
@@ -144,17 +118,8 @@ def asof_fx(
         & (ts >= F.col("valid_from"))
         & (F.col("valid_until").isNull() | (ts < F.col("valid_until")))
     )
-    if size.rows + size.tail <= broadcast_rows:
-        joined = events.join(F.broadcast(by_day), matches, "left")
-    else:
-        salt = F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int")
-        every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        joined = events.withColumn("_event_salt", salt).join(
-            by_day.withColumn("_rate_salt", every_salt),
-            matches & (F.col("_event_salt") == F.col("_rate_salt")),
-            "left",
-        )
-    helpers = ["_currency", "_day", "valid_from", "valid_until", "_event_salt", "_rate_salt"]
+    joined = events.join(by_day, matches, "left")
+    helpers = ["_currency", "_day", "valid_from", "valid_until"]
     return joined.drop(*helpers).withColumn(
         "fx_join_policy", fx_policy(F.col("jisdor_date"), F.col("fx_available_at"))
     )

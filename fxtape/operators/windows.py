@@ -31,8 +31,6 @@ from fxtape.rules import MarketRules
 SESSION_KEYS = ["symbol", "ingestion_mode", "record_type", "session_date"]
 PEER_KEYS = ["minute_utc", "ingestion_mode", "record_type"]
 
-# Peer groups above this number of symbols are ranked without gathering incomplete minutes.
-WIDE_UNIVERSE = 20_000
 
 
 def with_bar_epoch(df: DataFrame) -> DataFrame:
@@ -171,24 +169,12 @@ def _complete(universe_size: int) -> Column:
     return everyone & (F.col("earliest_peer_start") == F.col("latest_peer_start"))
 
 
-def peer_window(df: DataFrame) -> DataFrame:
-    """Number of symbols, sum of returns and session starts among the peers of a bar."""
-    w = W.partitionBy(*PEER_KEYS)
-    return df.withColumns({name: stat().over(w) for name, stat in _PEER_STATS.items()})
-
-
-def peer_rank(df: DataFrame) -> DataFrame:
-    """Rank by session return among the peers of a bar."""
-    w = W.partitionBy(*PEER_KEYS).orderBy(F.desc_nulls_last("session_return"))
-    return df.withColumn("raw_peer_rank", F.dense_rank().over(w))
-
-
-def _wide_peers(df: DataFrame, universe_size: int) -> DataFrame:
-    """Peer statistics for universes too large for one task per bar.
+def peers(df: DataFrame, universe_size: int) -> DataFrame:
+    """Number of symbols, sum of returns, session starts and rank among the peers of a bar.
 
     The statistics are a partial aggregation joined back on the bar. A rank is only reported for
     complete bars, which have exactly ``universe_size`` rows; rows of other bars are spread by a
-    hash so that no surplus of symbols gathers in one window partition.
+    hash, so that no surplus of symbols gathers in one window partition.
     """
     stats = df.groupBy(*PEER_KEYS).agg(*[stat().alias(n) for n, stat in _PEER_STATS.items()])
     keys = [f"_{name}" for name in PEER_KEYS]
@@ -215,17 +201,9 @@ def peer_columns(df: DataFrame, universe_size: int) -> DataFrame:
     ).drop("comparison_return_sum", "raw_peer_rank")
 
 
-def peer_comparison(df: DataFrame, universe_size: int, wide: bool | None = None) -> DataFrame:
-    """Peer statistics, rank and comparison columns of every bar.
-
-    A bar holds one row per symbol. Up to ``WIDE_UNIVERSE`` symbols one window exchange by bar
-    serves all of it, with the rank first so that its sort serves the statistics too; larger
-    universes aggregate first.
-    """
-    if wide is None:
-        wide = universe_size > WIDE_UNIVERSE
-    peers = _wide_peers(df, universe_size) if wide else peer_window(peer_rank(df))
-    return peer_columns(peers, universe_size)
+def peer_comparison(df: DataFrame, universe_size: int) -> DataFrame:
+    """Peer statistics, rank and comparison columns of every bar, by one plan at every size."""
+    return peer_columns(peers(df, universe_size), universe_size)
 
 
 def signal_columns(df: DataFrame, rules: MarketRules) -> DataFrame:

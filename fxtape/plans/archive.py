@@ -52,7 +52,7 @@ def refresh_archive(
     as_of: str,
     sessions: int = 5,
     required: Sequence[str] = tuple(c.SYMBOLS),
-    max_rows: int = 10_000,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Publish the merged archive and the window of its last sessions.
 

@@ -64,11 +64,12 @@ def check_report(checks: dict[str, DataFrame]) -> DataFrame:
 
 
 def audit_and_export(
-    marts: Marts, root: str, exported_at: str, max_rows: int = 10_000
+    marts: Marts, root: str, exported_at: str, max_rows: int | None = None
 ) -> tuple[DataFrame, dict[str, int]]:
     """Readiness row of the chain, and the exported monitoring mart with its counters.
 
-    The exports are written only for 1..``max_rows`` replay rows.
+    The exports hold every row; an empty mart, foreign modes, and more than ``max_rows`` rows where
+    that is given, are refused.
     """
     spark = marts.raw.sparkSession
     stored = marts.publish_monitoring()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fxtape.operators import rows, valuation, windows
 from fxtape.rules import MarketRules
-from fxtape.shared import BROADCAST_ROWS, published
+from fxtape.shared import published
 
 
 @dataclass(frozen=True)
@@ -33,14 +33,9 @@ def minutes(raw: DataFrame, dim: DataFrame, rules: MarketRules) -> DataFrame:
     return valuation.join_stock(bars, dim)
 
 
-def exposure(
-    minute_table: DataFrame,
-    fx: DataFrame,
-    rules: MarketRules,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def exposure(minute_table: DataFrame, fx: DataFrame, rules: MarketRules) -> DataFrame:
     """Each observation valued with the rate that was known at its time."""
-    matched = valuation.asof_fx(minute_table, fx, rules.local_zone, broadcast_rows)
+    matched = valuation.asof_fx(minute_table, fx, rules.local_zone)
     return valuation.valuation(matched, rules.quantity)
 
 
@@ -71,7 +66,6 @@ class Marts:
     fx: DataFrame
     dim: DataFrame
     rules: MarketRules = field(default_factory=MarketRules)
-    broadcast_rows: int = BROADCAST_ROWS
 
     def stg_prices(self) -> DataFrame:
         return rows.dedup_events(self.raw)
@@ -80,7 +74,7 @@ class Marts:
         return minutes(self.raw, self.dim, self.rules)
 
     def fact_market_exposure(self) -> DataFrame:
-        return exposure(self.int_market_minutes(), self.fx, self.rules, self.broadcast_rows)
+        return exposure(self.int_market_minutes(), self.fx, self.rules)
 
     def mart_market_risk(self) -> DataFrame:
         return risk(self.fact_market_exposure(), self.rules)

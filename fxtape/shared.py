@@ -1,4 +1,4 @@
-"""Session helpers: the shared working folder, the UTC pin and the broadcast bound."""
+"""Session helpers: the shared working folder and the UTC pin."""
 
 from __future__ import annotations
 
@@ -8,9 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows up to which a counted relation is broadcast.
-BROADCAST_ROWS = 500_000
-
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Dates in named zones are computed from UTC wall clocks, so the session must be in UTC."""

@@ -237,25 +237,27 @@ def export_json(df: DataFrame, path: str, provenance: Mapping[str, str]) -> None
     header.write.mode("errorifexists").json(f"{path}/provenance")
 
 
-def export_checked(df: DataFrame, path: str, order: Sequence[str], max_rows: int = 10_000) -> int:
-    """CSV of a bounded, ordered, replay-only relation; anything else is refused."""
-    probe = ordered_export(df, order, max_rows)
-    verdict = check_export(probe, max_rows).first()
+def export_checked(
+    df: DataFrame, path: str, order: Sequence[str], max_rows: int | None = None
+) -> int:
+    """CSV of a whole replay-only relation in order; an empty one, one with other modes and, where
+    ``max_rows`` is given, a larger one is refused before anything is written."""
+    verdict = check_export(df, max_rows).first()
     if not verdict.allowed:
         raise RefusedWrite(f"{verdict.rows} rows, {verdict.other_modes} of another mode")
-    export_csv(probe, path)
+    export_csv(ordered_export(df, order), path)
     return verdict.rows
 
 
 def export_workbook_tables(
-    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], root: str, max_rows: int = 10_000
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], root: str, max_rows: int | None = None
 ) -> dict[str, int]:
-    """One ordered CSV per table, each of 1..``max_rows`` rows."""
-    sizes = {}
-    for name, (df, order) in tables.items():
-        probe = ordered_export(df, order, max_rows)
-        sizes[name] = probe.count()
-        if not 1 <= sizes[name] <= max_rows:
+    """One ordered CSV of all rows per table; an empty table, and one above ``max_rows`` where that
+    is given, refuses the export before any table is written."""
+    sizes = {name: df.count() for name, (df, _) in tables.items()}
+    for name, size in sizes.items():
+        if size < 1 or (max_rows is not None and size > max_rows):
             raise RefusedWrite(f"{name}: empty or oversize export")
-        export_csv(probe, f"{root}/{name}")
+    for name, (df, order) in tables.items():
+        export_csv(ordered_export(df, order), f"{root}/{name}")
     return sizes

@@ -109,9 +109,9 @@ def fx_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def fx_asof_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The as-of join on every single event, by the shuffled and salted way."""
+    """The as-of join on every single event, with a merge join forced, as it is planned for rates too large to broadcast."""
     chain = marts(spark, sf_dir)
-    return valuation.asof_fx(chain.stg_prices(), chain.fx, broadcast_rows=0).select(
+    return valuation.asof_fx(chain.stg_prices().hint("merge"), chain.fx).select(
         "event_id", day("jisdor_date").alias("jisdor_date"), *rounded("usd_idr")
     )
 

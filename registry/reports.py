@@ -9,7 +9,7 @@ from fxtape.functions.labels import crossover_signal, register_signal_function,
 from fxtape.operators import quality, reports, rows
 from registry import sql
 from registry.market import EFFECTS, SQL_KEY, key, rounded, sql_rounded, sql_whole, whole
-from registry.tables import AS_OF, RULES, day, fx_fact, marts, table, text
+from registry.tables import AS_OF, RULES, day, fx_fact, marts, positioned, table, text
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -165,14 +165,15 @@ def last_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ordered_export",
     sql.upto(
         "monitoring",
-        f"""SELECT {SQL_KEY}, ingestion_mode, event_id FROM monitoring
-        ORDER BY symbol, ingestion_mode, monitoring.minute_utc LIMIT 10001""",
+        f"""SELECT {SQL_KEY}, ingestion_mode, event_id, row_number() OVER (
+          ORDER BY symbol, ingestion_mode, monitoring.minute_utc) - 1 AS position FROM monitoring""",
     ),
 )
 def ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row, with its place in the order of the exported rows."""
     order = ["symbol", "ingestion_mode", "minute_utc"]
-    return rows.ordered_export(monitoring(spark, sf_dir), order).select(
-        *key(), "ingestion_mode", "event_id"
+    return positioned(
+        rows.ordered_export(monitoring(spark, sf_dir), order).select(*key(), "ingestion_mode", "event_id")
     )
 
 
@@ -181,7 +182,7 @@ def ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql.upto(
         "monitoring",
         """SELECT count(*) AS "rows", count(*) FILTER (ingestion_mode <> 'replay') AS other_modes,
-        count(*) BETWEEN 1 AND 10000 AND count(*) FILTER (ingestion_mode <> 'replay') = 0 AS allowed
+        count(*) >= 1 AND count(*) FILTER (ingestion_mode <> 'replay') = 0 AS allowed
         FROM monitoring""",
     ),
 )

@@ -34,13 +34,12 @@ def golden(spark):
     return events, rates
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_asof_rejects_future_and_unknown_same_day(spark, broadcast_rows):
+@pytest.mark.parametrize("way", ["broadcast", "merge"])
+def test_asof_rejects_future_and_unknown_same_day(spark, way):
     events, rates = golden(spark)
     events = events.withColumn("event_date_wib", F.to_date(F.from_utc_timestamp("event_timestamp", "Asia/Jakarta")))
-    fact = by(
-        marts.exposure(events, rates, MarketRules(), broadcast_rows), "event_id"
-    )
+    events = events.hint("merge") if way == "merge" else events
+    fact = by(marts.exposure(events, rates, MarketRules()), "event_id")
     expected = {
         "first": (16000, 1_600_000.0, "prior_day_assumption"),
         "second": (16100, 1_610_000.0, "verified_availability"),
@@ -85,8 +84,8 @@ def test_asof_equals_literal_rule_on_random_data(spark, seed):
     fx = fx_rows(spark, rates)
     frame = spark.createDataFrame(events, EVENTS)
     results = [
-        {r.event_id: r.jisdor_date for r in valuation.asof_fx(frame, fx, broadcast_rows=n).collect()}
-        for n in (500_000, 0)
+        {r.event_id: r.jisdor_date for r in valuation.asof_fx(f, fx).collect()}
+        for f in (frame, frame.hint("merge"))
     ]
     duck = duckdb.connect()
     duck.execute("CREATE TABLE e (id VARCHAR, currency VARCHAR, t TIMESTAMP)")
@@ -112,3 +111,14 @@ def test_stock_dimension_keeps_unknown_symbols(spark):
     assert sorted((r.symbol, r.currency, r.company_name) for r in joined) == [
         ("JPM", "EUR", None), ("JPM", "USD", "JPMorgan Chase & Co."), ("XYZ", "USD", None),
     ]
+
+
+def test_asof_is_one_lazy_plan_with_a_shuffled_form(spark):
+    """Building the join runs no job; with the merge hint both sides meet by currency and day."""
+    events, rates = golden(spark)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("asof-plan", "building only")
+    joined = valuation.asof_fx(events.hint("merge"), rates)
+    assert len(tracker.getJobIdsForGroup("asof-plan")) == 0
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "_currency" in plan and "BroadcastNestedLoopJoin" not in plan

@@ -109,8 +109,7 @@ def test_baseline_excludes_the_current_bar_and_old_ones(spark):
     assert risk["JPM1"].baseline_count == 0
 
 
-@pytest.mark.parametrize("wide", [False, True])
-def test_peers_need_everyone_and_a_common_start(spark, wide):
+def test_peers_need_everyone_and_a_common_start(spark):
     frames = [
         minutes(spark, [10, 11], "JPM"), minutes(spark, [10, 12], "BAC"),
         minutes(spark, [10, 9], "GS"), minutes(spark, [10, 12], "MS"),
@@ -118,19 +117,19 @@ def test_peers_need_everyone_and_a_common_start(spark, wide):
     ]
     small = rows.union_rows(*frames[:4])
     features = marts.features(marts.risk(small, RULES), RULES)
-    peers = by(windows.peer_comparison(features, 4, wide), "event_id")
+    peers = by(windows.peer_comparison(features, 4), "event_id")
     assert [peers[f"{s}1"].peer_rank for s in ("BAC", "MS", "JPM", "GS")] == [1, 1, 2, 3]
     assert peers["JPM1"].peer_average_return == pytest.approx((0.2 - 0.1 + 0.2) / 3)
     assert peers["JPM1"].excess_return_vs_peers == pytest.approx(0.1 - 0.1)
     # Three of the four and one that began a minute later: everyone is there, not together.
     mixed = rows.union_rows(*frames[:3], frames[4])
     features = marts.features(marts.risk(mixed, RULES), RULES)
-    late = by(windows.peer_comparison(features, 4, wide), "event_id")
+    late = by(windows.peer_comparison(features, 4), "event_id")
     assert late["JPM1"].comparison_symbol_count == 4
     assert late["JPM1"].comparison_complete is False
     assert late["JPM1"].peer_rank is None and late["JPM1"].peer_average_return is None
     surplus = marts.features(marts.risk(rows.union_rows(*frames), RULES), RULES)
-    assert by(windows.peer_comparison(surplus, 4, wide), "event_id")["JPM1"].peer_rank is None
+    assert by(windows.peer_comparison(surplus, 4), "event_id")["JPM1"].peer_rank is None
 
 
 def test_latest_and_alignment(spark):
