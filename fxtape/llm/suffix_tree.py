@@ -1,6 +1,6 @@
 """Language-model scores from a probabilistic suffix tree over bytes, beside a word unigram base.
 
-Training counts every byte with the six before it. A context of one to six bytes is a state of the
+Training counts every byte with the five before it. A context of one to five bytes is a state of the
 tree when coding its next bytes by its own distribution instead of its suffix's saves THRESHOLD bits
 or more, or when a longer state ends in it. A state's distribution is smoothed with its suffix's by
 Kneser-Ney discounts, down to the uniform distribution. A byte is scored by the longest state that the
@@ -13,7 +13,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +20,9 @@ from pyspark.sql import functions as F
 from fxtape.llm.texts import Words, sliced, strings
 from fxtape.shared import published
 
-DEPTH = 6
+DEPTH = 5
 THRESHOLD = 1.0  # bits
-SLICE_STATES = 4_000_000  # model rows broadcast at once; more rows mean more passes
+SLICE_STATES = 2_000_000  # model rows broadcast at once; more rows mean more passes
 FREQUENT = 400_000  # most word counts that are broadcast; all others are joined
 MERGE_ROWS = 3_000_000  # distinct keys a counting task holds
 END = np.uint64(0x5BD1E995)  # the end token among word hashes
@@ -173,12 +172,16 @@ def tree(grams: DataFrame, threshold: float) -> DataFrame:
 class Model:
     """One slice of the tree as sorted arrays."""
 
-    def __init__(self, rows: pd.DataFrame):
+    def __init__(self, rows: pa.Table):
         self.arrays = {}
-        for (depth, kind), part in rows.groupby(["depth", "kind"]):
-            k = part["k"].to_numpy(np.int64).view(np.uint64)
-            order = np.argsort(k)
-            self.arrays[int(depth), int(kind)] = k[order], part["value"].to_numpy(np.float64)[order]
+        depth, kind = rows["depth"].to_numpy(), rows["kind"].to_numpy()
+        k, value = rows["k"].to_numpy().view(np.uint64), rows["value"].to_numpy()
+        for d in range(DEPTH + 1):
+            for which in (0, 1):
+                mine = np.flatnonzero((depth == d) & (kind == which))
+                mine = mine[np.argsort(k[mine])]
+                if len(mine):
+                    self.arrays[d, which] = k[mine], value[mine]
 
     def find(self, depth: int, kind: int, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys, values = self.arrays.get((depth, kind), (np.zeros(0, np.uint64), np.zeros(0)))
@@ -236,11 +239,10 @@ def scored(
         if listed + size > FREQUENT:
             break
         floor, listed = n, listed + size
-    top = words.where(F.col("n") >= floor).toPandas()
-    order = np.argsort(top["k"].to_numpy(np.int64).view(np.uint64))
-    common = spark.sparkContext.broadcast((
-        top["k"].to_numpy(np.int64).view(np.uint64)[order], top["n"].to_numpy(np.int64)[order],
-    ))
+    top = words.where(F.col("n") >= floor).toArrow()
+    names, times = top["k"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    order = np.argsort(names)
+    common = spark.sparkContext.broadcast((names[order], times[order]))
 
     def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, numbers = common.value
@@ -277,7 +279,7 @@ def scored(
     states = F.when(F.col("kind") == 0, last("k", 1)).otherwise(F.shiftright("k", 8).bitwiseAND(F.lit(255)))
     for s in range(slices):
         mine = (F.col("depth") == 0) | (F.pmod(states, F.lit(slices)) == s)
-        part = spark.sparkContext.broadcast(Model(model.where(mine).toPandas()))
+        part = spark.sparkContext.broadcast(Model(model.where(mine).toArrow()))
         rows = rows.mapInArrow(adding(part, text, s, slices), columns)
     rows = rows.drop(text).withColumn("row", F.monotonically_increasing_id())
     rows = published(rows, "scored")
