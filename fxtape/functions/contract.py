@@ -21,7 +21,7 @@ from fxtape.functions.scalars import (
     utf8_text,
     zoned_time,
 )
-from fxtape.schemas import BAR, MARKET_EVENT, TICK
+from fxtape.schemas import MARKET_EVENT
 from fxtape.shared import evaluated
 
 COORDINATE = ["kafka_topic", "kafka_partition", "kafka_offset"]
@@ -110,7 +110,14 @@ def event_error(
 
 
 def is_json_object(text: Column) -> Column:
-    return F.json_object_keys(text).isNotNull()
+    """One strict JSON object and nothing after it.
+
+    Spark's parsers stop at the end of the first value, so the text must also be the one element of an
+    array. The variant parser refuses what JSON does not know, such as single quotes.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    strict = F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT")
+    return F.coalesce(alone & strict, F.lit(False))
 
 
 _PRICE_LITERAL = r'(?<!\\)"price_usd"\s*:\s*([^,}\s]+)'
@@ -123,8 +130,8 @@ def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -
     """Add the typed event fields and ``error`` for a JSON message.
 
     The message is parsed once, into one variant per field, which still tells a number from a text
-    and a null from an absent field. The price enters the identity as it is written in the
-    message. A fraction is also tried as this engine prints it, for superfluous zeros.
+    and a null from an absent field. A whole price enters the identity as it is written in the
+    message, a fraction as it is printed, whatever zeros it was written with.
     """
     parsed = (
         df.withColumn("_text", text)
@@ -150,9 +157,9 @@ def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -
             **{f"_{name}": words(name) for name in EVENT_FIELDS
                if name not in ("schema_version", "price_usd")},
             "_price_usd": number("price_usd"),
-            "_schema_version": number("schema_version").cast("long"),
+            "_schema_version": number("schema_version"),
             "_readable": F.col(f"_event.{_MALFORMED}").isNull()
-            & F.startswith(F.ltrim("_text"), F.lit("{")),
+            & is_json_object(F.col("_text")),
             "_replay_key": F.col("_event.replayed_at").isNotNull(),
             "_live_null": kind("replayed_at") == "VOID",
         }
@@ -161,6 +168,7 @@ def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -
     typed = texts.withColumns(
         {
             **{name: F.col(f"_{name}") for name in EVENT_FIELDS},
+            "schema_version": F.col("_schema_version").cast("long"),
             **{name: zoned_time(F.col(f"_{name}"))
                for name in ("event_timestamp", "ingested_at", "replayed_at")},
             "event_date": F.when(iso_day, F.col("_event_date").try_cast("date")),
@@ -171,13 +179,11 @@ def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -
     as_written = event_id(stamped, F.col("_price"))
     as_printed = event_id(stamped, number_text(F.col("price_usd")))
     fraction = F.col("_price").rlike("[.eE]")
-    identity = (F.col("event_id") == as_written) | (
-        fraction & (F.col("event_id") == as_printed)
-    )
+    identity = F.col("event_id") == F.when(fraction, as_printed).otherwise(as_written)
     mode = F.col("ingestion_mode")
     replay_field = F.col("_replay_key") & ((mode == c.REPLAY_MODE) | F.col("_live_null"))
     rules = event_error(
-        {**fields, "symbols": symbols or c.SYMBOLS}, identity, is_json_object(F.col("raw_payload"))
+        {**fields, "schema_version": F.col("_schema_version"), "symbols": symbols or c.SYMBOLS}, identity, is_json_object(F.col("raw_payload"))
     )
     error = F.coalesce(
         F.when(F.col("_text").isNull(), "encoding"),
@@ -213,12 +219,14 @@ def route_invalid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, decoded.where(F.col("error").isNotNull()).select(*raw)
 
 
-def _payload(df: DataFrame, names: list[str]) -> Column:
+def _payload(df: DataFrame, keep: Sequence[str]) -> Column:
+    """Every input column but those in ``keep``, as one JSON object."""
     kinds = dict(df.dtypes)
-    present = [name for name in names if name in kinds]
     values = {}
-    for name in present:
-        if kinds[name] == "string":
+    for name in (n for n in df.columns if n not in keep):
+        if kinds[name].startswith(("struct", "array", "map")):
+            values[name] = F.coalesce(F.to_json(F.col(name)), F.lit("null"))
+        elif kinds[name] == "string":
             values[name] = json_quoted(F.col(name))
         elif kinds[name] == "double":
             values[name] = F.coalesce(number_text(F.col(name)), F.lit("null"))
@@ -246,12 +254,12 @@ def make_events(
         )
         symbol, price = F.col("symbol"), F.col("price_usd")
         ts, replayed = zoned_time(F.col("bar_start_utc")), ingested_at
-        kind, interval, payload = c.BAR_RECORD, c.BAR_INTERVAL, _payload(df, BAR.names)
+        kind, interval, payload = c.BAR_RECORD, c.BAR_INTERVAL, _payload(df, keep)
     elif mode == c.LIVE_MODE:
         candidate = F.lit(True)
         symbol, price = F.col("id"), F.col("price")
         ts, replayed = from_millis(F.col("time")), F.lit(None).cast("timestamp")
-        kind, interval, payload = c.TICK_RECORD, c.TICK_INTERVAL, _payload(df, TICK.names)
+        kind, interval, payload = c.TICK_RECORD, c.TICK_INTERVAL, _payload(df, keep)
     else:
         raise ValueError(f"unsupported ingestion mode {mode}")
     built = df.select(

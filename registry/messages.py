@@ -64,7 +64,7 @@ def replay_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def built_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract events of all bars, received an hour after the last of them."""
     received = F.lit("2024-01-31 01:00:00").cast("timestamp")
-    return contract.make_events(replay_bars(spark, sf_dir), c.REPLAY_MODE, received, SYMBOLS)
+    return contract.make_events(replay_bars(spark, sf_dir).drop("event_id"), c.REPLAY_MODE, received, SYMBOLS)
 
 
 @query("event_identity", f"SELECT event_id AS id, {ID_SQL} AS digest FROM events")
@@ -91,7 +91,7 @@ def make_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("live_events", f"""SELECT event_type AS symbol, value AS price_usd,
     strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S') AS event_timestamp,
-    'price_update' AS record_type, true AS never_replayed,
+    'price_update' AS record_type, true AS never_replayed, event_type || '-' || user_id AS kept_field,
     CASE WHEN user_id > 100 THEN 'currency' END AS error FROM events""")
 def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as live ticks; those of some users lack the currency."""
@@ -99,11 +99,13 @@ def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("id"), F.col("value").alias("price"),
         F.when(F.col("user_id") <= 100, c.CURRENCY).alias("currency"),
         F.unix_millis(utc("ts")).alias("time"),
+        F.concat("event_type", F.lit("-"), F.col("user_id").cast("string")).alias("exchange"),
     )
     received = F.lit("2024-01-31 01:00:00").cast("timestamp")
     return contract.make_events(ticks, c.LIVE_MODE, received, SYMBOLS).select(
         "symbol", "price_usd", text("event_timestamp").alias("event_timestamp"), "record_type",
-        F.col("replayed_at").isNull().alias("never_replayed"), "error",
+        F.col("replayed_at").isNull().alias("never_replayed"),
+        F.get_json_object("raw_payload", "$.exchange").alias("kept_field"), "error",
     )
 
 
@@ -111,7 +113,7 @@ def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # What is wrong with a message, by event id modulo 16; the other remainders are sound.
 FAULTS = {
-    4: "price", 5: "price", 6: "currency", 7: "event_time", 8: "future_event", 9: "identity",
+    2: "json", 3: "schema_version", 4: "price", 5: "price", 6: "currency", 7: "event_time", 8: "future_event", 9: "identity",
     10: "interval", 11: "payload", 12: "event_date", 13: "json", 14: "encoding", 15: "replay_time",
 }
 FAULT_SQL = "CASE event_id % 16 " + " ".join(
@@ -137,7 +139,9 @@ def messages(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame
 
     price = r'(?<!\\)"price_usd": '
     value = (
-        F.when(kind == 4, swap(price + r"[^,]+", '"price_usd": true'))
+        F.when(kind == 2, F.concat(whole, F.lit(" {}")))
+        .when(kind == 3, swap(r'(?<!\\)"schema_version": 1', '"schema_version": 1.5'))
+        .when(kind == 4, swap(price + r"[^,]+", '"price_usd": true'))
         .when(kind == 5, swap(price, '"price_usd": -'))
         .when(kind == 6, swap(r'(?<!\\)"currency": "USD"', '"currency": "EUR"'))
         .when(kind == 7, swap(r'("event_timestamp": "[^"+]+)[+]00:00"', '$1"'))
