@@ -96,10 +96,15 @@ def repeated_words(words: Column) -> Column:
     return let(ones, lambda high: of(words, high))
 
 
+def stop_forms() -> list[str]:
+    """All stop words, also with a capital."""
+    listed = {w for words in STOP_WORDS.values() for w in words.split()}
+    return sorted(listed | {w.capitalize() for w in listed})
+
+
 def measures(text: Column) -> Column:
     """All measures of one text as a struct of longs; a null text has no words."""
-    listed = {w for words in STOP_WORDS.values() for w in words.split()}
-    stop = sorted(listed | {w.capitalize() for w in listed})
+    stop = stop_forms()
     text = F.coalesce(text, F.lit(""))
 
     def of(w: Column) -> Column:

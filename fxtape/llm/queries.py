@@ -94,4 +94,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_tree": op9_suffix_tree,
     "op10_toxicity": op10_toxicity,
 }
-SQL: dict[str, str] = {}
+def _sql_rule(value: str) -> str:
+    """The longest rule that fits, as CASE arms in falling length."""
+    ranked = sorted(URL_RULES, key=lambda r: (-len(r.text), r.action != "allow", r.text))
+    arms = [
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') "
+        f"THEN '{getattr(r, value)}'"
+        for r in ranked
+    ]
+    return f"CASE {' '.join(arms)} END"
+
+
+_SQL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\??[^#]*)"
+_SQL_LOWER = f"translate(%s, '{url_filter.UPPER}', '{url_filter.LOWER}')"
+
+
+def _sql_part(url: str, n: int) -> str:
+    part = f"regexp_extract(coalesce({url}, ''), '{_SQL_PARTS}', {n})"
+    return _SQL_LOWER % part if n == 1 else part
+
+
+def _sql_address(url: str) -> str:
+    host = f"regexp_replace({_sql_part(url, 1)}, ':(80|443)$', '')"
+    return (
+        f"CASE WHEN {_sql_part(url, 1)} <> '' THEN {host} || "
+        f"regexp_replace({_sql_part(url, 2)}, '/+$', '') || {_sql_part(url, 3)} END"
+    )
+
+
+SQL: dict[str, str] = {
+    "op6_url_filter": f"""WITH RECURSIVE tags AS (
+        SELECT url, regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>', 0) AS tag FROM pages),
+      links AS (
+        SELECT url, regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1) AS target FROM tags
+        WHERE tag <> ''),
+      edges AS (SELECT {_sql_address("url")} AS a, {_sql_address("target")} AS b FROM links),
+      both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+      own AS (SELECT page_id, {_sql_part("url", 1)} AS host, {_sql_part("url", 2)} AS path,
+        {_sql_address("url")} AS node FROM pages),
+      ruled AS (SELECT *, {_sql_rule("text")} AS rule, {_sql_rule("action")} AS action FROM own),
+      reach(x, y) AS (SELECT a, b FROM both_ways UNION SELECT r.x, e.b FROM reach r JOIN both_ways e ON r.y = e.a),
+      aliased AS (SELECT r.x AS node, max(CASE o.action WHEN 'allow' THEN 2 WHEN 'block' THEN 1 END) AS w
+        FROM reach r JOIN ruled o ON o.node = r.y GROUP BY 1)
+      SELECT page_id, host, path, rule,
+        coalesce(action, CASE WHEN w = 1 THEN 'block' ELSE 'allow' END) AS verdict,
+        CASE WHEN action IS NOT NULL THEN 'rule' WHEN w IS NOT NULL THEN 'alias' ELSE 'default' END AS source
+      FROM ruled LEFT JOIN aliased USING (node)""",
+    "op7_quality_rules": f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+      w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+      win AS (SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM w, unnest(range(1, len(ws) - 1)) u(i)),
+      twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
+      rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, unnest([0, 1, 2]) s(k) GROUP BY 1),
+      m AS (SELECT doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars,
+        len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+        len(list_filter(ws, lambda x: x IN ({", ".join(repr(x) for x in quality_rules.stop_forms())}))) AS stops
+        FROM w LEFT JOIN rep USING (doc_id)),
+      b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+      SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words
+          AND 100 * n_symbols <= 25 * n_words AND 100 * stops >= n_words AND 100 * n_dup_lines <= 50 * n_lines AS kept
+      FROM b""",
+}
