@@ -111,9 +111,8 @@ def clusters(prefixed: DataFrame, percent: int, wide: int) -> DataFrame:
         return F.least(size - missing, F.floor(size / 20) + 1)
 
     close = (
-        met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-        .agg(F.count("*").alias("overlap"))
-        .where(F.col("overlap") >= F.least(need("na"), need("nb")))
+        met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least(need("x.n"), need("y.n")).cast("int").alias("need"))
+        .groupBy("a", "b", "need").agg(F.count("*").alias("overlap")).where("overlap >= need")
     )
     hot = shared.where((F.col("m") > wide) & (F.col("node") != F.col("lead")))
     edges = close.select("a", "b").union(hot.select("lead", "node"))
@@ -159,26 +158,25 @@ def product(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent
 
 
 def links(docs: DataFrame, grouped: DataFrame, key: str, text: str, size: int, percent: int, block: int) -> DataFrame:
-    """(a, b): linked pairs of each cluster, enough to connect all that are linked."""
+    """(a, b): linked pairs of each cluster, enough to connect all that are linked.
+
+    Texts are dealt to their blocks, being smaller than their sets of hashes, and hashed there again.
+    The joins are merge joins at every size, as the clustered documents grow with the corpus.
+    """
     rows = published(
-        docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(grouped, "node"), "clustered"
+        docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(grouped.hint("merge"), "node"),
+        "clustered",
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             sets = Words(strings(batch, "text")).shingles(size)
-            yield pa.RecordBatch.from_pydict({
-                "node": batch.column("node"), "cluster": batch.column("cluster"),
-                "n": pa.array([len(s) for s in sets], pa.int64()),
-                "set": pa.array([s.tobytes() for s in sets], pa.binary()),
-            })
+            n = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "cluster": batch.column("cluster"), "n": n})
 
-    matrix = rows.mapInArrow(run, "node long, cluster long, n long, set binary")
-    counted = matrix.select("node", "cluster", "n")
+    sized = rows.mapInArrow(measure, "node long, cluster long, n long").groupBy("cluster", "node").agg(F.max("n").alias("n"))
     by_size = Window.partitionBy("cluster").orderBy("n", "node")
-    placed = published(
-        counted.distinct().withColumn("block", F.floor((F.row_number().over(by_size) - 1) / block)), "blocks"
-    )
+    placed = published(sized.withColumn("block", F.floor((F.row_number().over(by_size) - 1) / block)), "blocks")
     bounds = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     i, j = bounds.alias("i"), bounds.alias("j")
     pairs = i.join(
@@ -187,14 +185,12 @@ def links(docs: DataFrame, grouped: DataFrame, key: str, text: str, size: int, p
         & (F.col("i.high") * 100 >= F.col("j.low") * percent),
     ).select(F.col("i.cluster").alias("cluster"), F.col("i.block").alias("i"), F.col("j.block").alias("j"))
     sides = pairs.select("cluster", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    dealt = matrix.join(placed, ["node", "cluster", "n"]).join(sides, ["cluster", "block"])
+    dealt = rows.drop("cluster").join(placed.join(sides, ["cluster", "block"]).drop("n").hint("merge"), "node")
 
     def multiply(keys: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        i, j = keys[1], keys[2]
-        node = part["node"].to_numpy()
-        sets = [np.frombuffer(s, np.uint64) for s in part["set"]]
-        at = part["block"].to_numpy()
-        left, right = np.flatnonzero(at == i), np.flatnonzero(at == j)
+        node, at = part["node"].to_numpy(), part["block"].to_numpy()
+        sets = [s for t in part["text"] for s in Words([t or ""]).shingles(size)]
+        left, right = np.flatnonzero(at == keys[1]), np.flatnonzero(at == keys[2])
         found = product(sets, left, right, percent)
         return pd.DataFrame({"a": [node[x] for x, _ in found], "b": [node[y] for _, y in found]}, dtype="int64")
 
@@ -208,7 +204,7 @@ def joined(
     size: int = 3,
     percent: int = 90,
     wide: int = 32,
-    block: int = 128,
+    block: int = 512,
 ) -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
