@@ -153,6 +153,14 @@ def tokenizer_pieces(model: bytes) -> PieceCache:
 _CACHES: dict[int, PieceCache] = {}
 
 
+def worker_pieces(model: bytes) -> PieceCache:
+    """The cache of this Python worker, which outlives its tasks."""
+    mark = zlib.crc32(model)
+    if mark not in _CACHES:
+        _CACHES[mark] = tokenizer_pieces(model)
+    return _CACHES[mark]
+
+
 def write(
     docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, key: str = "doc_id", text: str = "text"
 ) -> None:
@@ -167,11 +175,9 @@ def write(
     spark = docs.sparkSession
     with open(tokenizer, "rb") as file:
         model = spark.sparkContext.broadcast(file.read())
-    mark = zlib.crc32(model.value)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _CACHES.setdefault(mark, None) or tokenizer_pieces(model.value)
-        _CACHES[mark] = pieces
+        pieces = worker_pieces(model.value)
         part, tail = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
         chunk, start, keys, held, size = 0, 0, [], [], 0
 
