@@ -14,12 +14,26 @@ FX_KEYS = ("jisdor_date", "currency")
 BAR_KEY = ("symbol", "bar_start_utc")
 
 
+def _unique(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
+    """One row per key with its fields as a struct; a repeated key fails the job.
+
+    The aggregation is dealt by the keys the join needs anyway, so it adds no shuffle, and the refusal
+    is part of the value, so no later step can prune it.
+    """
+    row = F.struct(F.lit(1).alias("_in"), *fields)
+    grouped = df.select(*keys, row.alias(name)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.any_value(name).alias(name)
+    )
+    kind = grouped.schema[name].dataType
+    refuse = F.raise_error(F.lit("repeated key in a merge")).cast(kind)
+    return grouped.select(*keys, F.when(F.col("_rows") > 1, refuse).otherwise(F.col(name)).alias(name))
+
+
 def _side_by_side(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of two relations of the same columns, each side as one struct."""
+    """Full outer join of two relations of the same columns, each side as one struct per key."""
     fields = [name for name in left.columns if name not in keys]
-    a = left.select(*keys, F.struct(F.lit(1).alias("_in"), *fields).alias("_left"))
-    b = right.select(*keys, F.struct(F.lit(1).alias("_in"), *fields).alias("_right"))
-    return a.join(b, list(keys), "full")
+    a = _unique(left, keys, fields, "_left")
+    return a.join(_unique(right, keys, fields, "_right"), list(keys), "full")
 
 
 def _taken(df: DataFrame, take_right: Column, columns: Sequence[str], keys: Sequence[str],
@@ -38,7 +52,8 @@ def merge_latest(
 ) -> DataFrame:
     """Upsert: insert new keys, replace rows whose staged version is strictly newer.
 
-    Both sides are unique by ``keys``. ``with_action`` adds what happened to each row.
+    A key that is repeated on either side fails the job. ``with_action`` adds what happened to each
+    row.
     """
     both = _side_by_side(target, staged, keys)
     newer = F.col(f"_right.{version}") > F.col(f"_left.{version}")
@@ -123,8 +138,8 @@ def merge_archive(
 ) -> DataFrame:
     """Archive and incoming rows in one relation, the incoming row winning.
 
-    ``change`` tells added, revised and unchanged rows apart. Both sides are unique by ``keys``;
-    ``duplicate_keys`` checks it.
+    ``change`` tells added, revised and unchanged rows apart. A key that is repeated on either side
+    fails the job.
     """
     both = _side_by_side(archive, incoming, keys)
     change = (

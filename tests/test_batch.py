@@ -341,3 +341,13 @@ def test_fx_audit_and_readiness_of_empty_tables(spark):
     fx = fx_rows(spark, [("2026-09-01", 1, None)])
     assert reports.fx_audit(fx).first().asDict()["invalid"] == 0
     assert reports.fx_audit(fx.where("false")).first().row_count == 0
+
+
+@pytest.mark.parametrize("side", ["target", "staged"])
+def test_merges_refuse_repeated_keys(spark, side):
+    once = spark.createDataFrame([("a", 1, "x")], "k string, v int, w string")
+    twice = spark.createDataFrame([("a", 2, "y"), ("a", 3, "z")], "k string, v int, w string")
+    left, right = (twice, once) if side == "target" else (once, twice)
+    for merged in (merge.merge_latest(left, right, ["k"], "v"), merge.merge_archive(left, right, ["k"])):
+        with pytest.raises(Exception, match="repeated key"):
+            merged.collect()
