@@ -27,17 +27,25 @@ def bar_events(
 
 
 def as_messages(events: DataFrame, topic: str) -> DataFrame:
-    """Events as messages with one partition per symbol, numbered within it by day.
+    """Events as messages with one partition per symbol and offsets from 0 in time order.
 
-    The offset is day and rank within symbol and day, so the ranking works on a day of a symbol
-    at a time and offsets still grow with time.
+    The ranking works on a day of a symbol at a time; the events of its earlier days, counted by day,
+    are added. Symbols are numbered from their distinct list, so no two share a partition.
     """
     of_day = W.partitionBy("symbol", "event_date").orderBy("event_timestamp", "event_id")
-    day = F.datediff("event_date", F.lit("1970-01-01").cast("date")).cast("long")
-    offset = day * 1_000_000_000 + F.row_number().over(of_day)
-    numbered = events.withColumn("_offset", offset)
-    partition = F.pmod(F.xxhash64("symbol"), F.lit(1 << 30))
-    return ingest.replay_messages(numbered, topic, partition, F.col("_offset"))
+    before = W.partitionBy("symbol").orderBy("event_date").rowsBetween(W.unboundedPreceding, -1)
+    days = events.groupBy("symbol", "event_date").agg(F.count(F.lit(1)).alias("_events")).select(
+        "symbol", "event_date", F.coalesce(F.sum("_events").over(before), F.lit(0)).alias("_earlier")
+    )
+    symbols = events.select("symbol").distinct().withColumn(
+        "_partition", F.row_number().over(W.orderBy("symbol")) - 1
+    )
+    numbered = (
+        events.withColumn("_rank", F.row_number().over(of_day) - 1)
+        .join(days, ["symbol", "event_date"]).join(symbols, "symbol")
+        .withColumn("_offset", F.col("_earlier") + F.col("_rank"))
+    )
+    return ingest.replay_messages(numbered, topic, F.col("_partition"), F.col("_offset"))
 
 
 def replay_and_publish(

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fxtape.functions.contract import decode_message, event_json, route_invalid
 from fxtape.operators.reports import run_metrics
 from fxtape.schemas import ENVELOPE, RUN_EVENT
+from fxtape.shared import published
 from fxtape.sinks import writers
 from fxtape.sources.readers import stream_events
 
@@ -62,12 +63,12 @@ def capture_then_process(
             F.col("kafka_offset").alias("offset"),
             F.lit(None).cast("timestamp").alias("timestamp"),
         )
-        decoded = decode_message(messages, symbols).persist()
-        valid, invalid = route_invalid(decoded)
+        folder = f"{paths.raw.rsplit('/', 1)[0]}/decoded/batch_id={batch_id}"
+        decode_message(messages, symbols).write.mode("overwrite").parquet(folder)
+        valid, invalid = route_invalid(spark.read.parquet(folder).drop("batch_id"))
         stamped = valid.withColumns({"consumer_received_at": received, "sink_requested_at": received})
         writers.append_events(stamped, batch_id, paths.valid, paths.run_id)
         writers.write_invalid(invalid.drop("key", "timestamp"), batch_id, paths.invalid)
-        decoded.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", paths.checkpoint)
     if available_now:
@@ -165,14 +166,17 @@ def replay_messages(
 
 
 def write_replay(messages: DataFrame, path: str, files: int) -> None:
-    """Messages as ``files`` Parquet files in time order.
+    """Messages as ``files`` Parquet files in time order, written one after the other.
 
-    Range partitioning by time and a sort inside each part order the files without gathering
-    the messages in one task.
+    A file stream reads by modification time, so a slice of time is only written when the one before
+    it is there. The slices are ranges of one stored relation; a range is a file's worth of messages.
     """
-    ordered = messages.repartitionByRange(files, "timestamp", "offset")
-    ordered = ordered.sortWithinPartitions("timestamp", "offset")
-    ordered.write.mode("errorifexists").parquet(path)
+    ranges = messages.repartitionByRange(files, "timestamp", "offset")
+    stored = published(ranges.withColumn("_slice", F.spark_partition_id()), "replay")
+    for number in range(files):
+        part = stored.where(F.col("_slice") == number).drop("_slice").coalesce(1)
+        mode = "append" if number else "errorifexists"
+        part.sortWithinPartitions("timestamp", "offset").write.mode(mode).parquet(path)
 
 
 def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:

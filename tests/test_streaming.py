@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from helpers import ts
 from pyspark.sql import functions as F
@@ -70,3 +72,5 @@ def test_replay_files_are_in_time_order(spark, sf_dir):
     )
     assert len(spans) == 3
     assert all(a.hi <= b.lo for a, b in zip(spans, spans[1:]))
+    written = [Path(s.file.removeprefix("file://")).stat().st_mtime_ns for s in spans]
+    assert written == sorted(written), "a file stream reads by modification time"
