@@ -206,7 +206,7 @@ def scored(
 
     A text without a term, a null or an empty one gets the share of toxic ones among such examples.
     Repeated rows are scored alike; a key with several labels is toxic if one says so; null labels are
-    left out; without examples every score is one half. A null key counts as an
+    left out; without examples every score is a third. A null key counts as an
     empty text in crc32; other columns are left out.
     """
     spark = docs.sparkSession
@@ -232,7 +232,16 @@ def scored(
     vectors = published(own.mapInArrow(counted, f"{key} long, terms array<int>, counts array<int>"), "vectors")
     total = vectors.count()
     df = np.zeros(len(terms))
-    for t, n in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # TERMS rows
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            counts += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=len(terms))
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"t": pa.array(used, pa.int32()), "n": counts[used]})
+
+    counts = vectors.select("terms").mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n"))
+    for t, n in counts.collect():  # TERMS rows
         df[t] = n
     idf = np.log((total + 1) / (df + 1)) + 1
     known = vectors.join(F.broadcast(learned), key).select(F.col(key).alias("key"), "y", "terms", "counts").distinct()

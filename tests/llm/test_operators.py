@@ -388,7 +388,7 @@ def test_toxicity_on_held_out_rows(judged):
     assert {r.doc_id for r in held} == {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0}
     assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
     assert toxicity.scored(docs.where("false"), labels).count() == 0
-    assert {r.score for r in toxicity.scored(docs, labels.where("false")).collect()} == {0.5}
+    assert all(r.score == pytest.approx(1 / 3) for r in toxicity.scored(docs, labels.where("false")).collect())
 
 
 def test_toxicity_search_is_exact():
