@@ -84,7 +84,7 @@ def minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "exposure",
         f"""SELECT event_id, {sql.day("jisdor_date")} AS jisdor_date, {sql_rounded("usd_idr")},
         {sql.text("fx_available_at")} AS fx_available_at, fx_source_run_id, fx_join_policy
-        FROM matched""",
+        FROM exposure""",
     ),
 )
 def fx_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
