@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fxtape.shared import evaluated
+
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 
@@ -150,9 +152,9 @@ def judged(
     A null or empty text has no words and fails the base; repeated rows are judged alike; an empty
     table stays empty; all other columns pass, whatever their names (the struct is one column).
     """
-    # Unpacked through an inline array, as a filter on a measure would otherwise repeat it.
+    # A step that filters do not cross: pushed below, a filter on the verdict would compute every measure anew.
     inner = measures(F.col(text)).alias("m")
-    taken = docs.select(F.struct(*docs.columns).alias("row"), inner) if docs.columns else docs
+    taken = evaluated(docs.select(F.struct(*docs.columns).alias("row"), inner))
     m = taken.select(
         "row",
         F.col("m.n_words"), F.col("m.word_chars"), F.col("m.n_symbols"),
