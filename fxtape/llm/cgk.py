@@ -6,7 +6,9 @@ steps, so edit distance becomes Hamming distance. A repetition samples a few ste
 and items with equal samples are candidates, and the exact edit distance over words decides.
 
 Walks start at every word of a text. A repetition starts at its own offset of the item, so that an
-edit spoils few repetitions. A window whose first samples fit no item is dropped before it walks on,
+edit spoils few repetitions. Beside them stand straight walks, which go on at every step: an item is cut
+into one stretch more than its edits may be, and as an edit spoils one stretch at most, a copy within
+the allowed distance keeps one whole, whatever the item's length and wherever the edits are. A window whose first samples fit no item is dropped before it walks on,
 which changes nothing in the outcome and makes a repetition cost little more than a look at each word.
 """
 
@@ -28,6 +30,7 @@ SAMPLES = 5
 # Items handled in one pass over the texts; more items mean more passes.
 BLOCK_ITEMS = 5_000
 BLOCK_BYTES = 16_000_000
+STRAIGHT = -1  # the repetition whose walks go on at every step
 
 
 def seeds(repetitions: int) -> np.ndarray:
@@ -42,7 +45,7 @@ def folded(code: np.ndarray, word: np.ndarray) -> np.ndarray:
 class ItemIndex:
     """The sampled codes of one block of items."""
 
-    def __init__(self, items: pd.DataFrame, repetitions: int):
+    def __init__(self, items: pd.DataFrame, repetitions: int, percent: int):
         self.ids = items["item"].tolist()
         words = Words([t or "" for t in items["text"]])
         self.words = [words.hash[a:b] for a, b in zip(words.first, words.last, strict=True)]
@@ -51,9 +54,12 @@ class ItemIndex:
         # (steps, repetition) -> for each sample the partial codes that occur, and the items of a whole code.
         self.tables: dict[tuple[int, int], tuple[list[np.ndarray], dict[int, list[tuple[int, int]]]]] = {}
         for at, w in enumerate(self.words):
-            steps = min(STEPS, len(w))
-            for r in range(repetitions if steps else 0):
-                offset = r * (len(w) - steps) // max(1, repetitions - 1)
+            steps, stretches = min(STEPS, len(w)), len(w) * percent // 100 + 1
+            walks = [(steps, r, r * (len(w) - steps) // max(1, repetitions - 1)) for r in range(repetitions)]
+            walks += [(len(w) // stretches, STRAIGHT, k * (len(w) // stretches)) for k in range(stretches)]
+            for steps, r, offset in walks:
+                if not steps:
+                    continue
                 partial, whole = self.tables.setdefault((steps, r), ([set() for _ in samples(steps)], {}))
                 i, code, taken = 0, np.zeros(1, np.uint64), 0
                 for j in range(samples(steps)[-1] + 1):
@@ -62,7 +68,7 @@ class ItemIndex:
                         code = folded(code, word)
                         partial[taken].add(int(code[0]))
                         taken += 1
-                    i += int(mixed(word ^ self.seeds[r])[0] >> np.uint64(j)) & 1
+                    i += int(self.moves(word, r, j)[0])
                 whole.setdefault(int(code[0]), []).append((at, offset))
         for key, (partial, whole) in self.tables.items():
             self.tables[key] = ([np.array(sorted(p), np.uint64) for p in partial], whole)
@@ -72,6 +78,12 @@ class ItemIndex:
         for t, key in enumerate(self.order):
             self.first[t, 1:] = np.isin(folded(np.zeros(1, np.uint64), self.known), self.tables[key][0][0])
 
+    def moves(self, word: np.ndarray, r: int, j: int) -> np.ndarray:
+        """The words by which a walk at ``word`` goes on after step ``j``."""
+        if r == STRAIGHT:
+            return np.ones(len(word), np.int64)
+        return ((mixed(word ^ self.seeds[r]) >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
+
     def candidates(self, words: Words) -> set[tuple[int, int, int]]:
         """(text, item, word where the item would begin) of windows that share a code with an item."""
         if not len(words.hash) or not len(self.known):
@@ -89,7 +101,7 @@ class ItemIndex:
             code = folded(np.zeros(len(p), np.uint64), h[p])
             taken = 1
             for j in range(1, samples(steps)[-1] + 1):
-                i = i + ((mixed(h[i] ^ self.seeds[r]) >> np.uint64(j - 1)) & np.uint64(1)).astype(np.int64)
+                i = i + self.moves(h[i], r, j - 1)
                 alive = i < end
                 p, i, end, code = p[alive], i[alive], end[alive], code[alive]
                 if j in samples(steps):
@@ -134,9 +146,9 @@ def searched(
     """(key, item, distance, item_words, end_word): items found in texts, the nearest place of each.
 
     A text holds an item when a stretch of it is within floor(percent / 100 * words of the item) word
-    edits; words are runs without white space, A-Z lower-cased. Exact copies are always found, as every
-    repetition meets them; a copy with a tenth of its words changed is found with probability above
-    0.95 (the tests measure it). Windows near a candidate are compared in full, so a reported distance is exact.
+    edits; words are runs without white space, A-Z lower-cased. Every such text is found, for any ``percent``
+    below 100: each item has a stretch for straight walks more than it has edits. Windows near a candidate
+    are compared in full, so a reported distance is exact.
 
     Items go by blocks of BLOCK_ITEMS and BLOCK_BYTES, each broadcast with its codes and compared with
     every text; there is no shuffle of texts. Null and empty texts or items hold and match nothing;
@@ -150,7 +162,7 @@ def searched(
     out = None
     for b in range(blocks):
         some = listed.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toPandas()
-        index = spark.sparkContext.broadcast(ItemIndex(some, repetitions))
+        index = spark.sparkContext.broadcast(ItemIndex(some, repetitions, percent))
         found = matches(docs, index, key, text, item, percent)
         out = found if out is None else out.union(found)
     return out
