@@ -62,8 +62,8 @@ def linked(
     outermost quotes; ``thread`` is the turn at the root of these replies, a message that replies to none
     being its own root; (thread, turn) is reply order. ``clean`` is the text without quotes, announcements and blank ends.
 
-    Digests are reduced to one origin per conversation, and to one at all, before they are joined, so a
-    passage that everyone states or quotes meets one row. Null and empty texts have no passage and an empty clean text.
+    Digests are reduced to one origin per conversation, and to two conversations, before they are joined, so
+    a passage that everyone states or quotes meets one row. Null and empty texts have no passage and an empty clean text.
     A null conversation or turn is never an origin. Repeated rows count once, rows that share a turn but not
     a text are messages of their own with one turn; empty tables give empty tables; other columns are left out.
     """
@@ -87,12 +87,17 @@ def linked(
     wanted = asked.select("d").distinct()
     stated = stated.join(wanted, "d", "left_semi")
     near = published(stated.groupBy("d", "conv").agg(F.min("turn").alias("near_turn")), "origins")
-    far = near.groupBy("d").agg(F.min(F.struct("conv", "near_turn")).alias("far"))
+    # Of each digest the two first conversations: one of them is not the asking one.
+    place = F.row_number().over(Window.partitionBy("d").orderBy("conv"))
+    two = near.withColumn("place", place).where("place <= 2").withColumn("at", F.struct("conv", "near_turn"))
+    far = two.groupBy("d").agg(
+        F.min(F.when(F.col("place") == 1, F.col("at"))).alias("first"), F.min(F.when(F.col("place") == 2, F.col("at"))).alias("second")
+    )
     found = asked.join(near, ["d", "conv"], "left").join(far, "d", "left")
     here = F.col("near_turn") < F.col("turn")
-    away = ~F.col("far.conv").eqNullSafe(F.col("conv"))
+    away = F.when(F.col("first.conv").eqNullSafe(F.col("conv")), F.col("second")).otherwise(F.col("first"))
     origin = F.when(here, F.struct("conv", F.col("near_turn").alias("turn"))).when(
-        away & F.col("far").isNotNull(), F.struct(F.col("far.conv").alias("conv"), F.col("far.near_turn").alias("turn"))
+        away.isNotNull(), F.struct(away["conv"].alias("conv"), away["near_turn"].alias("turn"))
     )
     passages = published(
         found.groupBy(*MESSAGE, "level", "begin", "digest")
