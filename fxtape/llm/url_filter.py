@@ -88,7 +88,7 @@ def filtered(
 
     The page's own rule decides first. A page without one takes the decision of its component over
     ``edges`` (url, target): an explicit allow of any alias wins over blocks; without a rule in the
-    whole component the page is allowed. ``source`` is ``rule``, ``alias`` or ``default``.
+    whole component the page is allowed. Forms of one address are aliases of each other without an edge. ``source`` is ``rule``, ``alias`` or ``default``.
 
     Rules are configuration: they are compiled into one expression. Decisions are reduced per
     address before they meet the edges, so a host or an address with a third of all rows is a small
@@ -119,8 +119,10 @@ def filtered(
         own.select("node", weight(F.col("action")))
     )
     by_node = stated.where("node IS NOT NULL AND w IS NOT NULL").groupBy("node").agg(F.max("w").alias("w"))
-    by_group = linked.join(by_node, "node").groupBy("component").agg(F.max("w").alias("w"))
-    aliases = linked.join(by_group, "component").select("node", "w")
+    # A node without an edge to another one is a group of its own: its forms share their decisions.
+    grouped = by_node.join(linked, "node", "full").select("node", F.coalesce("component", "node").alias("component"), "w")
+    by_group = grouped.where("w IS NOT NULL").groupBy("component").agg(F.max("w").alias("w"))
+    aliases = grouped.select("node", "component").join(by_group, "component").select("node", "w")
     word = F.when(F.col("w") == 1, "block").otherwise("allow")
     return own.join(aliases, "node", "left").select(
         key, "host", "path", "rule",
