@@ -1,6 +1,6 @@
 """Language-model scores from a probabilistic suffix tree over bytes, beside a word unigram base.
 
-Training counts every byte with the five before it. A context of one to five bytes is a state of the
+Training counts every byte with the six before it. A context of one to six bytes is a state of the
 tree when coding its next bytes by its own distribution instead of its suffix's saves THRESHOLD bits
 or more, or when a longer state ends in it. A state's distribution is smoothed with its suffix's by
 Kneser-Ney discounts, down to the uniform distribution. A byte is scored by the longest state that the
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from fxtape.llm.texts import Words, sliced, strings
 from fxtape.shared import published
 
-DEPTH = 5
+DEPTH = 6
+ENDING = 3  # last bytes of a state that name its slice
+SPREAD = 2_654_435_761
 THRESHOLD = 1.0  # bits
 SLICE_STATES = 2_000_000  # model rows broadcast at once; more rows mean more passes
 FREQUENT = 400_000  # most word counts that are broadcast; all others are joined
@@ -224,8 +226,8 @@ def scored(
     equal to ``held`` are scored only; a null key counts as an empty text there.
 
     The FREQUENT most common words are broadcast with their counts, the counts of all others are
-    joined; the tree is broadcast by slices of SLICE_STATES rows, each slice with the states that end in
-    its bytes. Null and empty texts have the end alone; repeated rows are counted and scored each; with
+    joined; the tree is broadcast by slices of about SLICE_STATES rows, dealt by a hash of the ENDING last
+    bytes of a state; shorter states, which are few, go with every slice. Null and empty texts have the end alone; repeated rows are counted and scored each; with
     no training row the tree is uniform; an empty table gives no rows; other columns are left out.
     """
     spark = docs.sparkSession
@@ -276,9 +278,10 @@ def scored(
     rows = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(base, columns)
     model = tree(counted.where(F.col("kind") == BYTES).select("k", "n"), threshold)
     slices = max(1, -(-model.count() // SLICE_STATES))
-    states = F.when(F.col("kind") == 0, last("k", 1)).otherwise(F.shiftright("k", 8).bitwiseAND(F.lit(255)))
+    ending = F.when(F.col("kind") == 0, last("k", ENDING)).otherwise(F.shiftright("k", 8).bitwiseAND(F.lit((1 << 8 * ENDING) - 1)))
+    slice_of = F.pmod(F.shiftright(ending * F.lit(SPREAD), 16), F.lit(slices))
     for s in range(slices):
-        mine = (F.col("depth") == 0) | (F.pmod(states, F.lit(slices)) == s)
+        mine = (F.col("depth") < ENDING) | (slice_of == s)
         part = spark.sparkContext.broadcast(Model(model.where(mine).toArrow()))
         rows = rows.mapInArrow(adding(part, text, s, slices), columns)
     rows = rows.drop(text).withColumn("row", F.monotonically_increasing_id())
@@ -299,13 +302,14 @@ def scored(
 
 
 def adding(part, text: str, number: int, slices: int):
-    """A pass that adds the scores of the bytes whose previous byte belongs to this slice."""
+    """A pass that adds the scores of the bytes whose ENDING previous bytes belong to this slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text):
             codes, owner = windows(strings(batch, text))
             if slices > 1:
-                mine = (codes >> np.uint64(8) & np.uint64(255)) % np.uint64(slices) == number
+                ending = codes >> np.uint64(8) & np.uint64((1 << 8 * ENDING) - 1)
+                mine = (ending * np.uint64(SPREAD) >> np.uint64(16)) % np.uint64(slices) == number
                 codes, owner = codes[mine], owner[mine]
             more = np.bincount(owner, weights=part.value.scores(codes), minlength=batch.num_rows)
             at = batch.schema.get_field_index("score")
