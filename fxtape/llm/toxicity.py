@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples in exact TF-IDF cosine, over a block-max inverted index.
 
-Terms are the words that tell the two labels of the examples apart. The index stores the weights of the
-examples by term; examples stand in blocks, and each term knows its largest weight in each block. A
+Terms are all words of the examples; a word outside them can meet no example and has no part in a vector.
+A term's TF-IDF weight grows with the likelihood ratio by which it tells the two labels apart. The index
+stores the examples' vectors and the largest weights by term; examples stand in blocks, and each term knows its largest weight in each block. A
 query's bound for a block is the product with these maxima; blocks are scored in falling order of the
 bound until no block can hold a nearer example. The nearest vote, nearer ones with more weight, and a
 logistic curve fitted to the examples' votes on each other turns votes into calibrated scores.
@@ -23,9 +24,7 @@ from fxtape.llm.texts import sliced, strings
 from fxtape.shared import published
 
 EXAMPLES = 20_000  # most labelled rows learned from: those with the lowest hash of their key
-TERMS = 512  # most terms: those with the highest likelihood ratio
-LEAST_RATIO = 14.0
-LEAST_DOCUMENTS = 3
+RATIO = 14.0  # likelihood ratio that doubles a term's weight
 NEAREST = 24
 BLOCK = 32
 WORD = re.compile(r"[^\W_]+")
@@ -58,8 +57,8 @@ def ratio(a: np.ndarray, n: np.ndarray, toxic: int, total: int) -> np.ndarray:
     return 2 * sum(part(f, e) for f, e in cells)
 
 
-def chosen_terms(rows: DataFrame, text: str) -> list[str]:
-    """The terms of labelled rows (text, y), best first."""
+def weighed_terms(rows: DataFrame, text: str) -> tuple[list[str], np.ndarray]:
+    """The terms of labelled rows (text, y), those that tell most first, and the factors of their weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, toxic = Counter(), Counter()
@@ -80,10 +79,29 @@ def chosen_terms(rows: DataFrame, text: str) -> list[str]:
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     counted = rows.select(text, "y").mapInArrow(run, "term string, a long, n long")
     summed = counted.groupBy("term").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
-    found = summed.where(F.col("n") >= LEAST_DOCUMENTS).toPandas()  # of the bounded examples
+    found = summed.toArrow().to_pandas()  # of the bounded examples
     found["g"] = ratio(found["a"].to_numpy(float), found["n"].to_numpy(float), toxic, total)
-    found = found[found["g"] >= LEAST_RATIO].sort_values(["g", "term"], ascending=[False, True])
-    return found["term"].tolist()[:TERMS]
+    found = found.sort_values(["g", "term"], ascending=[False, True])
+    return found["term"].tolist(), 1 + found["g"].to_numpy(float) / RATIO
+
+
+
+class Weights:
+    """Vectors of examples one after the other; by term they read as dense rows."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], width: int):
+        self.width = width
+        self.terms = np.concatenate([np.zeros(0, np.int32), *[t.astype(np.int32) for t, _ in vectors]])
+        self.values = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]])
+        self.row = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])
+        self.start = np.searchsorted(self.row, np.arange(width // BLOCK + 1) * BLOCK)
+
+    def __getitem__(self, terms: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(terms), self.width), np.float32)
+        for i, t in enumerate(terms):
+            at = np.flatnonzero(self.terms == t)
+            out[i, self.row[at]] = self.values[at]
+        return out
 
 
 class Index:
@@ -97,44 +115,63 @@ class Index:
             if not len(terms):
                 zero = [zero[0] + 1, zero[1] + int(y)]
                 continue
-            at = merged.setdefault((tuple(terms), tuple(counts)), [0, 0, key])
+            name = tuple(np.asarray(x, ">i4").tobytes() for x in (terms, counts))
+            at = merged.setdefault(name, [0, 0, key, terms, counts])
             at[0], at[1], at[2] = at[0] + 1, at[1] + int(y), min(at[2], key)
         total, toxic = max(1, len(rows)), int(rows["y"].sum()) if len(rows) else 0
         self.prior = (toxic + 1) / (total + 2)
         self.silent = (zero[1] + self.prior) / (zero[0] + 1)  # of texts without a term
-        vectors = sorted(merged)  # similar vectors share blocks
-        blocks = -(-len(vectors) // BLOCK)
-        self.weights = np.zeros((len(idf), blocks * BLOCK), np.float32)
-        self.rows, self.toxic = np.zeros(blocks * BLOCK), np.zeros(blocks * BLOCK)
-        self.keys = np.zeros(blocks * BLOCK, np.int64)
-        for e, v in enumerate(vectors):
-            terms, w = self.vector(*v)
-            self.weights[terms, e] = w
-            self.rows[e], self.toxic[e], self.keys[e] = merged[v]
-        self.size = len(vectors)
-        self.best = self.weights.reshape(len(idf), blocks, BLOCK).max(axis=2)
-        self.slope, self.shift = 1.0, 0.0
-        self.fit(vectors)
+        found = [merged[name] for name in sorted(merged)]  # similar vectors share blocks
+        self.size, self.blocks = len(found), -(-len(found) // BLOCK)
+        self.rows, self.toxic = np.zeros(self.blocks * BLOCK), np.zeros(self.blocks * BLOCK)
+        self.keys = np.zeros(self.blocks * BLOCK, np.int64)
+        for e, (n, y, key, _, _) in enumerate(found):
+            self.rows[e], self.toxic[e], self.keys[e] = n, y, key
+        self.weights = Weights([self.vector(t, c) for *_, t, c in found], self.blocks * BLOCK)
+        # Postings of the largest weights: term by term, the blocks with it.
+        place = self.weights.terms.astype(np.int64) * max(1, self.blocks) + self.weights.row // BLOCK
+        order = np.argsort(place, kind="stable")
+        place, first = np.unique(place[order], return_index=True)
+        self.block = (place % max(1, self.blocks)).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weights.values[order], first) if len(first) else np.zeros(0, np.float32)
+        self.begin = np.searchsorted(place, np.arange(len(idf) + 1) * max(1, self.blocks))
+        self.query = np.zeros(len(idf), np.float32)
 
     def vector(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         terms = np.asarray(terms, np.int64)
         w = (1 + np.log(np.asarray(counts, np.float64))) * self.idf[terms]
         return terms, (w / np.sqrt((w * w).sum())).astype(np.float32)
 
+    def example(self, e: int) -> tuple[np.ndarray, np.ndarray]:
+        a, z = np.searchsorted(self.weights.row, [e, e + 1])
+        return self.weights.terms[a:z], self.weights.values[a:z]
+
+    def bounds(self, terms: np.ndarray, w: np.ndarray) -> np.ndarray:
+        begin, n = self.begin[terms], self.begin[terms + 1] - self.begin[terms]
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.block[at], weights=self.most[at] * np.repeat(w, n), minlength=self.blocks)
+
     def nearest(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the NEAREST distinct vectors; ties go to the lower number."""
-        terms, w = self.vector(terms, counts)
-        bound = w @ self.best[terms]
+        return self.search(*self.vector(terms, counts))
+
+    def search(self, terms: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bound, held = self.bounds(terms, w), self.weights
         order = np.argsort(-bound, kind="stable")
-        found, score = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        found, score = np.zeros(0, np.int64), np.zeros(0)
+        self.query[terms] = w
         for b in order.tolist():
             if bound[b] <= 0 or (len(found) == NEAREST and score[-1] > bound[b] + 1e-6):
                 break
-            more = w @ self.weights[terms, b * BLOCK : (b + 1) * BLOCK]
-            found, score = np.append(found, np.arange(b * BLOCK, (b + 1) * BLOCK)), np.append(score, more)
-            keep = np.lexsort((found, -score))[:NEAREST]
-            keep = keep[score[keep] > 0]
-            found, score = found[keep], score[keep]
+            a, z = held.start[b], held.start[b + 1]
+            product = self.query[held.terms[a:z]] * held.values[a:z]
+            more = np.bincount(held.row[a:z] - b * BLOCK, weights=product, minlength=BLOCK)
+            good = np.flatnonzero(more >= score[-1] if len(found) == NEAREST else more > 0)
+            if len(good):
+                found, score = np.append(found, good + b * BLOCK), np.append(score, more[good])
+                keep = np.lexsort((found, -score))[:NEAREST]
+                found, score = found[keep], score[keep]
+        self.query[terms] = 0
         return found, score
 
     def vote(self, found: np.ndarray, score: np.ndarray, without: tuple[int, float] = (-1, 0.0)) -> float:
@@ -149,36 +186,18 @@ class Index:
         w = w * np.log1p(n)
         return float(((w * share).sum() + self.prior) / (w.sum() + 1))
 
-    def fit(self, vectors: list[tuple]) -> None:
-        """A logistic curve from votes to labels, each example judged by the others."""
-        x, n, y = [], [], []
-        for e, v in enumerate(vectors):
-            found, score = self.nearest(*v)
-            for label, count in ((1.0, self.toxic[e]), (0.0, self.rows[e] - self.toxic[e])):
-                if count:
-                    x.append(logit(self.vote(found, score, (e, label))))
-                    n.append(count)
-                    y.append(label)
-        if len(set(y)) < 2:
-            return
-        x, n, y = np.array(x), np.array(n), np.array(y)
-        a, b = 1.0, 0.0
-        for _ in range(30):  # Newton steps with a light pull to the identity
-            p = 1 / (1 + np.exp(-(a * x + b)))
-            g = np.array([(n * (p - y) * x).sum() + (a - 1), (n * (p - y)).sum() + b])
-            w = n * p * (1 - p)
-            h = np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 1]])
-            step = np.linalg.solve(h, g)
-            a, b = a - step[0], b - step[1]
-        if a > 0 and np.isfinite([a, b]).all():
-            self.slope, self.shift = float(a), float(b)
-
-    def judged(self, terms, counts) -> tuple[float, list[int], list[float]]:
+    def votes(self, e: int) -> list[tuple[float, float, float]]:
+        """(vote as a logit, rows, label) of an example judged by the others, for each label it has."""
+        found, score = self.search(*self.example(e))
+        of = ((1.0, self.toxic[e]), (0.0, self.rows[e] - self.toxic[e]))
+        return [(logit(self.vote(found, score, (e, y))), float(n), y) for y, n in of if n]
+
+    def judged(self, terms, counts, curve: tuple[float, float]) -> tuple[float, list[int], list[float]]:
         """(score, keys and cosines of the three nearest toxic examples)."""
         if not len(terms):
             return float(self.silent), [], []
         found, score = self.nearest(terms, counts)
-        p = float(1 / (1 + np.exp(-(self.slope * logit(self.vote(found, score)) + self.shift))))
+        p = float(1 / (1 + np.exp(-(curve[0] * logit(self.vote(found, score)) + curve[1]))))
         bad = np.flatnonzero(self.toxic[found] > 0)[:3]
         return p, self.keys[found[bad]].tolist(), score[bad].astype(float).tolist()
 
@@ -187,6 +206,21 @@ def logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
+def fitted(x: np.ndarray, n: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """The slope and shift of a logistic curve from votes to labels."""
+    if len(set(y.tolist())) < 2:
+        return 1.0, 0.0
+    a, b = 1.0, 0.0
+    for _ in range(30):  # Newton steps with a light pull to the identity
+        p = 1 / (1 + np.exp(-(a * x + b)))
+        g = np.array([(n * (p - y) * x).sum() + (a - 1), (n * (p - y)).sum() + b])
+        w = n * p * (1 - p)
+        h = np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 1]])
+        step = np.linalg.solve(h, g)
+        a, b = a - step[0], b - step[1]
+    return (float(a), float(b)) if a > 0 and np.isfinite([a, b]).all() else (1.0, 0.0)
+
+
 def scored(
     docs: DataFrame,
     labels: DataFrame,
@@ -201,10 +235,10 @@ def scored(
 
     Labels are learned from rows of ``labels`` whose crc32(key as text) modulo ``parts`` is not
     ``held``, at most ``most`` of them; a text, and nothing else of a row, makes its score. Document
-    frequencies are counted over all rows. The index of at most ``most`` examples over TERMS terms is
+    frequencies are counted over all rows. The index of at most ``most`` examples over all their words is
     broadcast; every row is searched exactly, with no limit on its length.
 
-    A text without a term, a null or an empty one gets the share of toxic ones among such examples.
+    A text without a word of the examples, a null or an empty one gets the share of toxic ones among such examples.
     Repeated rows are scored alike; a key with several labels is toxic if one says so; null labels are
     left out; without examples every score is a third. A null key counts as an
     empty text in crc32; other columns are left out.
@@ -213,7 +247,7 @@ def scored(
     learned = published(examples(labels, key, label, parts, held, most), "examples")
     own = docs.select(F.col(key).cast("long").alias(key), text)
     rows = published(own.join(F.broadcast(learned), key), "labelled")  # at most ``most`` keys
-    terms = chosen_terms(rows, text)
+    terms, factor = weighed_terms(rows, text)
     number = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,32 +265,46 @@ def scored(
 
     vectors = published(own.mapInArrow(counted, f"{key} long, terms array<int>, counts array<int>"), "vectors")
     total = vectors.count()
-    df = np.zeros(len(terms))
+    size = len(terms)
+    df = np.zeros(size)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(terms), np.int64)
+        counts = np.zeros(size, np.int64)
         for batch in batches:
-            counts += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=len(terms))
+            counts += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=size)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"t": pa.array(used, pa.int32()), "n": counts[used]})
 
     counts = vectors.select("terms").mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n"))
-    for t, n in counts.collect():  # TERMS rows
+    for t, n in counts.collect():  # the examples' terms
         df[t] = n
-    idf = np.log((total + 1) / (df + 1)) + 1
+    idf = (np.log((total + 1) / (df + 1)) + 1) * factor
     known = vectors.join(F.broadcast(learned), key).select(F.col(key).alias("key"), "y", "terms", "counts").distinct()
-    index = spark.sparkContext.broadcast(Index(known.toPandas(), idf))
+    made = Index(known.toArrow().to_pandas(), idf)
+    index = spark.sparkContext.broadcast(made)
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = index.value
+        for batch in batches:
+            found = [v for e in batch.column("id").to_pylist() for v in own.votes(e)]
+            yield pa.RecordBatch.from_pydict({c: pa.array([v[i] for v in found], pa.float64()) for i, c in enumerate("xny")})
+
+    # Examples lie in the order of their likeness, so neighbours are dealt to different tasks.
+    numbers = spark.range(made.size).repartition(4 * spark.sparkContext.defaultParallelism)
+    votes = numbers.mapInArrow(voted, "x double, n double, y double").toArrow()
+    curve = fitted(*[votes[c].to_numpy() for c in "xny"])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = index.value, {}
         for batch in batches:
             out = []
-            for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                vector = (tuple(t), tuple(c))
+            lists = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("terms", "counts")]
+            for t, c in zip(*lists, strict=True):
+                vector = (t.tobytes(), c.tobytes())
                 if vector not in seen:
-                    if len(seen) > 100_000:
+                    if len(seen) > 10_000:
                         seen.clear()
-                    seen[vector] = own.judged(t, c)
+                    seen[vector] = own.judged(t, c, curve)
                 out.append(seen[vector])
             yield pa.RecordBatch.from_pydict({
                 key: batch.column(key), "score": pa.array([o[0] for o in out], pa.float64()),
