@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm import bpe, cgk, line_dedup, ngram_join, quality_rules, quotes, simple8b, suffix_tree, toxicity, url_filter
+from fxtape.llm import (
+    bpe, cgk, line_dedup, ngram_join, phrases, prefix_trie, quality_rules, quotes, simhash_anchors, simple8b,
+    suffix_tree, toxicity, url_filter,
+)
 from fxtape.llm.url_filter import UrlRule
+from fxtape.shared import published
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +86,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.encoded(table(spark, sf_dir, "conversations"))
+    return prefix_trie.tried(prefix_trie.rebuilt(published(turns, "conversation_turns")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_anchors.joined(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotes": op1_quotes,
     "op2_simple8b": op2_simple8b,
@@ -93,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_suffix_tree": op9_suffix_tree,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_collocations": op12_collocations,
+    "op13_simhash": op13_simhash,
 }
 def _sql_rule(value: str) -> str:
     """The longest rule that fits, as CASE arms in falling length."""
@@ -122,6 +142,11 @@ def _sql_address(url: str) -> str:
     )
 
 
+# CRC-32 of a number's digits: a step per digit, eight steps per bit shifted out.
+_SQL_CRC32 = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(%s::VARCHAR, ''),
+  lambda d: [ascii(d), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda s, d: CASE WHEN d >= 0 THEN xor(s, d)
+  WHEN s %% 2 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END), 4294967295)"""
+
 SQL: dict[str, str] = {
     "op6_url_filter": f"""WITH RECURSIVE tags AS (
         SELECT url, regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>', 0) AS tag FROM pages),
@@ -156,4 +181,40 @@ SQL: dict[str, str] = {
         NOT base_failed AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words
           AND 100 * n_symbols <= 25 * n_words AND 100 * stops >= n_words AND 100 * n_dup_lines <= 50 * n_lines AS kept
       FROM b""",
+    "op11_prefix_trie": f"""WITH own AS (SELECT conv_id AS c,
+        list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS s
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+      heads AS (SELECT c, s, ({_SQL_CRC32 % "c"} % 4)::BIGINT AS h FROM own),
+      built AS (SELECT o.c, list_concat(coalesce(b.s[1:o.h], []), o.s[o.h + 1:]) AS s
+        FROM heads o LEFT JOIN own b ON b.c = o.c - o.c % 20),
+      steps AS (SELECT c, d, s[1:d] AS p, len(s) AS n FROM built, unnest(range(len(s) + 1)) u(d)),
+      node AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+        FROM steps GROUP BY p, d),
+      child AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY 1, 2),
+      full_node AS (SELECT node.*, coalesce(child.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE
+        (n_convs - 1) * len(regexp_extract_all(p[d].t, '[^\\x20\\x09-\\x0D]+')) END AS saved
+        FROM node LEFT JOIN child USING (p, d)),
+      below AS (SELECT p[1:e] AS p, e AS d, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+        sum(saved)::BIGINT AS saved_tokens FROM full_node, unnest(range(d + 1)) u(e) GROUP BY 1, 2)
+      SELECT x.conv_id, x.d AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens,
+        x.ends_sha256
+      FROM full_node x JOIN below USING (p, d) LEFT JOIN node y ON y.p = x.p[1:x.d - 1] AND y.d = x.d - 1""",
+    "op12_collocations": f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+        list_filter(regexp_split_to_array(x, '[\\x20\\x09]+'), lambda w: w <> '') AS ws
+        FROM documents, unnest(regexp_split_to_array({_SQL_LOWER % "coalesce(text, '')"}, '[.,;:!?\\x0A-\\x0D]')) u(x)),
+      total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY 1),
+      f AS (SELECT lang, ws[i:i + k - 1] AS w, count(*) AS a
+        FROM pieces, unnest([1, 2, 3, 4, 5]) s(k), unnest(range(1, len(ws) - k + 2)) t(i)
+        GROUP BY 1, 2 HAVING count(*) >= 100),
+      cut AS (SELECT f.lang, f.w, f.a, n, k, x.a AS l, y.a AS r, 1000 * f.a::HUGEINT * n // (x.a::HUGEINT * y.a) AS score
+        FROM f JOIN total USING (lang), unnest(range(1, len(f.w))) u(k)
+        JOIN f x ON x.lang = f.lang AND x.w = f.w[1:k] JOIN f y ON y.lang = f.lang AND y.w = f.w[k + 1:]),
+      lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+      inside AS (SELECT lang, w[i:i + k - 1] AS w, max(a) AS b
+        FROM f, unnest(range(2, len(w))) s(k), unnest(range(1, len(w) - k + 2)) t(i) GROUP BY 1, 2),
+      ranked AS (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, n, score::BIGINT AS score,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank
+        FROM lowest LEFT JOIN inside USING (lang, w) WHERE b IS NULL OR 100 * b < 100 * a)
+      SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }
