@@ -4,10 +4,11 @@ Every word position gives one window: the word and, from lead columns, the four
 count is that of the longest phrase; a ROLLUP over the five columns sums the windows by successively
 shorter prefixes, so phrases of one to four words are never exploded on their own.
 
-A window is padded where its piece ends, and where it can hold no candidate any more: behind a word or
-a pair of words that occurs less often than a candidate must. Words and pairs are counted first, and
-those that are frequent are told to the tasks by a bit table of fixed size. A bit set by chance keeps a
-window longer and changes no count. Tasks count what they emit slice by slice, and Spark counts
+A window is padded where its piece ends, and where it can hold no candidate any more: behind a word, a
+pair or a triple of words that occurs less often than a candidate must. Words, pairs of frequent words
+and triples of frequent pairs are counted first, the latter two as hashes, and those that are frequent
+are told to the tasks by a bit table of fixed size each. A bit set by chance, or two pairs of one hash,
+keep a window longer and change no count. Tasks count what they emit slice by slice, and Spark counts
 partially before each shuffle.
 """
 
@@ -26,6 +27,7 @@ from fxtape.shared import published
 LONGEST = 5
 LEADS = [f"w{k}" for k in range(LONGEST)]
 PAD = ""
+RUNS = 3  # words of the longest runs that are counted before the windows
 FILTER_BITS = 26  # of a bit table, 8 MB whatever the corpus
 BLOCK = 1 << 16  # bytes of a bit table that travel as one row
 
@@ -68,11 +70,29 @@ class Pieces:
         self.joined[:-1] = breaks[1:] == breaks[:-1]
         self.bytes = raw.tobytes()
 
-    def pairs(self) -> np.ndarray:
-        """The hash of each word with the one after it."""
-        h = np.zeros(len(self.hash), np.uint64)
-        h[:-1] = mixed(self.hash[:-1] * ORDER[0] + mixed(self.hash[1:]) * ORDER[1])
-        return h
+    def runs(self, size: int) -> np.ndarray:
+        """The hash of each word with the ones after it; the last ones run over the end."""
+        n, h = len(self.hash), np.zeros(len(self.hash), np.uint64)
+        for k in range(size):
+            h[: n - k] += mixed(self.hash[k:] * ORDER[k])
+        return mixed(h + np.uint64(size))
+
+    def frequent(self, tables: list[np.ndarray]) -> list[np.ndarray]:
+        """Where a run of 1, 2, ... words begins that the tables know, as do all runs inside it."""
+        found = [has(tables[0], self.hash)]
+        for size, table in enumerate(tables[1:], 2):
+            open_to = self.open_to(found)
+            open_to[open_to] = has(table, self.runs(size)[open_to])
+            found.append(open_to)
+        return found
+
+    def open_to(self, found: list[np.ndarray]) -> np.ndarray:
+        """Where a run one word longer can be frequent."""
+        shorter = found[-1]
+        out = shorter & self.joined if len(found) == 1 else shorter.copy()
+        out[:-1] &= shorter[1:]
+        out[-1:] = False
+        return out
 
     def words(self, at: np.ndarray) -> pa.Array:
         cut = self.bytes
@@ -161,38 +181,40 @@ def hashed(words: DataFrame) -> DataFrame:
     return words.select("lang", "word").mapInArrow(run, "h long")
 
 
-def windows(texts: DataFrame, words: np.ndarray, least: int) -> DataFrame:
-    """(lang, w0 .. w4, n): the padded longest windows that start with a frequent word, counted."""
-    context = texts.sparkSession.sparkContext
-    word_bits = context.broadcast(words)
+def run_table(texts: DataFrame, known: list, least: int) -> np.ndarray:
+    """The bit table of frequent runs one word longer than those of the ``known`` tables."""
 
-    def both(p: Pieces) -> tuple[np.ndarray, np.ndarray]:
-        frequent = has(word_bits.value, p.hash)
-        follow = p.joined & frequent
-        follow[:-1] &= frequent[1:]
-        return frequent, follow
-
-    def of_pairs(p: Pieces) -> pa.RecordBatch:
-        h, n = np.unique(p.pairs()[both(p)[1]], return_counts=True)
+    def of(p: Pieces) -> pa.RecordBatch:
+        at = p.open_to(p.frequent([table.value for table in known]))
+        h, n = np.unique(p.runs(len(known) + 1)[at], return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    pairs = emitted(texts, "h long, n long", of_pairs).groupBy("h").agg(F.sum("n").alias("n"))
-    pair_bits = context.broadcast(bit_table(pairs.where(F.col("n") >= least).select("h")))
+    counted = emitted(texts, "h long, n long", of).groupBy("h").agg(F.sum("n").alias("n"))
+    return bit_table(counted.where(F.col("n") >= least).select("h"))
+
 
-    def of_windows(p: Pieces) -> pa.RecordBatch:
-        frequent, follow = both(p)
-        follow[follow] = has(pair_bits.value, p.pairs()[follow])
+def windows(texts: DataFrame, words: np.ndarray, least: int) -> DataFrame:
+    """(lang, w0 .. w4, n): the padded longest windows that start with a frequent word, counted."""
+    context = texts.sparkSession.sparkContext
+    tables = [context.broadcast(words)]
+    while len(tables) < RUNS:
+        tables.append(context.broadcast(run_table(texts, tables, least)))
+
+    def of(p: Pieces) -> pa.RecordBatch:
+        found = p.frequent([table.value for table in tables])
         size = len(p.hash)
-        length, on, key = frequent.astype(np.int64), frequent, mixed(p.hash * ORDER[0])
+        on, length, key = found[0], found[0].astype(np.int64), mixed(p.hash * ORDER[0])
         for k in range(1, LONGEST):
+            run = found[min(k, RUNS - 1)]
+            begin = max(k - RUNS + 1, 0)  # of the last run inside the first k + 1 words
             more = np.zeros(size, bool)
-            more[: size - k] = on[: size - k] & follow[k - 1 : size - 1]
+            more[: size - begin] = on[: size - begin] & run[begin:]
             on, length = more, length + more
             lead = np.zeros(size, np.uint64)
             lead[: size - k] = mixed(p.hash[k:] * ORDER[k])
             key = key + np.where(on, lead, np.uint64(0))
         key = mixed(key + length.astype(np.uint64))
-        start = np.flatnonzero(frequent)
+        start = np.flatnonzero(found[0])
         _, first, n = np.unique(key[start], return_index=True, return_counts=True)
         start = start[first]
         columns = [p.languages(start), p.words(start)]
@@ -204,7 +226,7 @@ def windows(texts: DataFrame, words: np.ndarray, least: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([*columns, pa.array(n)], ["lang", *LEADS, "n"])
 
     kind = f"lang string, {', '.join(f'{w} string' for w in LEADS)}, n long"
-    return emitted(texts, kind, of_windows).groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
+    return emitted(texts, kind, of).groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
 
 
 def frequencies(counted: DataFrame, least: int) -> DataFrame:
