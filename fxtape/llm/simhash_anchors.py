@@ -259,8 +259,9 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
         F.min("first").alias("least")
     )
     reach = together.join(least, "component").select(F.col("node").alias("print"), "least")
-    named = distinct.join(reach, "print", "left").select(
-        "print", F.coalesce("least", "first").alias("component_id")
+    named = published(
+        distinct.join(reach, "print", "left").select("print", F.coalesce("least", "first").alias("component_id")),
+        "named_prints",
     )
     return prints.join(named, "print").select(
         F.col("key").alias(key), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
