@@ -1,4 +1,4 @@
-"""Upsert and archive merge as joins; results go to new snapshots."""
+"""Upsert and archive merge as joins; ``sinks/partitions.py`` commits them by partition."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fxtape.functions.scalars import differs
 from fxtape.operators.quality import duplicate_keys, key_quality
+from fxtape.shared import published
 
 FX_KEYS = ("jisdor_date", "currency")
 BAR_KEY = ("symbol", "bar_start_utc")
@@ -65,17 +66,6 @@ def merge_latest(
     return _taken(both, F.col("action") != "keep", target.columns, keys, *more)
 
 
-def merge_into(spark, target: str, staged: str, keys: Sequence[str] = FX_KEYS,
-               version: str = "ingested_at") -> None:
-    """The same upsert as one MERGE statement, for catalogs whose tables support it."""
-    on = " AND ".join(f"t.{key} = s.{key}" for key in keys)
-    spark.sql(
-        f"MERGE INTO {target} t USING {staged} s ON {on} "
-        f"WHEN MATCHED AND s.{version} > t.{version} THEN UPDATE SET * "
-        "WHEN NOT MATCHED THEN INSERT *"
-    )
-
-
 def merge_mismatches(
     staged: DataFrame,
     target: DataFrame,
@@ -99,6 +89,18 @@ def merge_mismatches(
     return joined.where(F.coalesce(bad, F.lit(False))).drop("_stored")
 
 
+def merge_gate(
+    merged: DataFrame, staged: DataFrame, keys: Sequence[str], version: str, fields: Sequence[str],
+    invalid: Column,
+) -> DataFrame:
+    """One row: the quality of a merged relation, the staged rows it does not reflect, the verdict."""
+    open_rows = merge_mismatches(staged, merged, keys, version, fields)
+    mismatches = open_rows.agg(F.count(F.lit(1)).alias("mismatches"), F.lit(1).alias("_one"))
+    gate = key_quality(merged, keys, invalid).withColumn("_one", F.lit(1)).join(mismatches, "_one")
+    faults = F.col("duplicate_keys") + F.col("invalid_rows") + F.col("mismatches")
+    return gate.drop("_one").withColumn("accepted", faults == 0)
+
+
 def merge_checked(
     target: DataFrame,
     staged: DataFrame,
@@ -110,8 +112,8 @@ def merge_checked(
     """The merged relation, and one row that says whether it may be published.
 
     Repeated keys are counted first, by partial aggregation. Where there are any the merge is
-    cancelled and the target returned as it is, so repeated rows never meet in a join. Otherwise
-    the row also holds the quality after the merge and the staged rows that do not reconcile.
+    cancelled and the target returned as it is, so repeated rows never meet in a join. Otherwise the
+    merge is written once, and the row also holds its quality and the staged rows that do not reconcile.
     """
     repeated = {
         "target_duplicates": duplicate_keys(target, keys).count(),
@@ -122,15 +124,12 @@ def merge_checked(
         gate = key_quality(target, keys, invalid).withColumns(counts)
         nothing = F.lit(None).cast("long")
         return target, gate.withColumns({"mismatches": nothing, "accepted": F.lit(False)})
-    merged = merge_latest(target, staged, keys, version)
-    open_rows = merge_mismatches(staged, merged, keys, version, fields)
-    mismatches = open_rows.agg(F.count(F.lit(1)).alias("mismatches"), F.lit(1).alias("_one"))
-    gate = (
-        key_quality(merged, keys, invalid).withColumns(counts).withColumn("_one", F.lit(1))
-        .join(mismatches, "_one").drop("_one")
+    merged = published(merge_latest(target, staged, keys, version), "merged")
+    gate = merge_gate(merged, staged, keys, version, fields, invalid)
+    return merged, gate.select(
+        *[name for name in gate.columns if name not in ("mismatches", "accepted")],
+        *[value.alias(name) for name, value in counts.items()], "mismatches", "accepted",
     )
-    faults = F.col("duplicate_keys") + F.col("invalid_rows") + F.col("mismatches")
-    return merged, gate.withColumn("accepted", faults == 0)
 
 
 def merge_archive(

@@ -3,28 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fxtape import constants as c
+from fxtape import versions
 from fxtape.functions.scalars import zoned_time
 from fxtape.operators import bars, merge, quality
 from fxtape.plans.rates import RefusedBatch
-from fxtape.schemas import BAR
+from fxtape.schemas import BAR_STORED
 from fxtape.shared import published
-from fxtape.sinks import writers
+from fxtape.sinks import partitions, writers
 from fxtape.sources import readers
+from fxtape.versions import RefusedWrite
+
+
+DATE = "bar_date"
 
 
 def stored_bars(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return readers.read_snapshot(spark, root, BAR)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], BAR)
+    """The archive, partitioned by the UTC date of its bars; empty before the first refresh."""
+    return partitions.stored_table(spark, root, BAR_STORED)
+
+
+def dated(bars_: DataFrame) -> DataFrame:
+    return bars_.withColumn(DATE, F.to_date(zoned_time(F.col("bar_start_utc"))))
+
+
+def recent_dates(spark: SparkSession, root: str, sessions: int) -> list[date]:
+    """UTC dates that hold the last sessions of the archive, from the names of its partitions.
+
+    A session of a local day lies in two UTC dates at most.
+    """
+    found = [name.partition("=")[2] for name in versions.names(spark, root) if name.startswith(f"{DATE}=")]
+    return [date.fromisoformat(text) for text in found if text[:1].isdigit()][-(2 * sessions + 1):]
 
 
 def timed(df: DataFrame) -> DataFrame:
@@ -54,22 +68,39 @@ def refresh_archive(
     required: Sequence[str] = tuple(c.SYMBOLS),
     max_rows: int | None = None,
 ) -> DataFrame:
-    """Publish the merged archive and the window of its last sessions.
+    """Merge collected bars into the archive's dates they touch and publish the window of its last
+    sessions.
 
-    Returns one row with the total, added and revised bars. Repeated keys and stale input are
-    refused before anything is merged.
+    Returns one row with the total, added and revised bars. Repeated keys, stale input and a window that
+    lacks symbols are refused before any stored date is replaced. Dates that the bars do not touch are
+    read for the window alone, and only the most recent of them.
     """
-    incoming = published(clean_bars(readers.read_bars(spark, path), as_of), "incoming_bars")
-    archive = stored_bars(spark, archive_root)
-    for side in (incoming, archive):
-        if not quality.duplicate_keys(side, merge.BAR_KEY).isEmpty():
-            raise RefusedBatch("repeated symbol and bar start")
-    if bars.is_stale(timed(incoming), timed(archive)).first().stale:
+    incoming = published(dated(clean_bars(readers.read_bars(spark, path), as_of)), "incoming_bars")
+    recent = recent_dates(spark, archive_root, sessions)
+    stored = partitions.only(stored_bars(spark, archive_root), DATE, recent)
+    if bars.is_stale(timed(incoming), timed(stored)).first().stale:
         raise RefusedBatch("incoming bars are older than the archive")
-    merged = published(merge.merge_archive(archive, incoming), "merged_bars")
-    window = bars.latest_sessions(timed(merged), sessions).drop("bar_start", "change")
-    if not bars.window_violations(window, required, max_rows).first().accepted:
-        raise RefusedBatch("active window lacks symbols or has the wrong size")
-    writers.replace_snapshot(merged.drop("change"), archive_root, version)
-    writers.replace_snapshot(window, active_root, version)
-    return merge.archive_counts(merged)
+    batch_dates = partitions.touched(incoming, DATE)
+    others = partitions.only(stored_bars(spark, archive_root), DATE, [d for d in recent if d not in batch_dates])
+    active: list[DataFrame] = []
+
+    def window_of(merged: DataFrame) -> None:
+        latest = bars.latest_sessions(timed(merged.unionByName(others)), sessions).drop("bar_start", DATE)
+        window = published(latest, "active_window")
+        if not bars.window_violations(window, required, max_rows).first().accepted:
+            raise RefusedBatch("active window lacks symbols or has the wrong size")
+        active.append(window)
+
+    try:
+        commit = partitions.merge_bars(
+            archive_root, incoming, (DATE, *merge.BAR_KEY), DATE, ("symbol",), before=window_of
+        )
+    except RefusedWrite as error:
+        raise RefusedBatch(str(error)) from error
+    writers.replace_snapshot(active[0], active_root, version)
+    total = stored_bars(spark, archive_root).agg(F.count(F.lit(1)).alias("total"), F.lit(1).alias("_one"))
+    changed = commit.changes.agg(
+        *[F.coalesce(F.sum(F.when(F.col("change") == n, F.col("rows"))), F.lit(0)).alias(n) for n in ("added", "revised")],
+        F.lit(1).alias("_one"),
+    )
+    return total.join(changed, "_one").drop("_one")

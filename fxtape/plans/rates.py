@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fxtape import constants as c
 from fxtape.functions.scalars import iso_text, run_time
 from fxtape.operators import merge, quality
-from fxtape.schemas import FX_FACT
-from fxtape.shared import new_folder, published
-from fxtape.sinks import writers
+from fxtape.plans.journal import Journal
+from fxtape.schemas import FX_FACT, FX_RATE
+from fxtape.shared import published
+from fxtape.sinks import partitions, writers
 from fxtape.sources import readers
+from fxtape.versions import RefusedWrite, observed_write
 
 
 class RefusedBatch(ValueError):
@@ -40,13 +41,8 @@ class RateRun:
 
 
 def current_rates(spark: SparkSession, table: str) -> DataFrame:
-    """The newest version of the rate table, empty before the first one."""
-    try:
-        return readers.read_snapshot(spark, table, FX_FACT)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], FX_FACT)
+    """The rate table, partitioned by date; empty before the first run."""
+    return partitions.stored_table(spark, table, FX_FACT)
 
 
 def clean_document(spark: SparkSession, run: RateRun, zone: str = c.LOCAL_ZONE) -> DataFrame:
@@ -60,9 +56,9 @@ def clean_document(spark: SparkSession, run: RateRun, zone: str = c.LOCAL_ZONE)
     return rates
 
 
-def land(spark: SparkSession, run: RateRun, rates: DataFrame) -> DataFrame:
-    """Write the run's records and manifest, and read them back through the manifest."""
-    records = rates.select(
+def records_of(run: RateRun, rates: DataFrame) -> DataFrame:
+    """Rates as the text records a run stores."""
+    return rates.select(
         F.col("jisdor_date").cast("string").alias("jisdor_date"),
         "currency",
         F.col("usd_idr").cast("string").alias("usd_idr"),
@@ -70,36 +66,78 @@ def land(spark: SparkSession, run: RateRun, rates: DataFrame) -> DataFrame:
         iso_text(run_time(F.lit(run.run_id))).alias("ingested_at"),
         F.lit(None).cast("string").alias("fx_available_at"),
     )
+
+
+def land(spark: SparkSession, run: RateRun, rates: DataFrame) -> int:
+    """Write the run's records; those an interrupted try has stored already must be the same."""
+    records = records_of(run, rates)
     checked = quality.check_processed_vs_raw(rates, records, run.source)
     _require(checked.isEmpty(), "processed records differ from the document")
-    stored = writers.write_fx_processed(records, f"{run.landing}/processed", run.run_id)
-    manifest = f"{run.landing}/manifests/run_id={run.run_id}"
-    if stored:
-        writers.write_manifest(spark, run.landing, manifest, run.run_id, run.source, stored)
-    good, violations = readers.read_manifested(spark, manifest, run.landing, run.run_id)
-    _require(violations.isEmpty(), "landed files differ from the manifest")
-    return good
+    writers.write_fx_processed(records, f"{run.landing}/processed", run.run_id)
+    return rates.count()
 
 
-def merge_rates(spark: SparkSession, run: RateRun, batch: DataFrame) -> DataFrame:
-    """Stage the batch, merge it into the newest version and publish the next one.
+def merge_rates(run: RateRun, batch: DataFrame) -> partitions.Commit:
+    """Merge a batch into the dates it touches; other dates are neither read nor written."""
+    date, cluster = writers.FX_LAYOUT
+    try:
+        return partitions.upsert(
+            run.table, batch, merge.FX_KEYS, "ingested_at", ("usd_idr", "source", "fx_available_at"),
+            quality.fx_invalid(), date[0], cluster,
+        )
+    except RefusedWrite as error:
+        raise RefusedBatch(str(error)) from error
 
-    Returns the gate's row.
-    """
-    staging = new_folder(spark, "staging")
-    writers.stage(batch, staging, batch.count())
-    staged = spark.read.schema(FX_FACT).parquet(staging)
-    target = current_rates(spark, run.table)
-    merged, gate = merge.merge_checked(target, staged, quality.fx_invalid())
-    gate = published(gate, "merge_gate")
-    _require(gate.first().accepted, "merge refused by its checks")
-    writers.replace_snapshot(merged, run.table, run.run_id)
-    return gate
+
+STEPS = ("clean", "land", "manifest", "verify", "merge", "report")
 
 
 def rate_batch(spark: SparkSession, run: RateRun, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """The whole batch. Returns the merge gate and the coverage report, one row each."""
-    rates = clean_document(spark, run)
-    gate = merge_rates(spark, run, land(spark, run, rates))
-    coverage = quality.date_coverage(current_rates(spark, run.table), as_of)
-    return gate, quality.coverage_report(coverage, rates)
+    """The whole batch. Returns the merge gate and the coverage report, one row each.
+
+    Each step is written to the run's journal before and after it. A batch that was killed is called
+    again with the same run: finished steps keep their results, the step that had begun is repeated,
+    and the table ends as if nothing had happened. A finished run that is called again changes nothing.
+    """
+    journal = Journal(spark, f"{run.landing.rstrip('/')}-journal", run.run_id)
+
+    def clean(folder: str) -> dict:
+        return {"rates": observed_write(clean_document(spark, run), folder)}
+
+    journal.step("clean", clean)
+    rates = spark.read.schema(FX_RATE).parquet(journal.place("clean"))
+    landed = journal.step("land", lambda _: {"records": land(spark, run, rates)})
+
+    def manifest(folder: str) -> dict:
+        writers.write_manifest(spark, run.landing, folder, run.run_id, run.source, landed["records"])
+        return {"objects": landed["records"]}
+
+    journal.step("manifest", manifest)
+
+    def verify(folder: str) -> dict:
+        listed = journal.place("manifest")
+        good, violations = readers.read_manifested(spark, listed, run.landing, run.run_id)
+        _require(violations.isEmpty(), "landed files differ from the manifest")
+        return {"staged": writers.stage(good, folder, landed["records"])}
+
+    journal.step("verify", verify)
+    staged = spark.read.schema(FX_FACT).parquet(journal.place("verify"))
+
+    def merged(folder: str) -> dict:
+        commit = merge_rates(run, staged)
+        stored = current_rates(spark, run.table)
+        total = quality.key_quality(stored, merge.FX_KEYS, quality.fx_invalid())
+        told = commit.gate.select("mismatches", "accepted", F.lit(1).alias("_one"))
+        whole = total.withColumn("_one", F.lit(1)).join(told, "_one").drop("_one")
+        whole.write.parquet(folder)
+        return {"partitions": [str(value) for value in commit.partitions]}
+
+    journal.step("merge", merged)
+
+    def report(folder: str) -> dict:
+        coverage = quality.date_coverage(current_rates(spark, run.table), as_of)
+        quality.coverage_report(coverage, rates).write.parquet(folder)
+        return {"as_of": as_of}
+
+    journal.step("report", report)
+    return spark.read.parquet(journal.place("merge")), spark.read.parquet(journal.place("report"))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fxtape import constants as c
+from fxtape import versions
 from fxtape.functions.contract import decode_envelope, make_events
 from fxtape.operators import compare, rows
 from fxtape.plans.rates import RefusedBatch
 from fxtape.schemas import MARKET_EVENT
-from fxtape.shared import published
+from fxtape.shared import positioned, published
 from fxtape.sinks import writers
 from fxtape.streaming import ingest
 
@@ -37,8 +40,8 @@ def as_messages(events: DataFrame, topic: str) -> DataFrame:
     days = events.groupBy("symbol", "event_date").agg(F.count(F.lit(1)).alias("_events")).select(
         "symbol", "event_date", F.coalesce(F.sum("_events").over(before), F.lit(0)).alias("_earlier")
     )
-    symbols = events.select("symbol").distinct().withColumn(
-        "_partition", F.row_number().over(W.orderBy("symbol")) - 1
+    symbols = positioned(published(events.select("symbol").distinct(), "symbols").sort("symbol")).select(
+        "symbol", F.col("position").alias("_partition")
     )
     numbered = (
         events.withColumn("_rank", F.row_number().over(of_day) - 1)
@@ -72,18 +75,32 @@ def replay_and_publish(
     metrics = published(ingest.run_once(stream, paths, events.count(), symbols), "run_metrics")
     stored = rows.dedup_run_events(ingest.sink_rows(spark, paths)).select(*MARKET_EVENT.names)
     captured = published(decode_envelope(ingest.raw_rows(spark, paths), symbols), "captured")
-    gate = published(compare.publication_gate(captured, stored, metrics, stored), "gate")
-    if not gate.first().accepted:
-        raise RefusedBatch("capture and stored events do not reconcile")
     partition, cluster = writers.MARKET_LAYOUT
-    laid = writers.layout(stored, partition, cluster)
-    writers.replace_snapshot(laid, table, run_id, metrics.first().valid)
+    gate = publish_checked(captured, stored, metrics, table, run_id, partition, cluster)
+    writers.write_manifest(
+        spark, f"{table}/{versions.newest(spark, table).folder}", f"{root}/manifests/run_id={run_id}", run_id,
+        c.EVENT_SOURCE, metrics.first().valid, whole=True,
+    )
     return metrics, gate
 
 
-def verify_sink(
-    spark: SparkSession, events: DataFrame, paths: ingest.RunPaths
+def publish_checked(
+    captured: DataFrame, valid: DataFrame, report: DataFrame, table: str, run_id: str,
+    partition: Sequence[str] = (), cluster: Sequence[str] = (),
 ) -> DataFrame:
-    """Read back what a run shows against what was sent, as one row."""
-    shown = rows.dedup_run_events(ingest.sink_rows(spark, paths))
-    return compare.readback(events, shown, paths.run_id)
+    """Write, audit, publish: a version is staged, reconciled as it reads back, and only then named.
+
+    The gate compares the capture with the run's output and with what was read from the staged version,
+    and both sizes with the run's ``report``. If it refuses, the staged files go and readers still see the
+    version before. Returns the gate's row.
+    """
+    spark = valid.sparkSession
+    told = report.first().valid
+    staged = versions.stage(writers.layout(valid, partition, cluster), table, run_id, told, *partition)
+    back = versions.read(spark, table, staged, MARKET_EVENT).select(*MARKET_EVENT.names)
+    gate = published(compare.publication_gate(captured, valid, report, back), "gate")
+    if not gate.first().accepted:
+        versions.remove(spark, f"{table}/{staged.folder}")
+        raise RefusedBatch(f"capture and stored events do not reconcile: {gate.first().asDict()}")
+    versions.publish(spark, table, staged)
+    return gate

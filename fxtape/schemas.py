@@ -32,6 +32,8 @@ FX_RECORD_TEXT = _struct(
     ("fx_available_at", _STRING, True),
 )
 
+FX_RATE = _struct(("jisdor_date", _DATE, True), ("currency", _STRING, True), ("usd_idr", RATE, True))
+
 FX_FACT = _struct(
     ("jisdor_date", _DATE, False),
     ("currency", _STRING, False),
@@ -53,6 +55,8 @@ BAR = _struct(
     ("currency", _STRING, True),
 )
 
+BAR_STORED = T.StructType([*BAR.fields, T.StructField("bar_date", _DATE, True)])
+
 TICK = _struct(
     ("id", _STRING, True),
     ("price", _DOUBLE, True),

@@ -12,13 +12,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fxtape import versions
 from fxtape.operators.quality import check_export
 from fxtape.operators.rows import ordered_export
 from fxtape.sources.readers import read_if_present, stored_files
-
-
-class RefusedWrite(ValueError):
-    """The sink would lose or contradict what is there."""
+from fxtape.versions import RefusedWrite, observed_write
 
 
 def layout(df: DataFrame, partition: Sequence[str], cluster: Sequence[str]) -> DataFrame:
@@ -69,31 +67,25 @@ def write_once(df: DataFrame, path: str) -> str:
     return "already_present"
 
 
-def _observed_write(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
-    observed = Observation("write")
-    df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return observed.get["rows"]
-
-
 def stage(df: DataFrame, path: str, expected: int) -> int:
     """Write a batch to an empty place; its row count must be the expected one."""
     if expected < 1 or df.isEmpty():
         raise RefusedWrite("empty batch")
-    written = _observed_write(df, path)
+    written = observed_write(df, path)
     if written != expected:
         raise RefusedWrite(f"{path}: {written} rows stored, {expected} expected")
     return written
 
 
 def replace_snapshot(df: DataFrame, root: str, version: str, expected: int | None = None) -> int:
-    """Write a full new version next to the old ones; readers take the newest.
+    """Write a full new version and make it the newest; readers take that one.
 
-    Versions sort as text, as run ids do. A retry of the same version replaces its own files.
+    A wrong number of rows, a name older than the newest version's and a version that another writer
+    published in the meantime are refused, and the newest version stays what it was.
     """
-    written = _observed_write(df, f"{root}/version={version}", "overwrite")
-    if expected is not None and written != expected:
-        raise RefusedWrite(f"{root}: {written} rows stored, {expected} expected")
-    return written
+    staged = versions.stage(df, root, version, expected)
+    versions.publish(df.sparkSession, root, staged)
+    return staged.rows
 
 
 def write_fx_processed(df: DataFrame, root: str, run_id: str) -> int:
@@ -132,28 +124,33 @@ _CONTENT_TYPES = {
 }
 
 
-def manifest_rows(spark: SparkSession, folder: str, run_id: str) -> DataFrame:
-    """Name, type, digest and length of every file of a run below ``folder``."""
+def manifest_rows(spark: SparkSession, folder: str, run_id: str | None) -> DataFrame:
+    """Name, type, digest and length of every file of a run below ``folder``; of every file there if
+    ``run_id`` is None."""
     suffix = F.substring_index("name", ".", -1)
     pairs = [F.lit(part) for pair in _CONTENT_TYPES.items() for part in pair]
     kind = F.coalesce(
         F.try_element_at(F.create_map(*pairs), suffix), F.lit("application/octet-stream")
     )
     files = stored_files(spark, folder, contents=False)
-    files = files.where(F.contains("name", F.lit(f"/run_id={run_id}/")))
+    if run_id is not None:
+        files = files.where(F.contains("name", F.lit(f"/run_id={run_id}/")))
     return files.select("name", kind.alias("content_type"), "sha256", "bytes")
 
 
 def write_manifest(
-    spark: SparkSession, folder: str, path: str, run_id: str, source: str, records: int
+    spark: SparkSession, folder: str, path: str, run_id: str, source: str, records: int,
+    whole: bool = False,
 ) -> None:
     """Manifest of a run's files: one JSON document per file, each with the run's header.
 
+    ``whole`` takes every file of ``folder``, as a published version's folder belongs to one run.
+
     One document per file keeps a run with many files from being gathered into one task; the
     reader takes documents with any number of objects.
     """
     entry = F.struct("name", "content_type", "sha256", "bytes")
-    manifest_rows(spark, folder, run_id).select(
+    manifest_rows(spark, folder, None if whole else run_id).select(
         F.lit(run_id).alias("run_id"),
         F.lit(records).cast("long").alias("records"),
         F.lit(source).alias("source"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fxtape import constants as c
+from fxtape import versions
 from fxtape.functions.scalars import clean_code, local_date, try_rate, try_time, zoned_time
 from fxtape.operators.quality import check_fx_record
 from fxtape.schemas import BAR, ENVELOPE, FX_DOCUMENT, FX_RECORD_TEXT, MANIFEST, MESSAGE
@@ -225,10 +226,14 @@ def read_if_present(spark: SparkSession, path: str, form: str, schema: T.StructT
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """The newest version below ``root``; only that partition is read."""
-    reader = spark.read if schema is None else spark.read.schema(
-        T.StructType([*schema.fields, T.StructField("version", T.StringType())])
-    )
-    versions = reader.parquet(root)
-    newest = versions.agg(F.max("version").alias("version")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    """The newest published version below ``root``; only its folder is listed and read."""
+    version = versions.newest(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"{root} has no published version")
+    return versions.read(spark, root, version, schema)
+
+
+def snapshot_or_empty(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The newest version, or no rows before the first one."""
+    version = versions.newest(spark, root)
+    return spark.createDataFrame([], schema) if version is None else versions.read(spark, root, version, schema)

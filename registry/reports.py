@@ -9,7 +9,8 @@ from fxtape.functions.labels import crossover_signal, register_signal_function,
 from fxtape.operators import quality, reports, rows
 from registry import sql
 from registry.market import EFFECTS, SQL_KEY, key, rounded, sql_rounded, sql_whole, whole
-from registry.tables import AS_OF, RULES, day, fx_fact, marts, positioned, table, text
+from fxtape.shared import positioned
+from registry.tables import AS_OF, RULES, day, fx_fact, marts, table, text
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

@@ -28,27 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def positioned(ordered: DataFrame) -> DataFrame:
-    """The rows of a sorted relation with their place in it, from 0.
-
-    The relation is stored as it is sorted, a file per range. Its rows are numbered within their range
-    and shifted by the sizes of the ranges before, of which one number each reaches the driver.
-    """
-    numbered = published(
-        ordered.withColumn("_row", F.monotonically_increasing_id()), "ordered"
-    )
-    part = F.shiftright("_row", 33)
-    sizes = sorted(numbered.groupBy(part.alias("part")).count().collect())
-    starts, total = {}, 0
-    for number, size in sizes:
-        starts[number], total = total, total + size
-    if not starts:
-        return numbered.withColumn("position", F.col("_row")).drop("_row")
-    first = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])
-    place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + first[part]
-    return numbered.withColumn("position", place).drop("_row")
-
-
 def utc(column: str) -> Column:
     """A zone-less timestamp read as UTC."""
     return F.col(column).cast("timestamp")
