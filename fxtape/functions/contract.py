@@ -109,41 +109,49 @@ def event_error(
     )
 
 
-def is_json_object(text: Column) -> Column:
-    """One strict JSON object and nothing after it.
+def json_parts(text: Column) -> Column:
+    """A text between the brackets of an array whose last element is the text's hash, parsed strictly.
 
-    Spark's parsers stop at the end of the first value, so the text must also be the one element of an
-    array. The variant parser refuses what JSON does not know, such as single quotes.
+    Spark's parsers stop at the end of the first value. If the text is one value and nothing else, the
+    array has two elements and the second one is the hash.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    strict = F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT")
-    return F.coalesce(alone & strict, F.lit(False))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]")))
+
+
+def is_json_object(text: Column, parts: Column) -> Column:
+    """Whether a text is one strict JSON object; ``parts`` are its ``json_parts``, already computed.
+
+    Refused are single quotes, a name that is repeated and numbers JSON does not know, such as NaN.
+    """
+    alone = (F.try_variant_get(parts, "$[1]", "long") == F.xxhash64(text)) & F.variant_get(
+        parts, "$[2]", "variant"
+    ).isNull()
+    return F.coalesce(alone & text.rlike(r"^[ \t\r\n]*\{"), F.lit(False))
 
 
 _PRICE_LITERAL = r'(?<!\\)"price_usd"\s*:\s*([^,}\s]+)'
-_MALFORMED = "_malformed"
-_MESSAGE = ", ".join(f"{name} VARIANT" for name in EVENT_FIELDS) + f", {_MALFORMED} STRING"
-_STRICT = {"columnNameOfCorruptRecord": _MALFORMED, "allowNonNumericNumbers": "false"}
 
 
 def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -> DataFrame:
     """Add the typed event fields and ``error`` for a JSON message.
 
-    The message is parsed once, into one variant per field, which still tells a number from a text
-    and a null from an absent field. A whole price enters the identity as it is written in the
+    The message and its payload are each parsed once, into a variant that still tells a number from a
+    text and a null from an absent field. A whole price enters the identity as it is written in the
     message, a fraction as it is printed, whatever zeros it was written with.
     """
-    parsed = (
-        df.withColumn("_text", text)
-        .withColumn("_event", F.from_json("_text", _MESSAGE, _STRICT))
-        .withColumn("_price", F.regexp_extract("_text", _PRICE_LITERAL, 1))
+    kept = [name for name in df.columns if name not in EVENT_FIELDS]
+    parsed = evaluated(
+        df.withColumn("_text", text).withColumn("_parts", json_parts(F.col("_text")))
     )
 
+    def field(name: str) -> Column:
+        return F.variant_get("_parts", f"$[0].{name}", "variant")
+
     def kind(name: str) -> Column:
-        return F.schema_of_variant(F.col(f"_event.{name}"))
+        return F.schema_of_variant(field(name))
 
     def value(name: str, to: str) -> Column:
-        return F.try_variant_get(F.col(f"_event.{name}"), "$", to)
+        return F.try_variant_get("_parts", f"$[0].{name}", to)
 
     def words(name: str) -> Column:
         return F.when(kind(name) == "STRING", value(name, "string"))
@@ -152,18 +160,18 @@ def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -
         other = kind(name).isin("STRING", "BOOLEAN", "VOID")
         return F.when(~other, value(name, "double"))
 
-    texts = parsed.withColumns(
-        {
-            **{f"_{name}": words(name) for name in EVENT_FIELDS
-               if name not in ("schema_version", "price_usd")},
-            "_price_usd": number("price_usd"),
-            "_schema_version": number("schema_version"),
-            "_readable": F.col(f"_event.{_MALFORMED}").isNull()
-            & is_json_object(F.col("_text")),
-            "_replay_key": F.col("_event.replayed_at").isNotNull(),
-            "_live_null": kind("replayed_at") == "VOID",
-        }
+    numbers = ("schema_version", "price_usd")
+    opened = parsed.select(
+        *kept,
+        *[words(name).alias(f"_{name}") for name in EVENT_FIELDS if name not in numbers],
+        *[number(name).alias(f"_{name}") for name in numbers],
+        F.col("_text").isNull().alias("_unreadable"),
+        is_json_object(F.col("_text"), F.col("_parts")).alias("_is_object"),
+        F.regexp_extract("_text", _PRICE_LITERAL, 1).alias("_price"),
+        field("replayed_at").isNotNull().alias("_replay_key"),
+        (kind("replayed_at") == "VOID").alias("_live_null"),
     )
+    texts = evaluated(opened.withColumn("_payload_parts", json_parts(F.col("_raw_payload"))))
     iso_day = F.col("_event_date").rlike(r"^\d{4}-\d{2}-\d{2}$")
     typed = texts.withColumns(
         {
@@ -174,24 +182,24 @@ def decode_text(df: DataFrame, text: Column, symbols: list[str] | None = None) -
             "event_date": F.when(iso_day, F.col("_event_date").try_cast("date")),
         }
     )
+    typed = evaluated(typed)
     fields = {name: F.col(name) for name in EVENT_FIELDS}
     stamped = {**fields, "event_timestamp": F.col("_event_timestamp")}
-    as_written = event_id(stamped, F.col("_price"))
-    as_printed = event_id(stamped, number_text(F.col("price_usd")))
     fraction = F.col("_price").rlike("[.eE]")
-    identity = F.col("event_id") == F.when(fraction, as_printed).otherwise(as_written)
+    printed = F.when(fraction, number_text(F.col("price_usd"))).otherwise(F.col("_price"))
+    identity = F.col("event_id") == event_id(stamped, printed)
     mode = F.col("ingestion_mode")
     replay_field = F.col("_replay_key") & ((mode == c.REPLAY_MODE) | F.col("_live_null"))
     rules = event_error(
-        {**fields, "schema_version": F.col("_schema_version"), "symbols": symbols or c.SYMBOLS}, identity, is_json_object(F.col("raw_payload"))
+        {**fields, "schema_version": F.col("_schema_version"), "symbols": symbols or c.SYMBOLS}, identity,
+        is_json_object(F.col("raw_payload"), F.col("_payload_parts")),
     )
     error = F.coalesce(
-        F.when(F.col("_text").isNull(), "encoding"),
-        F.when(~F.coalesce(F.col("_readable"), F.lit(False)), "json"),
+        F.when(F.col("_unreadable"), "encoding"),
+        F.when(~F.col("_is_object"), "json"),
         rules,
         F.when(~F.coalesce(replay_field, F.lit(False)), "replay_time"),
     )
-    kept = [name for name in df.columns if name not in EVENT_FIELDS]
     return evaluated(typed.select(*kept, *EVENT_FIELDS, error.alias("error")))
 
 
@@ -262,6 +270,10 @@ def make_events(
         kind, interval, payload = c.TICK_RECORD, c.TICK_INTERVAL, _payload(df, keep)
     else:
         raise ValueError(f"unsupported ingestion mode {mode}")
+    # The payload was written here: strict JSON unless it holds a number JSON does not know.
+    plain = F.lit(True)
+    for name in (n for n, kind in df.dtypes if kind in ("double", "float") and n not in keep):
+        plain = plain & F.coalesce(~F.isnan(name) & (F.abs(F.col(name)) < float("inf")), F.lit(True))
     built = df.select(
         F.lit(c.SCHEMA_VERSION).cast("long").alias("schema_version"),
         symbol.alias("symbol"),
@@ -277,6 +289,7 @@ def make_events(
         F.lit(mode).alias("ingestion_mode"),
         payload.alias("raw_payload"),
         candidate.alias("_candidate"),
+        plain.alias("_plain"),
         *keep,
     )
     fields = {name: F.col(name) for name in built.columns}
@@ -285,7 +298,7 @@ def make_events(
         number_text(F.col("price_usd")),
     )
     error = event_error(
-        {**fields, "symbols": symbols or c.SYMBOLS}, F.lit(True), is_json_object(F.col("raw_payload"))
+        {**fields, "symbols": symbols or c.SYMBOLS}, F.lit(True), F.col("_plain")
     )
     refused = F.when(~F.coalesce(F.col("_candidate"), F.lit(False)), "not_a_candidate")
     return evaluated(

@@ -58,6 +58,8 @@ def replay_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "currency": F.lit(c.CURRENCY),
     }
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    # A row is small and dear to encode, and a small table is one file that one task would read.
+    events = events.repartition(max(events.sparkSession.sparkContext.defaultParallelism, 1))
     return events.select("event_id", *[values[name].alias(name) for name in BAR.names])
 
 
@@ -129,8 +131,8 @@ def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame:
-    """A message per event; every fault is written into its text."""
-    events = numbered_events(spark, sf_dir)
+    """A message per event, stored as a topic stores them; every fault is written into its text."""
+    events = published(numbered_events(spark, sf_dir), "events")
     kind = F.col("number") % 16 if broken else F.lit(0)
     whole = F.col("text")
 
@@ -164,7 +166,7 @@ def messages(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame
         "offset": F.col("number"),
         "timestamp": F.col("event_timestamp"),
     }
-    return evaluated(with_text.select(*[columns[name].alias(name) for name in MESSAGE.names]))
+    return published(with_text.select(*[columns[name].alias(name) for name in MESSAGE.names]), "messages")
 
 
 def envelopes(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame:
@@ -218,7 +220,7 @@ def first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events: cheap ones lost, dear ones changed, those of some users stored twice."""
-    events = numbered_events(spark, sf_dir).where(F.col("price_usd") >= 5)
+    events = published(numbered_events(spark, sf_dir), "events").where(F.col("price_usd") >= 5)
     copies = F.when(F.col("user_copies"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     located = events.withColumns(
         {
