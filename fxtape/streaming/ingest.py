@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from fxtape import versions
 from fxtape.functions.contract import decode_message, event_json, route_invalid
 from fxtape.operators.reports import run_metrics
 from fxtape.schemas import ENVELOPE, RUN_EVENT
-from fxtape.shared import published
+from fxtape.shared import new_folder
 from fxtape.sinks import writers
 from fxtape.sources.readers import stream_events
 
@@ -25,11 +29,13 @@ class RunPaths:
     raw: str
     valid: str
     invalid: str
+    admitted: str
 
 
 def run_paths(root: str, run_id: str) -> RunPaths:
     base = f"{root.rstrip('/')}/run_id={run_id}"
-    return RunPaths(run_id, *[f"{base}/{n}" for n in ("checkpoint", "raw", "valid", "invalid")])
+    folders = ("checkpoint", "raw", "valid", "invalid", "admitted")
+    return RunPaths(run_id, *[f"{base}/{name}" for name in folders])
 
 
 def process_events(
@@ -39,11 +45,52 @@ def process_events(
     return route_invalid(decode_message(stream, symbols))
 
 
+def admitted(spark: SparkSession, paths: RunPaths) -> int:
+    """Messages a bounded run has let in so far."""
+    told = [versions.read_small(spark, f"{paths.admitted}/{name}") for name in versions.names(spark, paths.admitted)]
+    return sum(entry["count"] for entry in told if entry is not None)
+
+
+def _admit(batch: DataFrame, batch_id: int, paths: RunPaths, limit: int) -> DataFrame:
+    """The messages of a batch that still fit in the limit: whole partitions in order, the one that does
+    not fit up to an end offset.
+
+    What earlier batches let in is read from their entries, so a batch that is tried again after a failure
+    lets the same messages in. The entry holds the count and each partition's end offset. One row per
+    partition reaches the driver.
+    """
+    spark = batch.sparkSession
+    entry = f"{paths.admitted}/{batch_id:012d}.json"
+    earlier = [n for n in versions.names(spark, paths.admitted) if n < f"{batch_id:012d}"]
+    told = [versions.read_small(spark, f"{paths.admitted}/{name}") for name in earlier]
+    room = limit - sum(value["count"] for value in told if value is not None)
+    place = ["topic", "partition"]
+    sizes = batch.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last")).orderBy(*place)
+    ends, taken = {}, F.lit(False)
+    for row in sizes.collect():
+        if room <= 0:
+            break
+        here = (F.col("topic") == row.topic) & (F.col("partition") == row.partition)
+        last = row.last
+        if row.n > room:
+            first = batch.where(here).select("offset").orderBy("offset").limit(room)
+            last = first.agg(F.max("offset")).first()[0]
+        taken = taken | (here & (F.col("offset") <= last))
+        ends[f"{row.topic}/{row.partition}"] = last + 1
+        room -= min(row.n, room)
+    kept = batch.where(taken)
+    versions.write_small(spark, entry, {"count": kept.count(), "ends": ends}, True)
+    return kept
+
+
 def capture_then_process(
-    stream: DataFrame, paths: RunPaths, symbols: list[str] | None = None, available_now: bool = True
+    stream: DataFrame, paths: RunPaths, symbols: list[str] | None = None, available_now: bool = True,
+    limit: int | None = None,
 ) -> StreamingQuery:
     """Store the raw messages of each micro-batch, then its events and its dead letters.
 
+    With ``limit`` no more messages are let in than that; what comes after is left to another run.
+
     The batch is decoded once, from the capture just written: the source is read once and the
     message is on disk before it is interpreted, so a lost executor costs a re-read of the
     capture. Every folder is named by the batch, so a batch
@@ -53,6 +100,8 @@ def capture_then_process(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         received = F.current_timestamp()
+        if limit is not None:
+            batch = _admit(batch, batch_id, paths, limit)
         writers.capture_raw(batch, batch_id, paths.raw)
         captured = spark.read.schema(ENVELOPE).json(f"{paths.raw}/batch_id={batch_id}")
         messages = captured.select(
@@ -112,7 +161,10 @@ def run_once(
     if query.isActive:
         query.stop()
         raise IncompleteRun("deadline passed")
-    spark = stream.sparkSession
+    return _complete(stream.sparkSession, paths, expected)
+
+
+def _complete(spark: SparkSession, paths: RunPaths, expected: int | None) -> DataFrame:
     metrics = metrics_of_run(spark, paths)
     counts = metrics.select("valid", "invalid").first()
     complete = counts is not None and (expected is None or counts.valid == expected)
@@ -121,6 +173,40 @@ def run_once(
     return metrics
 
 
+def run_bounded(
+    stream: DataFrame, paths: RunPaths, limit: int, seconds: float, symbols: list[str] | None = None,
+    pause: float = 0.2,
+) -> StreamingQuery:
+    """Take ``limit`` messages from every partition's earliest offset on, or stop at the deadline.
+
+    The query goes on until its progress and its entries say that the limit is reached, that its source
+    has nothing more to give and the deadline has passed, or that it failed. The source may hold more, and
+    may get more while the query runs. Whether the run is complete is for ``bounded_metrics`` to say.
+    """
+    deadline = time.monotonic() + seconds
+    query = capture_then_process(stream, paths, symbols, available_now=False, limit=limit)
+    seen = -1
+    while query.isActive and time.monotonic() < deadline:
+        progress = query.lastProgress
+        if progress is not None and progress.batchId != seen:
+            seen = progress.batchId
+            if admitted(stream.sparkSession, paths) >= limit:
+                break
+        query.awaitTermination(pause)
+    if query.exception() is not None:
+        raise query.exception()
+    query.stop()
+    return query
+
+
+def bounded_metrics(spark: SparkSession, paths: RunPaths, limit: int) -> DataFrame:
+    """Metrics of a bounded run as one row; refused unless exactly ``limit`` messages came and all are
+    valid."""
+    if admitted(spark, paths) != limit:
+        raise IncompleteRun("fewer messages than asked for; publication refused")
+    return _complete(spark, paths, limit)
+
+
 def metrics_of_run(spark: SparkSession, paths: RunPaths) -> DataFrame:
     """Metrics of a finished run, from what it stored."""
     columns = ["event_id", "ingestion_mode", "ingested_at", "processed_at", "error"]
@@ -139,16 +225,35 @@ def metrics_of_run(spark: SparkSession, paths: RunPaths) -> DataFrame:
     return metrics.withColumn("status", F.when(clean, "passed").otherwise("failed"))
 
 
-def dedup_stream(stream: DataFrame, delay: str = "10 minutes", time: str = "ingested_at"
-                 ) -> DataFrame:
-    """Drop repeated events of a run while they are within ``delay`` of ingestion time.
+def dedup_newest(
+    stream: DataFrame, delay: str = "2 hours", sink_time: str = "sink_requested_at", slot: str = "1 minute"
+) -> DataFrame:
+    """One row per run and event: the delivery with the newest sink time, then the highest offset.
+
+    A delivery replaces the one that is held until the watermark, ``delay`` behind the newest event time,
+    has passed the event's minute; then the row is given out and its state ends. State holds the events
+    of ``delay``, however long the run; a delivery that comes later than that is dropped. Without a
+    message beyond the end (``close_replay``) the events of the last ``delay`` are not given out yet.
+    """
+    newest = F.struct(F.col(sink_time), F.col("kafka_offset"))
+    held = stream.withWatermark("event_timestamp", delay).groupBy(
+        F.window("event_timestamp", slot).alias("_slot"), "demo_run_id", "event_id"
+    ).agg(F.max_by(F.struct(*stream.columns), newest).alias("_row"))
+    # A filter on a key would be applied before the watermark and hide a closing message from it.
+    return held.where(F.col("_row.event_id").isNotNull()).select("_row.*")
+
 
-    Keeps the first arrival and bounded state. The exact rule, newest sink time wins, is the read
-    view ``dedup_run_events``.
+def close_replay(spark: SparkSession, path: str, schema: T.StructType, after: str, columns: Mapping[str, Column] | None = None) -> None:
+    """Add a message without an event, long after the last one, so that every window of a bounded replay
+    is given out.
+
+    ``after`` is its event time; all other columns are null but those in ``columns``.
     """
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(
-        ["demo_run_id", "event_id"]
-    )
+    values = {"event_timestamp": F.lit(after).cast("timestamp")} | dict(columns or {})
+    row = spark.range(1).select(*[
+        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    ])
+    row.write.mode("append").parquet(path)
 
 
 def replay_messages(
@@ -166,17 +271,18 @@ def replay_messages(
 
 
 def write_replay(messages: DataFrame, path: str, files: int) -> None:
-    """Messages as ``files`` Parquet files in time order, written one after the other.
+    """Messages as ``files`` Parquet files of Kafka's shape in time order.
 
-    A file stream reads by modification time, so a slice of time is only written when the one before
-    it is there. The slices are ranges of one stored relation; a range is a file's worth of messages.
+    Each file is one range of time, written once by its own task beside the replay. Then the files are
+    moved in, in the order of their ranges and with rising modification times, by which a file stream
+    reads them; no byte is written or read twice.
     """
+    spark = messages.sparkSession
+    beside = new_folder(spark, "replay_ranges")
     ranges = messages.repartitionByRange(files, "timestamp", "offset")
-    stored = published(ranges.withColumn("_slice", F.spark_partition_id()), "replay")
-    for number in range(files):
-        part = stored.where(F.col("_slice") == number).drop("_slice").coalesce(1)
-        mode = "append" if number else "errorifexists"
-        part.sortWithinPartitions("timestamp", "offset").write.mode(mode).parquet(path)
+    ranges.sortWithinPartitions("timestamp", "offset").write.parquet(beside)
+    parts = [name for name in versions.names(spark, beside) if name.startswith("part-")]
+    versions.move_in_order(spark, beside, path, parts)
 
 
 def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:

@@ -351,38 +351,71 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("stream_dedup", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS symbol FROM events")
-def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both deliveries of every event as a stream; the second one is dropped."""
-    source, target = new_folder(spark, "deliveries"), new_folder(spark, "deduplicated")
-    deliveries = raw_market(spark, sf_dir).withColumn("demo_run_id", F.lit(RUN_ID))
-    deliveries.repartitionByRange(FILES, "ingested_at").write.parquet(source)
-    stream = spark.readStream.schema(deliveries.schema).parquet(source)
-    unique = ingest.dedup_stream(stream, "60 days")
-    unique.writeStream.format("parquet").option("path", target).option(
+_NEWEST_SQL = """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS symbol, event_id * 2 + 1 AS kafka_offset,
+    user_id % 2 AS kafka_partition, ts + to_minutes(60 + event_id % 2) AS ingested_at FROM events"""
+FAR = "2100-01-01 00:00:00"
+
+
+def _streamed(spark: SparkSession, source: DataFrame, order: str, of) -> DataFrame:
+    """What a stream over a relation gives out, written as files in the order of a column and closed."""
+    folder, target = new_folder(spark, "source"), new_folder(spark, "streamed")
+    source.repartitionByRange(FILES, order).write.parquet(folder)
+    ingest.close_replay(spark, folder, source.schema, FAR)
+    stream = of(spark.readStream.schema(source.schema).parquet(folder))
+    stream.writeStream.format("parquet").option("path", target).option(
         "checkpointLocation", new_folder(spark, "checkpoint")
     ).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(target).select("event_id", "symbol")
+    return spark.read.parquet(target)
+
+
+@query("stream_dedup", f"""SELECT event_id, symbol, kafka_offset, kafka_partition,
+    strftime(ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM ({_NEWEST_SQL})""")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both deliveries of every event as a stream; the newest one is given out."""
+    deliveries = raw_market(spark, sf_dir).withColumns(
+        {"demo_run_id": F.lit(RUN_ID), "sink_requested_at": F.col("ingested_at")}
+    )
+    unique = _streamed(spark, deliveries, "ingested_at", ingest.dedup_newest)
+    return unique.select("event_id", "symbol", "kafka_offset", "kafka_partition", text("ingested_at").alias("ingested_at"))
 
 
 @query("stream_minute_bars", sql.upto("stg", f"""SELECT symbol,
     {sql.text("time_bucket(INTERVAL 3600 SECOND, event_timestamp)")} AS minute_utc,
     arg_max(price_usd, event_timestamp) AS price_usd FROM stg
-    WHERE time_bucket(INTERVAL 3600 SECOND, event_timestamp) + INTERVAL 3600 SECOND
-      <= (SELECT max(event_timestamp) FROM stg) - INTERVAL 10 MINUTE
     GROUP BY symbol, time_bucket(INTERVAL 3600 SECOND, event_timestamp)"""))
 def stream_minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly last prices as a stream, those bars the watermark has closed."""
-    source, target = new_folder(spark, "events"), new_folder(spark, "bars")
-    events = raw_market(spark, sf_dir)
-    events.repartitionByRange(FILES, "event_timestamp").write.parquet(source)
-    stream = spark.readStream.schema(events.schema).parquet(source)
-    bars = ingest.minute_bars_stream(stream, "10 minutes", 3600)
-    bars.writeStream.format("parquet").option("path", target).option(
-        "checkpointLocation", new_folder(spark, "checkpoint")
-    ).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(target).select(
-        "symbol", text("minute_utc").alias("minute_utc"), "price_usd"
+    """Hourly last prices as a stream, all bars, as the replay is closed."""
+    bars = _streamed(
+        spark, raw_market(spark, sf_dir), "event_timestamp",
+        lambda stream: ingest.minute_bars_stream(stream, "10 minutes", 3600),
+    )
+    return bars.where("symbol IS NOT NULL").select("symbol", text("minute_utc").alias("minute_utc"), "price_usd")
+
+
+# Messages by week of January, a file each; the bounded run takes half of them.
+_WEEK = "least((day(ts) - 1) // 8, 3)"
+
+
+@query("stream_bounded", f"""WITH ordered AS (SELECT event_id, event_id % 3 AS p,
+      row_number() OVER (ORDER BY {_WEEK}, event_id % 3, event_id) AS n, count(*) OVER () // 2 AS most FROM events)
+    SELECT event_id AS kafka_offset, p AS kafka_partition, most AS admitted, most AS valid, 'passed' AS status
+    FROM ordered WHERE n <= most""")
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that stops after half of the messages its source holds; what it captured, and its metrics."""
+    folder = new_folder(spark, "topic")
+    stored = messages(spark, sf_dir, False)
+    week = F.least(F.floor((F.dayofmonth("timestamp") - 1) / 8), F.lit(3))
+    parts = stored.withColumn("week", week.cast("int"))
+    for number in range(4):
+        part = parts.where(F.col("week") == number).drop("week").coalesce(1)
+        part.write.mode("append" if number else "errorifexists").parquet(folder)
+    limit = stored.count() // 2
+    paths = ingest.run_paths(new_folder(spark, "runs"), RUN_ID)
+    ingest.run_bounded(ingest.replay_stream(spark, folder, 1), paths, limit, 600, SYMBOLS)
+    told = ingest.bounded_metrics(spark, paths, limit).first()
+    return ingest.raw_rows(spark, paths).select(
+        "kafka_offset", "kafka_partition", F.lit(ingest.admitted(spark, paths)).cast("long").alias("admitted"),
+        F.lit(told.valid).cast("long").alias("valid"), F.lit(told.status).alias("status"),
     )
 
 
