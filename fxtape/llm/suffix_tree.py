@@ -26,7 +26,7 @@ SPREAD = 2_654_435_761
 THRESHOLD = 1.0  # bits
 SLICE_STATES = 2_000_000  # model rows broadcast at once; more rows mean more passes
 FREQUENT = 400_000  # most word counts that are broadcast; all others are joined
-MERGE_ROWS = 3_000_000  # distinct keys a counting task holds
+MERGE_ROWS = 1_000_000  # keys a counting task holds before it gives its partial counts out
 END = np.uint64(0x5BD1E995)  # the end token among word hashes
 BOUND = 0  # the byte before and after a text; a NUL inside one is counted as byte 1
 
@@ -57,33 +57,32 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 class Tally:
-    """Counts of 64-bit keys, merged when they get many."""
+    """Counts of 64-bit keys of one kind; given out as partial counts when they get many."""
 
-    def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+    def __init__(self, kind: int):
+        self.kind, self.keys, self.counts, self.held = kind, [], [], 0
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         u, n = np.unique(keys, return_counts=True)
         self.keys.append(u)
         self.counts.append(n)
         self.held += len(u)
-        if self.held > 2 * MERGE_ROWS and len(self.keys) > 1:
-            self.merge()
+        if self.held > MERGE_ROWS:
+            yield from self.rows()
 
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        u, i = np.unique(np.concatenate(self.keys), return_inverse=True)
-        n = np.bincount(i, weights=np.concatenate(self.counts)).astype(np.int64)
-        self.keys, self.counts, self.held = [u], [n], len(u)
-        return u, n
-
-    def rows(self, kind: int) -> Iterator[pa.RecordBatch]:
-        u, n = self.merge()
-        for a in range(0, len(u), 100_000):
-            part = u[a : a + 100_000].view(np.int64)
+            return
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        self.keys, self.counts, self.held = [], [], 0
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts, keys = np.add.reduceat(counts[order], first), keys[first]
+        for a in range(0, len(keys), 100_000):
+            part = keys[a : a + 100_000].view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "kind": pa.array(np.full(len(part), kind), pa.int32()), "k": part, "n": n[a : a + 100_000],
+                "kind": pa.array(np.full(len(part), self.kind), pa.int32()), "k": part, "n": counts[a : a + 100_000],
             })
 
 
@@ -94,15 +93,15 @@ def counts(docs: DataFrame, key: str, text: str, parts: int, held: int) -> DataF
     """(kind, k, n): training counts of word hashes and of byte windows, counted in tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, grams = Tally(), Tally()
+        words, grams = Tally(WORD), Tally(BYTES)
         for batch in sliced(batches, text):
             mine = learned(batch.column(key).to_pylist(), parts, held)
             texts = [t for t, ok in zip(strings(batch, text), mine, strict=True) if ok]
             if texts:
-                words.add(np.concatenate([Words(texts).hash, np.full(len(texts), END)]))
-                grams.add(windows(texts)[0])
-        yield from words.rows(WORD)
-        yield from grams.rows(BYTES)
+                yield from words.add(np.concatenate([Words(texts).hash, np.full(len(texts), END)]))
+                yield from grams.add(windows(texts)[0])
+        yield from words.rows()
+        yield from grams.rows()
 
     counted = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, "kind int, k long, n long")
     return counted.groupBy("kind", "k").agg(F.sum("n").alias("n"))

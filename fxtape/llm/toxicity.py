@@ -137,10 +137,11 @@ class Index:
         self.begin = np.searchsorted(place, np.arange(len(idf) + 1) * max(1, self.blocks))
         self.query = np.zeros(len(idf), np.float32)
 
-    def vector(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, terms, counts, more: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of unit length; ``more`` is the squared weight of words that are no terms."""
         terms = np.asarray(terms, np.int64)
         w = (1 + np.log(np.asarray(counts, np.float64))) * self.idf[terms]
-        return terms, (w / np.sqrt((w * w).sum())).astype(np.float32)
+        return terms, (w / np.sqrt((w * w).sum() + more)).astype(np.float32)
 
     def example(self, e: int) -> tuple[np.ndarray, np.ndarray]:
         a, z = np.searchsorted(self.weights.row, [e, e + 1])
@@ -151,9 +152,9 @@ class Index:
         at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return np.bincount(self.block[at], weights=self.most[at] * np.repeat(w, n), minlength=self.blocks)
 
-    def nearest(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, terms, counts, more: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the NEAREST distinct vectors; ties go to the lower number."""
-        return self.search(*self.vector(terms, counts))
+        return self.search(*self.vector(terms, counts, more))
 
     def search(self, terms: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         bound, held = self.bounds(terms, w), self.weights
@@ -192,11 +193,11 @@ class Index:
         of = ((1.0, self.toxic[e]), (0.0, self.rows[e] - self.toxic[e]))
         return [(logit(self.vote(found, score, (e, y))), float(n), y) for y, n in of if n]
 
-    def judged(self, terms, counts, curve: tuple[float, float]) -> tuple[float, list[int], list[float]]:
+    def judged(self, terms, counts, curve: tuple[float, float], more: float = 0.0) -> tuple[float, list[int], list[float]]:
         """(score, keys and cosines of the three nearest toxic examples)."""
         if not len(terms):
             return float(self.silent), [], []
-        found, score = self.nearest(terms, counts)
+        found, score = self.nearest(terms, counts, more)
         p = float(1 / (1 + np.exp(-(curve[0] * logit(self.vote(found, score)) + curve[1]))))
         bad = np.flatnonzero(self.toxic[found] > 0)[:3]
         return p, self.keys[found[bad]].tolist(), score[bad].astype(float).tolist()
@@ -235,7 +236,8 @@ def scored(
 
     Labels are learned from rows of ``labels`` whose crc32(key as text) modulo ``parts`` is not
     ``held``, at most ``most`` of them; a text, and nothing else of a row, makes its score. Document
-    frequencies are counted over all rows. The index of at most ``most`` examples over all their words is
+    frequencies are counted over all rows; a word no example has counts in a text's norm like one that no
+    text has. Texts are read twice, for frequencies and for scores, and no vector of them is stored. The index of at most ``most`` examples over all their words is
     broadcast; every row is searched exactly, with no limit on its length.
 
     A text without a word of the examples, a null or an empty one gets the share of toxic ones among such examples.
@@ -250,37 +252,49 @@ def scored(
     terms, factor = weighed_terms(rows, text)
     number = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = number.value
-        for batch in sliced(batches, text):
-            found = []
-            for t in strings(batch, text):
-                hits = Counter(known[w] for w in words(t) if w in known)
-                found.append(sorted(hits.items()))
-            yield pa.RecordBatch.from_pydict({
-                key: batch.column(key),
-                "terms": pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int32())),
-                "counts": pa.array([[c for _, c in f] for f in found], pa.list_(pa.int32())),
-            })
+    def hits(t: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms in order, their counts, and the counts of words no example has."""
+        known, found, other = number.value, {}, []
+        for w, c in Counter(words(t)).items():
+            at = known.get(w)
+            if at is None:
+                other.append(c)
+            else:
+                found[at] = c
+        terms = np.array(sorted(found), np.int32)
+        return terms, np.array([found[i] for i in terms.tolist()], np.int32), np.array(other, np.int32)
 
-    vectors = published(own.mapInArrow(counted, f"{key} long, terms array<int>, counts array<int>"), "vectors")
-    total = vectors.count()
     size = len(terms)
-    df = np.zeros(size)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
-        for batch in batches:
-            counts += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=size)
+        counts, seen = np.zeros(size + 1, np.int64), number.value
+        for batch in sliced(batches, text):
+            for t in strings(batch, text):
+                at = [seen[w] for w in set(words(t)) if w in seen]
+                counts[at] += 1
+                counts[size] += 1
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"t": pa.array(used, pa.int32()), "n": counts[used]})
 
-    counts = vectors.select("terms").mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n"))
-    for t, n in counts.collect():  # the examples' terms
+    df = np.zeros(size + 1)
+    frequencies = own.select(text).mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n"))
+    for t, n in frequencies.collect():  # the examples' terms, and the number of rows
         df[t] = n
-    idf = (np.log((total + 1) / (df + 1)) + 1) * factor
-    known = vectors.join(F.broadcast(learned), key).select(F.col(key).alias("key"), "y", "terms", "counts").distinct()
-    made = Index(known.toArrow().to_pandas(), idf)
+    idf = (np.log((df[size] + 1) / (df[:size] + 1)) + 1) * factor
+    rare = float(np.log(df[size] + 1) + 1)  # of a word no example has
+
+    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, text):
+            found = [hits(t) for t in strings(batch, text)]
+            yield pa.RecordBatch.from_pydict({
+                "key": batch.column("key"), "y": batch.column("y"),
+                "terms": pa.array([t for t, _, _ in found], pa.list_(pa.int32())),
+                "counts": pa.array([c for _, c, _ in found], pa.list_(pa.int32())),
+            })
+
+    known = rows.select(F.col(key).alias("key"), F.col("y").cast("long").alias("y"), text)
+    known = known.mapInArrow(taken, "key long, y long, terms array<int>, counts array<int>").distinct()
+    made = Index(known.toArrow().to_pandas(), idf)  # of the bounded examples
     index = spark.sparkContext.broadcast(made)
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,15 +310,16 @@ def scored(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = index.value, {}
-        for batch in batches:
+        for batch in sliced(batches, text):
             out = []
-            lists = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("terms", "counts")]
-            for t, c in zip(*lists, strict=True):
-                vector = (t.tobytes(), c.tobytes())
+            for text_of in strings(batch, text):
+                t, c, other = hits(text_of)
+                vector = (t.tobytes(), c.tobytes(), other.tobytes())
                 if vector not in seen:
                     if len(seen) > 10_000:
                         seen.clear()
-                    seen[vector] = own.judged(t, c, curve)
+                    w = (1 + np.log(other)) * rare
+                    seen[vector] = own.judged(t, c, curve, float((w * w).sum()))
                 out.append(seen[vector])
             yield pa.RecordBatch.from_pydict({
                 key: batch.column(key), "score": pa.array([o[0] for o in out], pa.float64()),
@@ -312,7 +327,7 @@ def scored(
                 "cosines": pa.array([o[2] for o in out], pa.list_(pa.float64())),
             })
 
-    judged = vectors.mapInArrow(judge, f"{key} long, score double, evidence array<bigint>, cosines array<double>")
+    judged = own.mapInArrow(judge, f"{key} long, score double, evidence array<bigint>, cosines array<double>")
     name = F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")
     return judged.select(
         key, (F.crc32(name) % parts == held).alias("held_out"), "score",
