@@ -1,6 +1,7 @@
 """Toxicity by the nearest labelled examples in exact TF-IDF cosine, over a block-max inverted index.
 
-Terms are all words of the examples; a word outside them can meet no example and has no part in a vector.
+Terms are all words of the examples, known by 64-bit hashes; a word outside them meets no example and
+counts in the norm of a text only.
 A term's TF-IDF weight grows with the likelihood ratio by which it tells the two labels apart. The index
 stores the examples' vectors and the largest weights by term; examples stand in blocks, and each term knows its largest weight in each block. A
 query's bound for a block is the product with these maxima; blocks are scored in falling order of the
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,31 @@ def ratio(a: np.ndarray, n: np.ndarray, toxic: int, total: int) -> np.ndarray:
     return 2 * sum(part(f, e) for f, e in cells)
 
 
-def weighed_terms(rows: DataFrame, text: str) -> tuple[list[str], np.ndarray]:
+class Terms:
+    """Words by their 64-bit hashes, numbered in the order they are given; 12 bytes a word."""
+
+    def __init__(self, terms: list[str]):
+        h = hashed(terms)
+        self.number = np.argsort(h).astype(np.int32)
+        self.hash = h[self.number]
+
+    def __len__(self) -> int:
+        return len(self.hash)
+
+    def find(self, some: list[str]) -> np.ndarray:
+        """The number of each word, -1 for others."""
+        if not len(self.hash):
+            return np.full(len(some), -1, np.int32)
+        h = hashed(some)
+        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        return np.where(self.hash[at] == h, self.number[at], np.int32(-1))
+
+
+def hashed(terms: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(t) for t in terms), np.uint64, len(terms))
+
+
+def weighed_terms(rows: DataFrame, text: str) -> tuple[Terms, np.ndarray]:
     """The terms of labelled rows (text, y), those that tell most first, and the factors of their weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +108,7 @@ def weighed_terms(rows: DataFrame, text: str) -> tuple[list[str], np.ndarray]:
     found = summed.toArrow().to_pandas()  # of the bounded examples
     found["g"] = ratio(found["a"].to_numpy(float), found["n"].to_numpy(float), toxic, total)
     found = found.sort_values(["g", "term"], ascending=[False, True])
-    return found["term"].tolist(), 1 + found["g"].to_numpy(float) / RATIO
+    return Terms(found["term"].tolist()), 1 + found["g"].to_numpy(float) / RATIO
 
 
 
@@ -93,8 +119,15 @@ class Weights:
         self.width = width
         self.terms = np.concatenate([np.zeros(0, np.int32), *[t.astype(np.int32) for t, _ in vectors]])
         self.values = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]])
-        self.row = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])
-        self.start = np.searchsorted(self.row, np.arange(width // BLOCK + 1) * BLOCK)
+        self.first = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
+        block = np.minimum(np.arange(width // BLOCK + 1) * BLOCK, len(vectors))
+        self.start = self.first[block]
+        self.lane = (self.row % BLOCK).astype(np.uint8)
+
+    @property
+    def row(self) -> np.ndarray:
+        """The example of each value; computed, as the start of each example says it."""
+        return np.repeat(np.arange(len(self.first) - 1, dtype=np.int32), np.diff(self.first))
 
     def __getitem__(self, terms: np.ndarray) -> np.ndarray:
         out = np.zeros((len(terms), self.width), np.float32)
@@ -132,9 +165,10 @@ class Index:
         place = self.weights.terms.astype(np.int64) * max(1, self.blocks) + self.weights.row // BLOCK
         order = np.argsort(place, kind="stable")
         place, first = np.unique(place[order], return_index=True)
-        self.block = (place % max(1, self.blocks)).astype(np.int32)
-        self.most = np.maximum.reduceat(self.weights.values[order], first) if len(first) else np.zeros(0, np.float32)
-        self.begin = np.searchsorted(place, np.arange(len(idf) + 1) * max(1, self.blocks))
+        self.block = (place % max(1, self.blocks)).astype(np.min_scalar_type(self.blocks))
+        most = np.maximum.reduceat(self.weights.values[order], first) if len(first) else np.zeros(0, np.float32)
+        self.most = np.minimum(np.ceil(most * 255 + 1e-3), 255).astype(np.uint8)  # rounded up: still a bound
+        self.begin = np.searchsorted(place, np.arange(len(idf) + 1) * max(1, self.blocks)).astype(np.int32)
         self.query = np.zeros(len(idf), np.float32)
 
     def vector(self, terms, counts, more: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
@@ -144,13 +178,14 @@ class Index:
         return terms, (w / np.sqrt((w * w).sum() + more)).astype(np.float32)
 
     def example(self, e: int) -> tuple[np.ndarray, np.ndarray]:
-        a, z = np.searchsorted(self.weights.row, [e, e + 1])
+        a, z = self.weights.first[e], self.weights.first[e + 1]
         return self.weights.terms[a:z], self.weights.values[a:z]
 
     def bounds(self, terms: np.ndarray, w: np.ndarray) -> np.ndarray:
-        begin, n = self.begin[terms], self.begin[terms + 1] - self.begin[terms]
+        begin = self.begin[terms].astype(np.int64)
+        n = self.begin[terms + 1] - begin
         at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.block[at], weights=self.most[at] * np.repeat(w, n), minlength=self.blocks)
+        return np.bincount(self.block[at], weights=self.most[at] * np.repeat(w / 255, n), minlength=self.blocks)
 
     def nearest(self, terms, counts, more: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the NEAREST distinct vectors; ties go to the lower number."""
@@ -166,7 +201,7 @@ class Index:
                 break
             a, z = held.start[b], held.start[b + 1]
             product = self.query[held.terms[a:z]] * held.values[a:z]
-            more = np.bincount(held.row[a:z] - b * BLOCK, weights=product, minlength=BLOCK)
+            more = np.bincount(held.lane[a:z], weights=product, minlength=BLOCK)
             good = np.flatnonzero(more >= score[-1] if len(found) == NEAREST else more > 0)
             if len(good):
                 found, score = np.append(found, good + b * BLOCK), np.append(score, more[good])
@@ -250,28 +285,23 @@ def scored(
     own = docs.select(F.col(key).cast("long").alias(key), text)
     rows = published(own.join(F.broadcast(learned), key), "labelled")  # at most ``most`` keys
     terms, factor = weighed_terms(rows, text)
-    number = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    number = spark.sparkContext.broadcast(terms)
 
     def hits(t: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Terms in order, their counts, and the counts of words no example has."""
-        known, found, other = number.value, {}, []
-        for w, c in Counter(words(t)).items():
-            at = known.get(w)
-            if at is None:
-                other.append(c)
-            else:
-                found[at] = c
-        terms = np.array(sorted(found), np.int32)
-        return terms, np.array([found[i] for i in terms.tolist()], np.int32), np.array(other, np.int32)
+        found = Counter(words(t))
+        at, counts = number.value.find(list(found)), np.fromiter(found.values(), np.int32, len(found))
+        known = at >= 0
+        order = np.argsort(at[known])
+        return at[known][order], counts[known][order], np.sort(counts[~known])
 
     size = len(terms)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(size + 1, np.int64), number.value
+        counts = np.zeros(size + 1, np.int64)
         for batch in sliced(batches, text):
             for t in strings(batch, text):
-                at = [seen[w] for w in set(words(t)) if w in seen]
-                counts[at] += 1
+                counts[hits(t)[0]] += 1
                 counts[size] += 1
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"t": pa.array(used, pa.int32()), "n": counts[used]})
