@@ -22,7 +22,8 @@ SOME = [
     "compare_ids", "overlap_align", "check_bars", "processed_vs_raw", "text_functions",
     "time_functions", "number_functions", "run_dedup", "event_identity", "event_contract",
     "event_reconcile", "run_metrics", "stream_valid_events", "stream_minute_bars", "fx_xml_clean",
-    "sink_layout", "sink_json", "manifest_violations",
+    "sink_layout", "sink_json", "manifest_violations", "upsert_partitions", "archive_refresh_counts",
+    "rate_batch", "replay_publish", "stream_dedup", "stream_bounded",
 ]
 
 
