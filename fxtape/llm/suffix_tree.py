@@ -1,10 +1,15 @@
 """Language-model scores from a probabilistic suffix tree over bytes, beside a word unigram base.
 
-Training counts every byte with the six before it. A context of one to six bytes is a state of the
+Training counts every byte with the six before it. A context of three to six bytes is a state of the
 tree when coding its next bytes by its own distribution instead of its suffix's saves THRESHOLD bits
-or more, or when a longer state ends in it. A state's distribution is smoothed with its suffix's by
-Kneser-Ney discounts, down to the uniform distribution. A byte is scored by the longest state that the
-text before it ends in.
+or more, or when a longer state ends in it; the few shorter contexts are all states. A state's
+distribution is smoothed with its suffix's by Kneser-Ney discounts, down to the uniform distribution. A
+byte is scored by the longest state that the text before it ends in.
+
+Texts are dealt in chunks. A chunk asks once for each of its windows and words, with its own training
+counts beside them. Contexts that end in the same ENDING bytes lie in one slice, which holds all that
+smoothing and pruning them needs: a slice sums the counts of all chunks, builds its branches of the
+tree and answers the chunks. Neither the tree nor the words ever stand in one place.
 """
 
 from __future__ import annotations
@@ -14,21 +19,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fxtape.llm.texts import Words, sliced, strings
 from fxtape.shared import published
 
 DEPTH = 6
-ENDING = 3  # last bytes of a state that name its slice
-SPREAD = 2_654_435_761
+ENDING = 3  # last bytes of a context that name its slice
 THRESHOLD = 1.0  # bits
-SLICE_STATES = 2_000_000  # model rows broadcast at once; more rows mean more passes
-FREQUENT = 400_000  # most word counts that are broadcast; all others are joined
-MERGE_ROWS = 1_000_000  # keys a counting task holds before it gives its partial counts out
+CHUNK_BYTES = 1 << 24  # text of one chunk; one longer text is a chunk of its own
+MOST_SLICES = 4096
+MERGED_CHUNKS = 64  # chunks a slice meets in one task; more of them share the work of a slice
 END = np.uint64(0x5BD1E995)  # the end token among word hashes
-BOUND = 0  # the byte before and after a text; a NUL inside one is counted as byte 1
+SPREAD = np.uint64(2_654_435_761)
+BOUND = b"\xff"  # before and after a text; no byte of UTF-8
+WORD, BYTES = 0, 1
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def learned(keys: list, parts: int, held: int) -> np.ndarray:
@@ -39,174 +48,235 @@ def learned(keys: list, parts: int, held: int) -> np.ndarray:
 
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(DEPTH context bytes and the next one in a long, text index) for every byte and every end."""
-    raw = [t.encode().replace(b"\0", b"\1").translate(LOWER) for t in texts]
-    pad = bytes(DEPTH)
-    joined = np.frombuffer(b"".join(pad + r for r in raw) + pad, np.uint8)
-    lengths = np.array([len(r) for r in raw], np.int64)
+    raw = [t.encode().translate(LOWER) for t in texts]
+    joined = np.frombuffer(b"".join(BOUND * DEPTH + r for r in raw) + BOUND * DEPTH, np.uint8)
+    size = np.array([len(r) for r in raw], np.int64)
     codes = np.zeros(len(joined) - DEPTH, np.uint64)
     for i in range(DEPTH + 1):
         codes = codes << np.uint64(8) | joined[i : len(joined) - DEPTH + i]
-    # A text's symbols are its bytes and the first pad after it.
-    owner = np.repeat(np.arange(len(raw)), lengths + 1)
-    begin = np.cumsum(lengths + DEPTH) - (lengths + DEPTH)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(lengths + 1) - (lengths + 1), lengths + 1)
-    return codes[np.repeat(begin, lengths + 1) + place], owner
+    # A text's symbols are its bytes and the first bound after it; the other bounds predict nothing.
+    ends = np.cumsum(size + DEPTH) - DEPTH
+    own = np.ones(len(codes), bool)
+    for i in range(1, DEPTH):
+        own[ends + i] = False
+    return codes[own], np.repeat(np.arange(len(raw), dtype=np.int32), size + 1)
 
 
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+def low(codes: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes."""
+    return codes & np.uint64((1 << 8 * n) - 1)
+
+
+def packed(a: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+
+
+def unpacked(b: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(b), kind)
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    k, n = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
+    order = np.argsort(k, kind="stable")
+    k = k[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+    return k[first], np.add.reduceat(n[order], first) if len(k) else n
 
 
-class Tally:
-    """Counts of 64-bit keys of one kind; given out as partial counts when they get many."""
-
-    def __init__(self, kind: int):
-        self.kind, self.keys, self.counts, self.held = kind, [], [], 0
-
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        u, n = np.unique(keys, return_counts=True)
-        self.keys.append(u)
-        self.counts.append(n)
-        self.held += len(u)
-        if self.held > MERGE_ROWS:
-            yield from self.rows()
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        if not self.keys:
-            return
-        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
-        self.keys, self.counts, self.held = [], [], 0
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        counts, keys = np.add.reduceat(counts[order], first), keys[first]
-        for a in range(0, len(keys), 100_000):
-            part = keys[a : a + 100_000].view(np.int64)
+def slice_of(kind: int, keys: np.ndarray, slices: int) -> np.ndarray:
+    name = keys if kind == WORD else low(keys >> np.uint64(8), ENDING) * SPREAD >> np.uint64(16)
+    return (name % np.uint64(slices)).astype(np.uint16)
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text index) of the words of the texts and of their ends."""
+    found = Words(texts)
+    every = np.arange(len(texts), dtype=np.int32)
+    return np.append(found.hash, np.full(len(texts), END)), np.append(np.repeat(every, found.last - found.first), every)
+
+
+SYMBOLS = {WORD: tokens, BYTES: windows}
+
+
+def chunked(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(chunk, key, text): the rows in chunks of about CHUNK_BYTES, named by the task that reads them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size = TaskContext.get().partitionId() << 32, 0
+        for batch in sliced(batches, "text"):
+            some = batch.column("text").nbytes
+            if size and size + some > CHUNK_BYTES:
+                chunk, size = chunk + 1, 0
+            size += some
             yield pa.RecordBatch.from_pydict({
-                "kind": pa.array(np.full(len(part), self.kind), pa.int32()), "k": part, "n": counts[a : a + 100_000],
+                "chunk": np.full(batch.num_rows, chunk), "key": batch.column("key"), "text": batch.column("text"),
             })
 
+    own = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    return published(own.mapInArrow(run, "chunk long, key long, text string"), "chunks")
 
-WORD, BYTES = 0, 1
 
+def asked(rows: DataFrame, slices: int, parts: int, held: int) -> DataFrame:
+    """(kind, slice, chunk, keys, counts): a chunk's distinct words and windows, sorted by slice, with
+    their counts in its training texts, which may be 0."""
 
-def counts(docs: DataFrame, key: str, text: str, parts: int, held: int) -> DataFrame:
-    """(kind, k, n): training counts of word hashes and of byte windows, counted in tasks first."""
+    def given(chunk: int, found: dict) -> Iterator[pa.RecordBatch]:
+        for kind, (keys, counts) in found.items():
+            k, n = summed(keys, counts)
+            name = slice_of(kind, k, slices)
+            order = np.argsort(name, kind="stable")
+            k, n, used = k[order], n[order], np.bincount(name, minlength=slices)
+            last = np.cumsum(used)
+            some = np.flatnonzero(used).tolist()
+            cuts = [slice(last[s] - used[s], last[s]) for s in some]
+            yield pa.RecordBatch.from_pydict({
+                "kind": pa.array([kind] * len(some), pa.int32()), "slice": pa.array(some, pa.int32()),
+                "chunk": pa.array([chunk] * len(some), pa.int64()),
+                "keys": pa.array([packed(k[c]) for c in cuts], pa.binary()),
+                "counts": pa.array([packed(n[c]) for c in cuts], pa.binary()),
+            })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, grams = Tally(WORD), Tally(BYTES)
-        for batch in sliced(batches, text):
-            mine = learned(batch.column(key).to_pylist(), parts, held)
-            texts = [t for t, ok in zip(strings(batch, text), mine, strict=True) if ok]
-            if texts:
-                yield from words.add(np.concatenate([Words(texts).hash, np.full(len(texts), END)]))
-                yield from grams.add(windows(texts)[0])
-        yield from words.rows()
-        yield from grams.rows()
-
-    counted = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, "kind int, k long, n long")
-    return counted.groupBy("kind", "k").agg(F.sum("n").alias("n"))
+        open_, found = None, {}
+        for batch in sliced(batches, "text"):
+            chunks = batch.column("chunk").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
+            for a, z in zip(edges, edges[1:]):
+                if chunks[a] != open_:
+                    if found:
+                        yield from given(open_, found)
+                    open_, found = int(chunks[a]), {WORD: ([], []), BYTES: ([], [])}
+                part = batch.slice(a, z - a)
+                texts, mine = strings(part, "text"), learned(part.column("key").to_pylist(), parts, held)
+                for kind, symbols in SYMBOLS.items():
+                    codes, owner = symbols(texts)
+                    own = mine[owner]
+                    k, n = np.unique(codes[own], return_counts=True)
+                    other = np.unique(codes[~own])
+                    found[kind][0].extend([k, other])
+                    found[kind][1].extend([n, np.zeros(len(other), np.int64)])
+        if found:
+            yield from given(open_, found)
+
+    return rows.mapInArrow(run, "kind int, slice int, chunk long, keys binary, counts binary")
+
+
+def shorter(keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of contexts of ``depth`` bytes, each with the number of different bytes before it."""
+    return np.unique(low(keys, depth + 1), return_counts=True)
+
+
+def entries(keys: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """A slice's entries (context and next byte, count) by the depth of the context, down to ENDING."""
+    out = {DEPTH: (keys, counts)}
+    for d in range(DEPTH - 1, ENDING - 1, -1):
+        out[d] = shorter(out[d + 1][0], d)
+    return out
+
+
+def merged(group: tuple, rows: pa.Table) -> pa.Table:
+    """The training counts of some chunks in one; of windows also the numbers of entries that occur one
+    to four times at each depth, of words their total."""
+    kind = rows["kind"][0].as_py()
+    k, n = summed(
+        [unpacked(b, np.uint64) for b in rows["keys"].to_pylist()], [unpacked(b, np.int64) for b in rows["counts"].to_pylist()]
+    )
+    k, n = k[n > 0], n[n > 0]
+    if kind == WORD:
+        numbers, top = [int(n.sum()), len(k)], np.zeros((2, 0), np.int64)
+    else:
+        own = entries(k, n)
+        numbers = [int((own[d][1] == i).sum()) for d in range(ENDING, DEPTH + 1) for i in range(1, 5)]
+        top = np.array(shorter(own[ENDING][0], ENDING - 1)).astype(np.int64)
+    return pa.table({
+        "kind": pa.array([kind], pa.int32()), "slice": pa.array([rows["slice"][0].as_py()], pa.int32()),
+        "keys": pa.array([packed(k)], pa.binary()), "counts": pa.array([packed(n)], pa.binary()),
+        "numbers": pa.array([numbers], pa.list_(pa.int64())), "top": pa.array([packed(top)], pa.binary()),
+    })
 
 
-def last(column: str, n: int) -> Column:
-    """The last ``n`` bytes of a packed window."""
-    return F.col(column).bitwiseAND(F.lit((1 << 8 * n) - 1))
+MERGED = "kind int, slice int, keys binary, counts binary, numbers array<bigint>, top binary"
 
 
-def discounts(entries: DataFrame) -> list[float]:
+def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     """What is taken from counts of one, two and more, from the numbers of counts of one to four."""
-    n1, n2, n3, n4 = entries.agg(*[F.count_if(F.col("n") == i) for i in range(1, 5)]).first()
     y = n1 / max(1, n1 + 2 * n2)
     found = [1 - 2 * y * n2 / max(1, n1), 2 - 3 * y * n3 / max(1, n2), 3 - 4 * y * n4 / max(1, n3)]
     return [min(max(x, 0.05), i - 0.1) for i, x in enumerate(found, 1)]
 
 
-def tree(grams: DataFrame, threshold: float) -> DataFrame:
-    """(depth, kind, k, value): log10 probabilities (kind 1) of a state's next bytes and the log10
-    weight (kind 0) with which a state hands unseen bytes to its suffix."""
-    entries = {DEPTH: grams.select(F.col("k").alias("e"), "n")}
-    for d in range(DEPTH - 1, -1, -1):  # a shorter context counts the different bytes before it
-        counted = entries[d + 1].groupBy(last("e", d + 1).alias("e")).agg(F.count("*").alias("n"))
-        entries[d] = published(counted, "entries")
-    levels = []
-    for d in range(DEPTH + 1):
-        less = discounts(entries[d])
-        own = entries[d].withColumn("s", F.shiftright("e", 8)).withColumn(
-            "less", F.when(F.col("n") == 1, less[0]).when(F.col("n") == 2, less[1]).otherwise(less[2])
-        )
-        state = own.groupBy("s").agg(F.sum("n").alias("total"), F.sum("less").alias("free"))
-        own = own.join(state, "s")
-        if d:
-            below = levels[-1].select(F.col("e").alias("pe"), F.col("p").alias("q"))
-            own = own.withColumn("pe", last("e", d)).join(below, "pe")
-        else:
-            own = own.withColumn("q", F.lit(1 / 256))
-        p = (F.col("n") - F.col("less") + F.col("free") * F.col("q")) / F.col("total")
-        levels.append(published(own.select("e", "s", "n", "q", "total", "free", p.alias("p")), "level"))
-    needed, rows = None, []
-    for d in range(DEPTH, -1, -1):
-        saved = F.sum(F.col("n") * F.log2(F.col("p") / F.col("q")))
-        states = levels[d].groupBy("s").agg(
-            saved.alias("bits"), F.first("total").alias("total"), F.first("free").alias("free")
-        )
-        if d == 0:
-            kept = states
-        elif needed is None:
-            kept = states.where(F.col("bits") >= threshold)
-        else:
-            kept = states.join(needed.withColumn("used", F.lit(True)), "s", "left").where(
-                (F.col("bits") >= threshold) | F.col("used")
-            )
-        kept = published(kept.select("s", "total", "free"), "states")
-        needed = kept.select(last("s", max(d - 1, 0)).alias("s")).distinct()
-        weight = F.log10(F.col("free") / F.col("total"))
-        rows.append(kept.select(F.lit(d).alias("depth"), F.lit(0).alias("kind"), F.col("s").alias("k"), weight.alias("value")))
-        rows.append(
-            levels[d].join(kept.select("s"), "s", "left_semi")
-            .select(F.lit(d), F.lit(1), "e", F.log10("p").alias("value"))
-        )
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.union(r)
-    return published(out, "tree")
-
-
-class Model:
-    """One slice of the tree as sorted arrays."""
-
-    def __init__(self, rows: pa.Table):
-        self.arrays = {}
-        depth, kind = rows["depth"].to_numpy(), rows["kind"].to_numpy()
-        k, value = rows["k"].to_numpy().view(np.uint64), rows["value"].to_numpy()
-        for d in range(DEPTH + 1):
-            for which in (0, 1):
-                mine = np.flatnonzero((depth == d) & (kind == which))
-                mine = mine[np.argsort(k[mine])]
-                if len(mine):
-                    self.arrays[d, which] = k[mine], value[mine]
-
-    def find(self, depth: int, kind: int, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, values = self.arrays.get((depth, kind), (np.zeros(0, np.uint64), np.zeros(0)))
-        if not len(keys):
-            return np.zeros(len(k), bool), np.zeros(len(k))
-        at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-        return keys[at] == k, values[at]
-
-    def scores(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each window, given the others."""
-        codes, back = np.unique(codes, return_inverse=True)
-        out, open_ = np.zeros(len(codes)), np.arange(len(codes))
-        unseen = np.log10(1 / 256)
-        for d in range(DEPTH, -1, -1):
-            c = codes[open_]
-            state = c >> np.uint64(8) & np.uint64((1 << 8 * d) - 1)
-            is_state, weight = self.find(d, 0, state)
-            seen, value = self.find(d, 1, c & np.uint64((1 << 8 * (d + 1)) - 1))
-            seen &= is_state
-            out[open_[seen]] += value[seen]
-            out[open_[is_state & ~seen]] += weight[is_state & ~seen]
-            open_ = open_[~seen]
-        out[open_] += unseen
-        return out[back]
+class Level:
+    """The states of one depth: their next bytes' probabilities and the weight handed to the suffix."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, less: list[float], below: Level | None):
+        self.keys = keys
+        state = keys >> np.uint64(8)
+        first = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        self.states = state[first]
+        self.of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+        taken = np.array(less)[np.minimum(counts, 3) - 1]
+        total, free = (np.bincount(self.of, weights=x, minlength=len(first)) for x in (counts, taken))
+        if below is None:
+            q = np.full(len(keys), 1 / 256)
+        else:  # the suffix has every next byte that a state has
+            q = below.p[np.searchsorted(below.keys, low(keys, below.depth + 1))]
+        self.depth = 0 if below is None else below.depth + 1
+        self.p = (counts - taken + free[self.of] * q) / total[self.of]
+        self.weight = np.log10(free / total)
+        self.saved = np.bincount(self.of, weights=counts * np.log2(self.p / q), minlength=len(first))
+        self.kept = np.ones(len(first), bool)
+
+    def prune(self, longer: Level | None, threshold: float) -> None:
+        """Keep the states that save ``threshold`` bits, and the suffixes of kept longer ones."""
+        self.kept = self.saved >= threshold
+        if longer is not None:
+            used = low(longer.states[longer.kept], self.depth)
+            self.kept |= np.isin(self.states, used)
+
+    def look(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For windows: whether the context is a state, whether it has the byte, and the log10
+        probability of the byte or else of what the state hands on."""
+        if not len(self.keys):
+            return np.zeros(len(codes), bool), np.zeros(len(codes), bool), np.zeros(len(codes))
+        state, entry = low(codes >> np.uint64(8), self.depth), low(codes, self.depth + 1)
+        s = np.minimum(np.searchsorted(self.states, state), len(self.states) - 1)
+        e = np.minimum(np.searchsorted(self.keys, entry), len(self.keys) - 1)
+        is_state = (self.states[s] == state) & self.kept[s]
+        seen = is_state & (self.keys[e] == entry)
+        return is_state, seen, np.where(seen, np.log10(self.p[e]), self.weight[s])
+
+
+def trunk(keys: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """The levels below ENDING, of which there are at most 256 ** ENDING entries, shortest first."""
+    every = [(keys, counts)]
+    for d in range(ENDING - 2, -1, -1):
+        every.insert(0, shorter(every[0][0], d))
+    out: list[Level] = []
+    for k, n in every:
+        out.append(Level(k, n, discounts(*[int((n == i).sum()) for i in range(1, 5)]), out[-1] if out else None))
+    return out
+
+
+def branches(keys: np.ndarray, counts: np.ndarray, less: list[list[float]], low_levels: list[Level], threshold: float) -> list[Level]:
+    """All levels for one slice, pruned from the longest contexts down to ENDING."""
+    own, out = entries(keys, counts), list(low_levels)
+    for d in range(ENDING, DEPTH + 1):
+        out.append(Level(*own[d], less[d - ENDING], out[-1]))
+    for d in range(DEPTH, ENDING - 1, -1):
+        out[d].prune(out[d + 1] if d < DEPTH else None, threshold)
+    return out
+
+
+def scores(levels: list[Level], codes: np.ndarray) -> np.ndarray:
+    """log10 probability of the last byte of each window, given the others."""
+    out, open_ = np.zeros(len(codes)), np.arange(len(codes))
+    for level in reversed(levels):
+        is_state, seen, value = level.look(codes[open_])
+        out[open_[is_state]] += value[is_state]
+        open_ = open_[~seen]
+    out[open_] += np.log10(1 / 256)
+    return out
 
 
 def scored(
@@ -224,94 +294,92 @@ def scored(
     log10 probability of the lower-cased text and its end. Rows with crc32(key as text) modulo ``parts``
     equal to ``held`` are scored only; a null key counts as an empty text there.
 
-    The FREQUENT most common words are broadcast with their counts, the counts of all others are
-    joined; the tree is broadcast by slices of about SLICE_STATES rows, dealt by a hash of the ENDING last
-    bytes of a state; shorter states, which are few, go with every slice. Null and empty texts have the end alone; repeated rows are counted and scored each; with
-    no training row the tree is uniform; an empty table gives no rows; other columns are left out.
+    A frequent word or context reaches its slice as one entry a chunk; a slice that many chunks ask is
+    summed and answers by groups of MERGED_CHUNKS of them. What is broadcast are the entries of contexts
+    below ENDING bytes, 256 ** ENDING at most. Null and empty texts have the end alone; repeated rows are counted
+    and scored each; with no training row the tree is uniform; an empty table gives no rows; other columns are left out.
     """
     spark = docs.sparkSession
-    counted = published(counts(docs, key, text, parts, held), "counts")
-    words = counted.where(F.col("kind") == WORD).select("k", "n")
-    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    space = total + kinds + 1
-
-    sizes, floor, listed = words.groupBy("n").count().orderBy(F.desc("n")).limit(FREQUENT).collect(), 1 << 62, 0
-    for n, size in sizes:
-        if listed + size > FREQUENT:
-            break
-        floor, listed = n, listed + size
-    top = words.where(F.col("n") >= floor).toArrow()
-    names, times = top["k"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    order = np.argsort(names)
-    common = spark.sparkContext.broadcast((names[order], times[order]))
-
-    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, numbers = common.value
-        for batch in sliced(batches, text):
-            texts, ids = strings(batch, text), batch.column(key).to_pylist()
-            found = Words(texts)
-            owner = np.repeat(np.arange(len(texts)), found.last - found.first)
-            owner, token = np.append(owner, np.arange(len(texts))), np.append(found.hash, np.full(len(texts), END))
-            hit = np.zeros(len(token), bool)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, token), len(keys) - 1)
-                hit = keys[at] == token
-            value = np.zeros(len(token))
-            value[hit] = np.log10((numbers[at[hit]] + 1) / space) if hit.any() else 0
-            rare = token[~hit][np.argsort(owner[~hit], kind="stable")].view(np.int64)
-            cuts = np.cumsum(np.bincount(owner[~hit], minlength=len(texts)))[:-1]
-            yield pa.RecordBatch.from_pydict({
-                key: pa.array(ids, pa.int64()), text: pa.array(texts, pa.string()),
-                "held_out": pa.array(~learned(ids, parts, held)),
-                "n_tokens": found.last - found.first + 1,
-                "n_known": np.bincount(owner, weights=hit, minlength=len(texts)).astype(np.int64),
-                "base_score": np.bincount(owner, weights=value, minlength=len(texts)),
-                "score": np.zeros(len(texts)),
-                "rare": pa.array(np.split(rare, cuts), pa.list_(pa.int64())),
-            })
-
-    columns = (
-        f"{key} long, {text} string, held_out boolean, n_tokens long, n_known long, base_score double, "
-        "score double, rare array<bigint>"
-    )
-    rows = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(base, columns)
-    model = tree(counted.where(F.col("kind") == BYTES).select("k", "n"), threshold)
-    slices = max(1, -(-model.count() // SLICE_STATES))
-    ending = F.when(F.col("kind") == 0, last("k", ENDING)).otherwise(F.shiftright("k", 8).bitwiseAND(F.lit((1 << 8 * ENDING) - 1)))
-    slice_of = F.pmod(F.shiftright(ending * F.lit(SPREAD), 16), F.lit(slices))
-    for s in range(slices):
-        mine = (F.col("depth") < ENDING) | (slice_of == s)
-        part = spark.sparkContext.broadcast(Model(model.where(mine).toArrow()))
-        rows = rows.mapInArrow(adding(part, text, s, slices), columns)
-    rows = rows.drop(text).withColumn("row", F.monotonically_increasing_id())
-    rows = published(rows, "scored")
-
-    odd = rows.select("row", F.explode("rare").alias("k")).groupBy("row", "k").agg(F.count("*").alias("times"))
-    looked = odd.join(words, "k", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(space)))).alias("more"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"),
-    )
-    nothing = F.lit(0)
-    return rows.join(looked, "row", "left").select(
-        key, "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("known", nothing)).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more", nothing)).alias("base_score"), "score",
+    rows = chunked(docs, key, text)
+    chunks = rows.agg(F.count_distinct("chunk")).first()[0]
+    slices, salts = min(MOST_SLICES, max(1, chunks)), max(1, -(-chunks // MERGED_CHUNKS))
+    salt = F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int").alias("salt")
+    asks = published(asked(rows, slices, parts, held).select("*", salt), "asked")
+    partial = asks.drop("chunk").groupBy("kind", "slice", "salt").applyInArrow(merged, MERGED)
+    counted = published(partial.groupBy("kind", "slice").applyInArrow(merged, MERGED), "counted")
+
+    def sums(kind: int, n: int) -> list[int]:
+        some = counted.where(F.col("kind") == kind)
+        return list(some.agg(*[F.coalesce(F.sum(F.col("numbers")[i]), F.lit(0)) for i in range(n)]).first())
+
+    total, kinds = sums(WORD, 2)
+    times = sums(BYTES, 4 * (DEPTH - ENDING + 1))
+    less = [discounts(*times[i : i + 4]) for i in range(0, len(times), 4)]
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in batch.column("top").to_pylist():
+                k, n = unpacked(b, np.int64).reshape(2, -1)
+                yield pa.RecordBatch.from_pydict({"k": k, "n": n})
+
+    short = counted.where(F.col("kind") == BYTES).select("top").mapInArrow(tops, "k long, n long")
+    short = short.groupBy("k").agg(F.sum("n").alias("n")).orderBy("k").toArrow()  # 256 ** ENDING rows at most
+    low_levels = spark.sparkContext.broadcast(trunk(short["k"].to_numpy().astype(np.uint64), short["n"].to_numpy()))
+
+    def answered(group: tuple, asks_of: pa.Table, own: pa.Table) -> pa.Table:
+        k = [unpacked(b, np.uint64) for b in asks_of["keys"].to_pylist()]
+        kind = (asks_of if len(k) else own)["kind"][0].as_py()
+        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        if own.num_rows:
+            keys, counts = [unpacked(own["keys"][0].as_py(), np.uint64)], [unpacked(own["counts"][0].as_py(), np.int64)]
+        keys, counts = keys[0], counts[0]
+        if kind == BYTES:
+            levels = branches(keys, counts, less, low_levels.value, threshold)
+            values = [packed(scores(levels, c).astype(np.float32)) for c in k]
+        else:
+            values = []
+            for c in k:
+                at = np.searchsorted(keys, c)
+                hit = np.append(keys, np.uint64(0))[at] == c
+                hit &= at < len(keys)
+                values.append(packed(np.where(hit, np.append(counts, 0)[at], 0)))
+        return pa.table({
+            "chunk": asks_of["chunk"], "kind": asks_of["kind"], "keys": asks_of["keys"], "values": pa.array(values, pa.binary()),
+        })
+
+    every = counted.select("kind", "slice", "keys", "counts", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    names = ("kind", "slice", "salt")
+    answers = asks.drop("counts").groupBy(*names).cogroup(every.groupBy(*names)).applyInArrow(
+        answered, "chunk long, kind int, keys binary, values binary"
     )
+    space = total + kinds + 1
 
-
-def adding(part, text: str, number: int, slices: int):
-    """A pass that adds the scores of the bytes whose ENDING previous bytes belong to this slice."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text):
-            codes, owner = windows(strings(batch, text))
-            if slices > 1:
-                ending = codes >> np.uint64(8) & np.uint64((1 << 8 * ENDING) - 1)
-                mine = (ending * np.uint64(SPREAD) >> np.uint64(16)) % np.uint64(slices) == number
-                codes, owner = codes[mine], owner[mine]
-            more = np.bincount(owner, weights=part.value.scores(codes), minlength=batch.num_rows)
-            at = batch.schema.get_field_index("score")
-            yield batch.set_column(at, "score", pa.array(batch.column(at).to_numpy() + more))
-
-    return run
+    def told(group: tuple, own: pa.Table, answers_of: pa.Table) -> pa.Table:
+        known, table = answers_of["kind"].to_numpy(), {}
+        for kind, form in ((WORD, np.int64), (BYTES, np.float32)):
+            mine = answers_of.filter(pa.array(known == kind))
+            k = np.concatenate([unpacked(b, np.uint64) for b in mine["keys"].to_pylist()])
+            v = np.concatenate([unpacked(b, form) for b in mine["values"].to_pylist()])
+            order = np.argsort(k)
+            table[kind] = k[order], v[order]
+        out = []
+        for batch in sliced(own.to_batches(), "text"):
+            texts, ids, n = strings(batch, "text"), batch.column("key").to_pylist(), batch.num_rows
+            found = {}
+            for kind, symbols in SYMBOLS.items():
+                codes, owner = symbols(texts)
+                k, v = table[kind]
+                found[kind] = owner, v[np.searchsorted(k, codes)].astype(np.float64)
+            (word, times_of), (byte, value) = found[WORD], found[BYTES]
+            out.append(pa.RecordBatch.from_pydict({
+                "key": batch.column("key"), "held_out": pa.array(~learned(ids, parts, held)),
+                "n_tokens": np.bincount(word, minlength=n), "n_known": np.bincount(word[times_of > 0], minlength=n),
+                "train_tokens": np.full(n, total, np.int64),
+                "base_score": np.bincount(word, weights=np.log10((times_of + 1) / space), minlength=n),
+                "score": np.bincount(byte, weights=value, minlength=n),
+            }))
+        return pa.Table.from_batches(out)
+
+    columns = "key long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    out = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(told, columns)
+    return out.withColumnRenamed("key", key)

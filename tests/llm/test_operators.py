@@ -340,21 +340,76 @@ def test_suffix_tree(docs, texts, nothing):
     assert suffix_tree.scored(nothing).count() == 0
 
 
-def test_suffix_tree_is_a_distribution(spark, monkeypatch):
-    """The next byte's probabilities sum to one in every state, also when the tree goes by slices."""
-    rows = [(i, "abra cadabra " * (i + 1)) for i in range(6)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    counted = suffix_tree.counts(frame, "doc_id", "text", 7, 8).where(F.col("kind") == suffix_tree.BYTES)
-    model = suffix_tree.Model(suffix_tree.tree(counted.select("k", "n"), suffix_tree.THRESHOLD).toArrow())
+def plain_tree(train, threshold):
+    """The tree from dictionaries: log10 probability of a byte after a context."""
+    bound, depth = suffix_tree.BOUND, suffix_tree.DEPTH
+    grams = {depth: Counter()}
+    for t in train:
+        raw = bound * depth + t.encode().lower() + bound
+        grams[depth].update(raw[i - depth : i + 1] for i in range(depth, len(raw)))
+    for d in range(depth - 1, -1, -1):
+        grams[d] = Counter(g[1:] for g in grams[d + 1])
+    p, hand, saved = {}, {}, Counter()
+    for d in range(depth + 1):
+        less = suffix_tree.discounts(*[sum(n == i for n in grams[d].values()) for i in range(1, 5)])
+        total, free = Counter(), Counter()
+        for g, n in grams[d].items():
+            total[g[:-1]] += n
+            free[g[:-1]] += less[min(n, 3) - 1]
+        for g, n in grams[d].items():
+            q = p[g[1:]] if d else 1 / 256
+            p[g] = (n - less[min(n, 3) - 1] + free[g[:-1]] * q) / total[g[:-1]]
+            saved[g[:-1]] += n * math.log2(p[g] / q)
+        hand.update({s: free[s] / total[s] for s in total})
+    kept = {s for s in hand if len(s) < suffix_tree.ENDING or saved[s] >= threshold}
+    kept |= {s[i:] for s in kept for i in range(len(s) + 1)}
+
+    def score(context, byte):
+        out = 0.0
+        for d in range(depth, -1, -1):
+            s = context[len(context) - d :]
+            if s in kept:
+                if s + byte in p:
+                    return out + math.log10(p[s + byte])
+                out += math.log10(hand[s])
+        return out + math.log10(1 / 256)
+
+    return score
+
+
+@pytest.mark.parametrize("threshold", [0.0, 1.0, 30.0])
+def test_suffix_tree_against_a_plain_one(spark, monkeypatch, threshold):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(prose(rnd, 30)) + ("\0\1" if i % 3 else " é")) for i in range(40)]
+    rows += [(40, None), (41, "ABRA cadabra " * 300), (0, rows[0][1]), (None, "unknown ~ text")]
+    held = {k for k, _ in rows if zlib.crc32(("" if k is None else str(k)).encode()) % 7 == 2}
+    plain = plain_tree([t or "" for k, t in rows if k not in held], threshold)
+    bound, depth = suffix_tree.BOUND, suffix_tree.DEPTH
+    wanted = []
+    for k, t in rows:
+        raw = bound * depth + (t or "").encode().lower() + bound
+        wanted.append((k or -1, sum(plain(raw[i - depth : i], raw[i : i + 1]) for i in range(depth, len(raw)))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_tree, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(suffix_tree, "MERGED_CHUNKS", 2)
+    monkeypatch.setattr("fxtape.llm.texts.SLICE_BYTES", 600)
+    found = [(r.doc_id or -1, r.score) for r in suffix_tree.scored(frame, threshold=threshold).collect()]
+    for (a, x), (b, y) in zip(sorted(found), sorted(wanted), strict=True):
+        assert a == b and x == pytest.approx(y, rel=1e-5)
+
+
+def test_suffix_tree_is_a_distribution():
+    """The next byte's probabilities sum to one in every state."""
+    codes, _ = suffix_tree.windows(["abra cadabra " * (i + 1) for i in range(6)])
+    keys, counts = np.unique(codes, return_counts=True)
+    own = suffix_tree.entries(keys, counts)
+    less = [suffix_tree.discounts(*[int((own[d][1] == i).sum()) for i in range(1, 5)]) for d in range(3, 7)]
+    low_levels = suffix_tree.trunk(*suffix_tree.shorter(own[3][0], 2))
+    levels = suffix_tree.branches(keys, counts, less, low_levels, suffix_tree.THRESHOLD)
     for context in (b"", b"bra c", b"zzzzz", b"a cad"):
         head = int.from_bytes(context, "big") << 8
-        codes = np.array([head | b for b in range(256)], np.uint64)
-        assert (10 ** model.scores(codes)).sum() == pytest.approx(1)
-    whole = {r.doc_id: r.score for r in suffix_tree.scored(frame).collect()}
-    monkeypatch.setattr(suffix_tree, "SLICE_STATES", 40)
-    monkeypatch.setattr(suffix_tree, "FREQUENT", 0)
-    parts = {r.doc_id: r.score for r in suffix_tree.scored(frame).collect()}
-    assert parts == pytest.approx(whole)
+        every = np.array([head | b for b in range(256)], np.uint64)
+        assert (10 ** suffix_tree.scores(levels, every)).sum() == pytest.approx(1)
 
 
 @pytest.fixture(scope="module")

@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import functions as F
-
 from fxtape.llm import suffix_tree
 
 
 def test_sixth_byte_decides(spark):
-    rows = [(i, "a-----x b-----y " * 40) for i in range(6)]
+    rows = [(i, "a-----x b-----y " * 40) for i in range(6)] + [(100, "b-----y"), (101, "b-----x")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    counted = suffix_tree.counts(frame, "doc_id", "text", 7, 8).where(F.col("kind") == suffix_tree.BYTES)
-    model = suffix_tree.Model(suffix_tree.tree(counted.select("k", "n"), suffix_tree.THRESHOLD).toArrow())
-    code = [int.from_bytes(c, "big") for c in (b"a-----x", b"b-----x")]
-    right, wrong = model.scores(np.array(code, np.uint64))
-    assert right > wrong + 1
+    found = {r.doc_id: r.score for r in suffix_tree.scored(frame, parts=7, held=8).collect()}
+    assert found[100] > found[101] + 1
