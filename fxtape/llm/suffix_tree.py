@@ -67,12 +67,29 @@ def low(codes: np.ndarray, n: int) -> np.ndarray:
     return codes & np.uint64((1 << 8 * n) - 1)
 
 
+def turned(codes: np.ndarray) -> np.ndarray:
+    """Windows with the ENDING bytes of the context before its other half; the same again turns back."""
+    half = 8 * ENDING
+    return low(codes >> np.uint64(8), ENDING) << np.uint64(half + 8) | codes >> np.uint64(half + 8) << np.uint64(8) | low(codes, 1)
+
+
 def packed(a: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+    """The first bytes of all values, then the second ones and so on, compressed."""
+    return zstandard.compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1)
 
 
 def unpacked(b: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(b), kind)
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(np.frombuffer(zstandard.decompress(b), np.uint8).reshape(size, -1).T.tobytes(), kind)
+
+
+def packed_keys(k: np.ndarray) -> bytes:
+    """Sorted keys as their differences."""
+    return packed(np.diff(k, prepend=np.uint64(0)))
+
+
+def unpacked_keys(rows: pa.Table) -> list[np.ndarray]:
+    return [np.cumsum(unpacked(b, np.uint64), dtype=np.uint64) for b in rows["keys"].to_pylist()]
 
 
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +102,8 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 
 def slice_of(kind: int, keys: np.ndarray, slices: int) -> np.ndarray:
-    name = keys if kind == WORD else low(keys >> np.uint64(8), ENDING) * SPREAD >> np.uint64(16)
+    """The slice of words, or of turned windows."""
+    name = keys if kind == WORD else (keys >> np.uint64(8 * (ENDING + 1))) * SPREAD >> np.uint64(16)
     return (name % np.uint64(slices)).astype(np.uint16)
 
 
@@ -100,21 +118,33 @@ SYMBOLS = {WORD: tokens, BYTES: windows}
 
 
 def chunked(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(chunk, key, text): the rows in chunks of about CHUNK_BYTES, named by the task that reads them."""
+    """The rows in chunks of about CHUNK_BYTES, named by the task that reads them: (chunk, ids, sizes,
+    body), where body holds the texts of some ids, compressed, and sizes their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size = TaskContext.get().partitionId() << 32, 0
         for batch in sliced(batches, "text"):
-            some = batch.column("text").nbytes
-            if size and size + some > CHUNK_BYTES:
+            raw = [t.encode() for t in strings(batch, "text")]
+            body = b"".join(raw)
+            if size and size + len(body) > CHUNK_BYTES:
                 chunk, size = chunk + 1, 0
-            size += some
+            size += len(body)
             yield pa.RecordBatch.from_pydict({
-                "chunk": np.full(batch.num_rows, chunk), "key": batch.column("key"), "text": batch.column("text"),
+                "chunk": pa.array([chunk], pa.int64()), "ids": pa.array([batch.column("key").to_pylist()], pa.list_(pa.int64())),
+                "sizes": pa.array([[len(r) for r in raw]], pa.list_(pa.int64())),
+                "body": pa.array([zstandard.compress(body, 1)], pa.binary()),
             })
 
     own = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return published(own.mapInArrow(run, "chunk long, key long, text string"), "chunks")
+    return published(own.mapInArrow(run, "chunk long, ids array<bigint>, sizes array<bigint>, body binary"), "chunks")
+
+
+def opened(rows: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, list, list[str]]]:
+    """(chunk, ids, texts) of rows of chunks."""
+    for i in range(rows.num_rows):
+        chunk, ids, sizes, body = (rows.column(c)[i].as_py() for c in ("chunk", "ids", "sizes", "body"))
+        raw, last = zstandard.decompress(body), np.cumsum(sizes).tolist()
+        yield chunk, ids, [raw[z - n : z].decode() for n, z in zip(sizes, last, strict=True)]
 
 
 def asked(rows: DataFrame, slices: int, parts: int, held: int) -> DataFrame:
@@ -133,24 +163,22 @@ def asked(rows: DataFrame, slices: int, parts: int, held: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "kind": pa.array([kind] * len(some), pa.int32()), "slice": pa.array(some, pa.int32()),
                 "chunk": pa.array([chunk] * len(some), pa.int64()),
-                "keys": pa.array([packed(k[c]) for c in cuts], pa.binary()),
+                "keys": pa.array([packed_keys(k[c]) for c in cuts], pa.binary()),
                 "counts": pa.array([packed(n[c]) for c in cuts], pa.binary()),
             })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, found = None, {}
-        for batch in sliced(batches, "text"):
-            chunks = batch.column("chunk").to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
-            for a, z in zip(edges, edges[1:]):
-                if chunks[a] != open_:
+        for batch in batches:
+            for chunk, ids, texts in opened(batch):
+                if chunk != open_:
                     if found:
                         yield from given(open_, found)
-                    open_, found = int(chunks[a]), {WORD: ([], []), BYTES: ([], [])}
-                part = batch.slice(a, z - a)
-                texts, mine = strings(part, "text"), learned(part.column("key").to_pylist(), parts, held)
+                    open_, found = chunk, {WORD: ([], []), BYTES: ([], [])}
+                mine = learned(ids, parts, held)
                 for kind, symbols in SYMBOLS.items():
                     codes, owner = symbols(texts)
+                    codes = codes if kind == WORD else turned(codes)
                     own = mine[owner]
                     k, n = np.unique(codes[own], return_counts=True)
                     other = np.unique(codes[~own])
@@ -179,19 +207,17 @@ def merged(group: tuple, rows: pa.Table) -> pa.Table:
     """The training counts of some chunks in one; of windows also the numbers of entries that occur one
     to four times at each depth, of words their total."""
     kind = rows["kind"][0].as_py()
-    k, n = summed(
-        [unpacked(b, np.uint64) for b in rows["keys"].to_pylist()], [unpacked(b, np.int64) for b in rows["counts"].to_pylist()]
-    )
+    k, n = summed(unpacked_keys(rows), [unpacked(b, np.int64) for b in rows["counts"].to_pylist()])
     k, n = k[n > 0], n[n > 0]
     if kind == WORD:
-        numbers, top = [int(n.sum()), len(k)], np.zeros((2, 0), np.int64)
+        numbers, top = [int(n.sum()), len(k)], np.zeros(0, np.int64)
     else:
-        own = entries(k, n)
+        own = entries(turned(k), n)
         numbers = [int((own[d][1] == i).sum()) for d in range(ENDING, DEPTH + 1) for i in range(1, 5)]
-        top = np.array(shorter(own[ENDING][0], ENDING - 1)).astype(np.int64)
+        top = np.concatenate(shorter(own[ENDING][0], ENDING - 1)).astype(np.int64)
     return pa.table({
         "kind": pa.array([kind], pa.int32()), "slice": pa.array([rows["slice"][0].as_py()], pa.int32()),
-        "keys": pa.array([packed(k)], pa.binary()), "counts": pa.array([packed(n)], pa.binary()),
+        "keys": pa.array([packed_keys(k)], pa.binary()), "counts": pa.array([packed(n)], pa.binary()),
         "numbers": pa.array([numbers], pa.list_(pa.int64())), "top": pa.array([packed(top)], pa.binary()),
     })
 
@@ -294,7 +320,7 @@ def scored(
     log10 probability of the lower-cased text and its end. Rows with crc32(key as text) modulo ``parts``
     equal to ``held`` are scored only; a null key counts as an empty text there.
 
-    A frequent word or context reaches its slice as one entry a chunk; a slice that many chunks ask is
+    Chunks, questions and answers go in compressed columns. A frequent word or context reaches its slice as one entry a chunk; a slice that many chunks ask is
     summed and answers by groups of MERGED_CHUNKS of them. What is broadcast are the entries of contexts
     below ENDING bytes, 256 ** ENDING at most. Null and empty texts have the end alone; repeated rows are counted
     and scored each; with no training row the tree is uniform; an empty table gives no rows; other columns are left out.
@@ -327,15 +353,15 @@ def scored(
     low_levels = spark.sparkContext.broadcast(trunk(short["k"].to_numpy().astype(np.uint64), short["n"].to_numpy()))
 
     def answered(group: tuple, asks_of: pa.Table, own: pa.Table) -> pa.Table:
-        k = [unpacked(b, np.uint64) for b in asks_of["keys"].to_pylist()]
+        k = unpacked_keys(asks_of)
         kind = (asks_of if len(k) else own)["kind"][0].as_py()
-        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if own.num_rows:
-            keys, counts = [unpacked(own["keys"][0].as_py(), np.uint64)], [unpacked(own["counts"][0].as_py(), np.int64)]
-        keys, counts = keys[0], counts[0]
+            keys, counts = unpacked_keys(own)[0], unpacked(own["counts"][0].as_py(), np.int64)
         if kind == BYTES:
-            levels = branches(keys, counts, less, low_levels.value, threshold)
-            values = [packed(scores(levels, c).astype(np.float32)) for c in k]
+            order = np.argsort(turned(keys))
+            levels = branches(turned(keys)[order], counts[order], less, low_levels.value, threshold)
+            values = [packed(scores(levels, turned(c)).astype(np.float32)) for c in k]
         else:
             values = []
             for c in k:
@@ -358,21 +384,22 @@ def scored(
         known, table = answers_of["kind"].to_numpy(), {}
         for kind, form in ((WORD, np.int64), (BYTES, np.float32)):
             mine = answers_of.filter(pa.array(known == kind))
-            k = np.concatenate([unpacked(b, np.uint64) for b in mine["keys"].to_pylist()])
+            k = np.concatenate(unpacked_keys(mine))
             v = np.concatenate([unpacked(b, form) for b in mine["values"].to_pylist()])
             order = np.argsort(k)
             table[kind] = k[order], v[order]
         out = []
-        for batch in sliced(own.to_batches(), "text"):
-            texts, ids, n = strings(batch, "text"), batch.column("key").to_pylist(), batch.num_rows
+        for _, ids, texts in opened(own):
+            n = len(ids)
             found = {}
             for kind, symbols in SYMBOLS.items():
                 codes, owner = symbols(texts)
+                codes = codes if kind == WORD else turned(codes)
                 k, v = table[kind]
                 found[kind] = owner, v[np.searchsorted(k, codes)].astype(np.float64)
             (word, times_of), (byte, value) = found[WORD], found[BYTES]
             out.append(pa.RecordBatch.from_pydict({
-                "key": batch.column("key"), "held_out": pa.array(~learned(ids, parts, held)),
+                "key": pa.array(ids, pa.int64()), "held_out": pa.array(~learned(ids, parts, held)),
                 "n_tokens": np.bincount(word, minlength=n), "n_known": np.bincount(word[times_of > 0], minlength=n),
                 "train_tokens": np.full(n, total, np.int64),
                 "base_score": np.bincount(word, weights=np.log10((times_of + 1) / space), minlength=n),
