@@ -132,7 +132,7 @@ def chunked(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "chunk": pa.array([chunk], pa.int64()), "ids": pa.array([batch.column("key").to_pylist()], pa.list_(pa.int64())),
                 "sizes": pa.array([[len(r) for r in raw]], pa.list_(pa.int64())),
-                "body": pa.array([zstandard.compress(body, 1)], pa.binary()),
+                "body": pa.array([zstandard.compress(body, 3)], pa.binary()),
             })
 
     own = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
@@ -305,6 +305,12 @@ def scores(levels: list[Level], codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def rounded(values: np.ndarray) -> np.ndarray:
+    """Floats of 16 significant bits, a relative error below 0.00001; their last byte is empty and packs to nothing."""
+    bits = values.astype(np.float32).view(np.uint32)
+    return (bits + np.uint32(128) & np.uint32(0xFFFFFF00)).view(np.float32)
+
+
 def scored(
     docs: DataFrame,
     key: str = "doc_id",
@@ -317,7 +323,7 @@ def scored(
 
     Tokens are words (runs without white space, A-Z lower-cased) and one end. ``base_score`` sums
     log10((c + 1) / (N + V + 1)) over them, with the training count c of each; ``score`` is the tree's
-    log10 probability of the lower-cased text and its end. Rows with crc32(key as text) modulo ``parts``
+    log10 probability of the lower-cased text and its end, added up from bytes with 16 significant bits each. Rows with crc32(key as text) modulo ``parts``
     equal to ``held`` are scored only; a null key counts as an empty text there.
 
     Chunks, questions and answers go in compressed columns. A frequent word or context reaches its slice as one entry a chunk; a slice that many chunks ask is
@@ -361,7 +367,7 @@ def scored(
         if kind == BYTES:
             order = np.argsort(turned(keys))
             levels = branches(turned(keys)[order], counts[order], less, low_levels.value, threshold)
-            values = [packed(scores(levels, turned(c)).astype(np.float32)) for c in k]
+            values = [packed(rounded(scores(levels, turned(c)))) for c in k]
         else:
             values = []
             for c in k:
