@@ -201,4 +201,4 @@ def matches(docs: DataFrame, index, key: str, text: str, item: str, percent: int
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns; null keys stay."""
     held = searched(docs, items, key=key, **settings).select(key).distinct()
-    return docs.join(held, key, "left_anti")
+    return docs.join(held, key, "left_anti").select(*docs.columns)

@@ -229,4 +229,4 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", **settings) -> DataFrame
     """The rows of ``docs`` whose key is the smallest of its component, with all their columns."""
     judged = joined(docs, key, **settings)
     gone = judged.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(gone, key, "left_anti")
+    return docs.join(gone, key, "left_anti").select(*docs.columns)
