@@ -240,7 +240,9 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _reconciliation(spark: SparkSession, sf_dir: str) -> compare.Reconciliation:
     captured = contract.decode_envelope(envelopes(spark, sf_dir, broken=False), SYMBOLS)
-    return compare.reconcile_events(captured, _stored(spark, sf_dir))
+    return compare.reconcile_events(
+        published(captured, "captured"), published(_stored(spark, sf_dir), "stored")
+    )
 
 
 @query("event_reconcile", """SELECT event_id AS kafka_offset, event_id % 3 AS kafka_partition,
