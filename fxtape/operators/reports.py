@@ -77,10 +77,11 @@ def run_metrics(events: DataFrame, by: str = "run_id") -> DataFrame:
     delay of every run.
 
     ``events`` are decoded, with ``error``, ``processed_at`` and the run. Counted per event id
-    first, so a run that holds most rows is aggregated by many tasks.
+    first, so a run that holds most rows is aggregated by many tasks. Delays are summed as decimals: those
+    of a replay may be years, of which a long holds a hundred thousand in microseconds.
     """
     valid = F.col("error").isNull()
-    delay = F.unix_micros("processed_at") - F.unix_micros("ingested_at")
+    delay = (F.unix_micros("processed_at") - F.unix_micros("ingested_at")).cast("decimal(20,0)")
     per_id = events.groupBy(by, F.when(valid, F.col("event_id")).alias("event_id"),
                             F.when(valid, F.col("ingestion_mode")).alias("mode")).agg(
         F.count(F.lit(1)).alias("records"),
