@@ -85,11 +85,12 @@ def _admit(batch: DataFrame, batch_id: int, paths: RunPaths, limit: int) -> Data
 
 def capture_then_process(
     stream: DataFrame, paths: RunPaths, symbols: list[str] | None = None, available_now: bool = True,
-    limit: int | None = None,
+    limit: int | None = None, zero_price: bool = False,
 ) -> StreamingQuery:
     """Store the raw messages of each micro-batch, then its events and its dead letters.
 
     With ``limit`` no more messages are let in than that; what comes after is left to another run.
+    ``zero_price`` is the contract's.
 
     The batch is decoded once, from the capture just written: the source is read once and the
     message is on disk before it is interpreted, so a lost executor costs a re-read of the
@@ -113,7 +114,7 @@ def capture_then_process(
             F.lit(None).cast("timestamp").alias("timestamp"),
         )
         folder = f"{paths.raw.rsplit('/', 1)[0]}/decoded/batch_id={batch_id}"
-        decode_message(messages, symbols).write.mode("overwrite").parquet(folder)
+        decode_message(messages, symbols, zero_price).write.mode("overwrite").parquet(folder)
         valid, invalid = route_invalid(spark.read.parquet(folder).drop("batch_id"))
         stamped = valid.withColumns({"consumer_received_at": received, "sink_requested_at": received})
         writers.append_events(stamped, batch_id, paths.valid, paths.run_id)
@@ -175,7 +176,7 @@ def _complete(spark: SparkSession, paths: RunPaths, expected: int | None) -> Dat
 
 def run_bounded(
     stream: DataFrame, paths: RunPaths, limit: int, seconds: float, symbols: list[str] | None = None,
-    pause: float = 0.2,
+    pause: float = 0.2, zero_price: bool = False,
 ) -> StreamingQuery:
     """Take ``limit`` messages from every partition's earliest offset on, or stop at the deadline.
 
@@ -184,7 +185,7 @@ def run_bounded(
     may get more while the query runs. Whether the run is complete is for ``bounded_metrics`` to say.
     """
     deadline = time.monotonic() + seconds
-    query = capture_then_process(stream, paths, symbols, available_now=False, limit=limit)
+    query = capture_then_process(stream, paths, symbols, available_now=False, limit=limit, zero_price=zero_price)
     seen = -1
     while query.isActive and time.monotonic() < deadline:
         progress = query.lastProgress
