@@ -350,7 +350,7 @@ def fx_batch_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_record_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rate record per event, six out of seven broken in a known way."""
     kind = F.col("event_id") % 7
-    rate = F.col("value").cast("string")
+    rate = F.round(F.col("value") + 1, 2).cast("string")  # some events have the value zero, which is no rate
     stamp = s.iso_text(utc("ts"))
     records = table(spark, sf_dir, "events").select(
         "event_id",
