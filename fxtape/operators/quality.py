@@ -229,11 +229,16 @@ def check_processed_vs_raw(raw: DataFrame, processed: DataFrame, source: str) ->
     )
 
 
-def check_bars(df: DataFrame, key: str = "symbol", time: str = "bar_start_utc") -> DataFrame:
-    """Problems of source bars per symbol: repeated or zone-less times, currency, price."""
+def check_bars(
+    df: DataFrame, key: str = "symbol", time: str = "bar_start_utc", number: Sequence[str] = ()
+) -> DataFrame:
+    """Problems of source bars per symbol: repeated or zone-less times, currency, price.
+
+    ``number`` names what tells bars of one time apart, where a source has that.
+    """
     price = F.col("price_usd")
     good_price = F.coalesce(~is_bad_number(price) & (price > 0), F.lit(False))
-    per_key = df.groupBy(key, time).agg(
+    per_key = df.groupBy(key, time, *number).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(zoned_time(F.col(time)).isNull()).alias("unzoned"),
         F.count_if(~F.col("currency").eqNullSafe(F.lit(c.CURRENCY))).alias("foreign"),

@@ -7,13 +7,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fxtape import constants as c
 from fxtape import versions
 from fxtape.functions.scalars import zoned_time
 from fxtape.operators import bars, merge, quality
 from fxtape.plans.rates import RefusedBatch
-from fxtape.schemas import BAR_STORED
+from fxtape.schemas import BAR, BAR_STORED
 from fxtape.shared import published
 from fxtape.sinks import partitions, writers
 from fxtape.sources import readers
@@ -23,9 +24,16 @@ from fxtape.versions import RefusedWrite
 DATE = "bar_date"
 
 
-def stored_bars(spark: SparkSession, root: str) -> DataFrame:
+def numbered(schema: T.StructType, number: Sequence[str]) -> T.StructType:
+    """The schema of bars that have numbers beside their symbol and time."""
+    return T.StructType([*schema.fields, *[T.StructField(name, T.LongType()) for name in number]])
+
+
+def stored_bars(spark: SparkSession, root: str, number: Sequence[str] = ()) -> DataFrame:
     """The archive, partitioned by the UTC date of its bars; empty before the first refresh."""
-    return partitions.stored_table(spark, root, BAR_STORED)
+    return partitions.stored_table(spark, root, numbered(BAR_STORED, number)).select(
+        *BAR.names, *number, DATE
+    )
 
 
 def dated(bars_: DataFrame) -> DataFrame:
@@ -45,9 +53,11 @@ def timed(df: DataFrame) -> DataFrame:
     return df.withColumn("bar_start", zoned_time(F.col("bar_start_utc")))
 
 
-def clean_bars(collected: DataFrame, as_of: str, bar_seconds: int = 60) -> DataFrame:
+def clean_bars(
+    collected: DataFrame, as_of: str, bar_seconds: int = 60, number: Sequence[str] = ()
+) -> DataFrame:
     """Completed, valid bars inside the period all symbols share."""
-    faults = quality.check_bars(collected)
+    faults = quality.check_bars(collected, number=number)
     if not faults.isEmpty():
         raise RefusedBatch("source bars are invalid or repeated")
     completed = bars.completed_bars(timed(collected), F.lit(as_of).cast("timestamp"), bar_seconds)
@@ -67,6 +77,7 @@ def refresh_archive(
     sessions: int = 5,
     required: Sequence[str] = tuple(c.SYMBOLS),
     max_rows: int | None = None,
+    number: Sequence[str] = (),
 ) -> DataFrame:
     """Merge collected bars into the archive's dates they touch and publish the window of its last
     sessions.
@@ -74,14 +85,18 @@ def refresh_archive(
     Returns one row with the total, added and revised bars. Repeated keys, stale input and a window that
     lacks symbols are refused before any stored date is replaced. Dates that the bars do not touch are
     read for the window alone, and only the most recent of them.
+
+    A symbol has one bar a time, unless ``number`` names columns of whole numbers, kept with the bars, that
+    tell several apart; they belong to the key then.
     """
-    incoming = published(dated(clean_bars(readers.read_bars(spark, path), as_of)), "incoming_bars")
+    collected = readers.read_bars(spark, path, numbered(BAR, number))
+    incoming = published(dated(clean_bars(collected, as_of, number=number)), "incoming_bars")
     recent = recent_dates(spark, archive_root, sessions)
-    stored = partitions.only(stored_bars(spark, archive_root), DATE, recent)
+    stored = partitions.only(stored_bars(spark, archive_root, number), DATE, recent)
     if bars.is_stale(timed(incoming), timed(stored)).first().stale:
         raise RefusedBatch("incoming bars are older than the archive")
     batch_dates = partitions.touched(incoming, DATE)
-    others = partitions.only(stored_bars(spark, archive_root), DATE, [d for d in recent if d not in batch_dates])
+    others = partitions.only(stored_bars(spark, archive_root, number), DATE, [d for d in recent if d not in batch_dates])
     active: list[DataFrame] = []
 
     def window_of(merged: DataFrame) -> None:
@@ -93,7 +108,7 @@ def refresh_archive(
 
     try:
         commit = partitions.merge_bars(
-            archive_root, incoming, (DATE, *merge.BAR_KEY), DATE, ("symbol",), before=window_of
+            archive_root, incoming, (DATE, *merge.BAR_KEY, *number), DATE, ("symbol",), before=window_of
         )
     except RefusedWrite as error:
         raise RefusedBatch(str(error)) from error

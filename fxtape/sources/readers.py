@@ -41,9 +41,9 @@ def normalise_fx(raw: DataFrame, zone: str = c.LOCAL_ZONE) -> DataFrame:
     )
 
 
-def read_bars(spark: SparkSession, path: str) -> DataFrame:
+def read_bars(spark: SparkSession, path: str, schema: T.StructType = BAR) -> DataFrame:
     """Replay bars, one JSON object per line."""
-    return spark.read.schema(BAR).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:

@@ -90,6 +90,10 @@ _ARCHIVE = f"""old AS ({_ALIGNED.format(when="ts < TIMESTAMP '2024-01-20'")}),
   dated AS (SELECT *, CAST(timezone('America/New_York', timezone('UTC', ts)) AS DATE) AS d FROM merged)"""
 
 
+# Two events of a type may have one time, so the archive keeps the number of the event with its bar.
+NUMBER = ["event_id"]
+
+
 def _collected(spark: SparkSession, sf_dir: str, when: str, raised: bool) -> str:
     """Events of a time as a file of collected bars; ``raised`` revises one symbol's prices."""
     folder = new_folder(spark, "collected")
@@ -97,7 +101,7 @@ def _collected(spark: SparkSession, sf_dir: str, when: str, raised: bool) -> str
     if raised:
         more = F.when(F.col("symbol") == "click", 1).otherwise(0)
         bars = bars.withColumn("price_usd", F.col("price_usd") + more)
-    bars.where(f"bar_start_utc {when}").select(*BAR.names).write.json(folder)
+    bars.where(f"bar_start_utc {when}").select(*BAR.names, *NUMBER).write.json(folder)
     return folder
 
 
@@ -107,7 +111,7 @@ def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
     for version, when, raised in ((EARLIER, "< '2024-01-20'", False), (LATER, ">= '2024-01-18'", True)):
         counts = archive.refresh_archive(
             spark, _collected(spark, sf_dir, when, raised), stored, active, version, "2024-02-01 00:00:00",
-            required=SYMBOLS,
+            required=SYMBOLS, number=NUMBER,
         )
     return stored, active, counts
 
@@ -117,9 +121,10 @@ def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
 def archive_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive after both refreshes, and which bars are in its active window."""
     stored, active, _ = _refreshed(spark, sf_dir)
-    window = readers.read_snapshot(spark, active, BAR).select("symbol", "bar_start_utc", F.lit(True).alias("shown"))
+    key = ["symbol", "bar_start_utc", *NUMBER]
+    window = readers.read_snapshot(spark, active, archive.numbered(BAR, NUMBER)).select(*key, F.lit(True).alias("shown"))
     start = F.date_format(archive.zoned_time(F.col("bar_start_utc")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return archive.stored_bars(spark, stored).join(window, ["symbol", "bar_start_utc"], "left").select(
+    return archive.stored_bars(spark, stored, NUMBER).join(window, key, "left").select(
         "symbol", start.alias("bar_start"), "price_usd", F.coalesce("shown", F.lit(False)).alias("active")
     )
 
