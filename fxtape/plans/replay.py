@@ -70,8 +70,8 @@ def replay_and_publish(
     events = bar_events(bars, received, symbols)
     paths = ingest.run_paths(root, run_id)
     source = f"{root}/topic/run_id={run_id}"
-    ingest.write_replay(as_messages(events, f"market.{run_id.lower()}"), source, files)
-    stream = ingest.replay_stream(spark, source, files_per_trigger)
+    written = ingest.write_replay(as_messages(events, f"market.{run_id.lower()}"), source, files)
+    stream = ingest.replay_stream(spark, source, max(files_per_trigger, ingest.batch_files(spark, written)))
     metrics = published(ingest.run_once(stream, paths, events.count(), symbols), "run_metrics")
     stored = rows.dedup_run_events(ingest.sink_rows(spark, paths)).select(*MARKET_EVENT.names)
     captured = published(decode_envelope(ingest.raw_rows(spark, paths), symbols), "captured")

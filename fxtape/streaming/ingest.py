@@ -271,19 +271,35 @@ def replay_messages(
     )
 
 
-def write_replay(messages: DataFrame, path: str, files: int) -> None:
-    """Messages as ``files`` Parquet files of Kafka's shape in time order.
+FILE_ROWS = 250_000  # most rows of a file that a stream reads in order, but for uneven ranges
 
-    Each file is one range of time, written once by its own task beside the replay. Then the files are
-    moved in, in the order of their ranges and with rising modification times, by which a file stream
-    reads them; no byte is written or read twice.
+
+def write_in_order(rows: DataFrame, path: str, files: int, *order: str) -> int:
+    """Rows as Parquet files in an order, ``files`` or as many as ``FILE_ROWS`` asks for.
+
+    Each file is one range, sorted and written once by its own task beside the folder, so a task has as
+    much to do however many rows there are. Then the files are moved in, in the order of their ranges and
+    with rising modification times, by which a file stream reads them; no byte is written or read twice.
+    Returns the number of files.
     """
-    spark = messages.sparkSession
+    spark = rows.sparkSession
     beside = new_folder(spark, "replay_ranges")
-    ranges = messages.repartitionByRange(files, "timestamp", "offset")
-    ranges.sortWithinPartitions("timestamp", "offset").write.parquet(beside)
+    ranges = rows.repartitionByRange(max(files, -(-rows.count() // FILE_ROWS)), *order)
+    ranges.sortWithinPartitions(*order).write.parquet(beside)
     parts = [name for name in versions.names(spark, beside) if name.startswith("part-")]
     versions.move_in_order(spark, beside, path, parts)
+    return len(parts)
+
+
+def write_replay(messages: DataFrame, path: str, files: int) -> int:
+    """Messages as Parquet files of Kafka's shape in time order, ``files`` of them or more."""
+    return write_in_order(messages, path, files, "timestamp", "offset")
+
+
+def batch_files(spark: SparkSession, files: int) -> int:
+    """Files for a micro-batch, of which there are two at least: one for each core, so that the size of a
+    batch and of its tasks and state does not grow with the replay."""
+    return max(1, min(files // 2, max(2, spark.sparkContext.defaultParallelism)))
 
 
 def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
