@@ -30,6 +30,7 @@ PAD = ""
 RUNS = 3  # words of the longest runs that are counted before the windows
 FILTER_BITS = 26  # of a bit table, 8 MB whatever the corpus
 BLOCK = 1 << 16  # bytes of a bit table that travel as one row
+SLICE = 1 << 19  # bytes of text handled at once: a slice takes some 70 times that in arrays and words
 
 WORD, SPACE, BREAK = 0, 1, 2
 KIND = np.full(256, WORD, np.uint8)
@@ -55,9 +56,10 @@ class Pieces:
         kind = KIND[raw]
         edge = np.flatnonzero(np.diff((kind == WORD).view(np.int8), prepend=np.int8(0), append=np.int8(0)))
         self.start, self.stop = edge[::2], edge[1::2]
-        up, down = powers(len(raw) + 1)
+        up, down = powers(len(raw) + 1, SLICE)
         total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[raw] * up[: len(raw)], out=total[1:])
+        np.multiply(BYTE_VALUES[raw], up[: len(raw)], out=total[1:])
+        np.cumsum(total[1:], out=total[1:])
         value = (total[self.stop] - total[self.start]) * down[self.start]
         row = np.searchsorted(ends, self.start, side="right")
         self.names = sorted(set(langs))
@@ -65,7 +67,7 @@ class Pieces:
         self.lang = np.array([number[name] for name in langs], np.int64)[row]
         salt = np.array([language_value(name) for name in self.names], np.uint64)
         self.hash = mixed(value + (self.stop - self.start).astype(np.uint64)) ^ salt[self.lang]
-        breaks = np.cumsum(kind == BREAK)[self.start]
+        breaks = np.cumsum(kind == BREAK, dtype=np.int32)[self.start]
         self.joined = np.zeros(len(self.start), bool)  # with the word after it
         self.joined[:-1] = breaks[1:] == breaks[:-1]
         self.bytes = raw.tobytes()
@@ -111,14 +113,15 @@ def has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return found
 
 
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """The bit table over the longs of column ``h``: set in tasks, united by block in Spark, 8 MB at most
-    on the driver."""
+def bit_table(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The bit table over the ``hashes`` of rows: set in tasks, united by block in Spark, 8 MB at most
+    on the driver. Rows are hashed where their bits are set: a second Python step in a task would be a second worker
+    with memory of its own."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros((1 << FILTER_BITS) >> 3, np.uint8)
         for batch in batches:
-            h = batch.column(0).to_numpy().view(np.uint64)
+            h = hashes(batch)
             for shift in (0, 32):
                 at = (h >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
                 np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
@@ -136,7 +139,7 @@ def bit_table(hashes: DataFrame) -> np.ndarray:
 
     kind = "block long, bits binary"
     whole = np.zeros((1 << FILTER_BITS) >> 3, np.uint8).reshape(-1, BLOCK)
-    for row in hashes.mapInArrow(partial, kind).groupBy("block").applyInArrow(united, kind).collect():
+    for row in rows.mapInArrow(partial, kind).groupBy("block").applyInArrow(united, kind).collect():
         whole[row.block] = np.frombuffer(row.bits, np.uint8)
     return whole.reshape(-1)
 
@@ -147,7 +150,7 @@ def emitted(
     """``of`` over the words of each slice of (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches, "text"):
+        for part in sliced(batches, "text", SLICE):
             found = Pieces(part.column("text").to_pylist(), part.column("lang").to_pylist())
             if len(found.hash):
                 yield of(found)
@@ -169,16 +172,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def hashed(words: DataFrame) -> DataFrame:
+def hashed(batch: pa.RecordBatch) -> np.ndarray:
     """The hash of each (lang, word), as tasks compute it from texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                p = Pieces(batch.column(1).to_pylist(), batch.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(p.hash.view(np.int64))], ["h"])
-
-    return words.select("lang", "word").mapInArrow(run, "h long")
+    return Pieces(batch.column(1).to_pylist(), batch.column(0).to_pylist()).hash
 
 
 def run_table(texts: DataFrame, known: list, least: int) -> np.ndarray:
@@ -190,7 +186,7 @@ def run_table(texts: DataFrame, known: list, least: int) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
     counted = emitted(texts, "h long, n long", of).groupBy("h").agg(F.sum("n").alias("n"))
-    return bit_table(counted.where(F.col("n") >= least).select("h"))
+    return bit_table(counted.where(F.col("n") >= least).select("h"), lambda b: b.column(0).to_numpy().view(np.uint64))
 
 
 def windows(texts: DataFrame, words: np.ndarray, least: int) -> DataFrame:
@@ -265,7 +261,7 @@ def collocations(
     counts = published(counts.where((F.col("n") >= least) | F.col("word").isNull()), "words")
     words = counts.where("word IS NOT NULL")
     totals = counts.where("word IS NULL").select("lang", "n")
-    counted = published(windows(texts, bit_table(hashed(words)), least), "windows")
+    counted = published(windows(texts, bit_table(words.select("lang", "word"), hashed), least), "windows")
     phrases = published(
         frequencies(counted, least).select(
             "lang", F.concat_ws(" ", "words").alias("phrase"), F.size("words").alias("size"), "words", "f"

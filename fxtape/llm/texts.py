@@ -20,13 +20,13 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
-def sliced(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a slice holds SLICE_BYTES of text, or one row."""
+def sliced(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a slice holds ``most`` bytes of text, or one row."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         group, total, start = 0, 0, 0
         for i, n in enumerate(lengths.tolist()):
-            if i > start and total + n > SLICE_BYTES:
+            if i > start and total + n > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n
@@ -73,9 +73,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
 BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and its inverse for i up to ``n``, kept for the usual length only."""
-    usual = SLICE_BYTES + (SLICE_BYTES >> 2)
+def powers(n: int, most: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """BASE ** i and its inverse for i up to ``n``, kept for slices of ``most`` bytes only."""
+    usual = most + (most >> 2)
     size = max(n, usual)
     if size not in _POWERS:
         both = tuple(np.full(size, x, np.uint64) for x in (BASE, INVERSE))
