@@ -1,12 +1,14 @@
-"""Toxicity by the nearest labelled examples in exact TF-IDF cosine, over a block-max inverted index.
+"""Toxicity by the nearest labelled examples in exact TF-IDF cosine, over an inverted index.
 
 Terms are all words of the examples, known by 64-bit hashes; a word outside them meets no example and
 counts in the norm of a text only.
 A term's TF-IDF weight grows with the likelihood ratio by which it tells the two labels apart. The index
-stores the examples' vectors and the largest weights by term; examples stand in blocks, and each term knows its largest weight in each block. A
-query's bound for a block is the product with these maxima; blocks are scored in falling order of the
-bound until no block can hold a nearer example. The nearest vote, nearer ones with more weight, and a
-logistic curve fitted to the examples' votes on each other turns votes into calibrated scores.
+lists, term by term, the examples and their weights; the lists of the commonest terms are dense rows. A
+query sums its short lists and meets the dense ones together with other queries, as a matrix product; examples that
+are among the nearest by that, or miss it by less than the error of single precision, are scored again in
+double precision. (Largest weights by block, which were used before, left two examples of five to score, since
+common words meet nearly all.) The nearest vote, nearer ones with more weight, and a logistic curve fitted to the
+examples' votes on each other turns votes into calibrated scores.
 """
 
 from __future__ import annotations
@@ -28,7 +30,10 @@ from fxtape.shared import published
 EXAMPLES = 20_000  # most labelled rows learned from: those with the lowest hash of their key
 RATIO = 14.0  # likelihood ratio that doubles a term's weight
 NEAREST = 24
-BLOCK = 32
+COMMON = 256  # terms whose lists are dense, 20 MB a worker for the most examples
+TOGETHER = 64  # queries that meet the dense lists at once
+LANES = 16  # examples in a matrix of the dense lists; products this small stay on the task's own core
+SLACK = 1e-5  # error of a cosine in single precision, at most
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -60,10 +65,9 @@ def ratio(a: np.ndarray, n: np.ndarray, toxic: int, total: int) -> np.ndarray:
 
 
 class Terms:
-    """Words by their 64-bit hashes, numbered in the order they are given; 12 bytes a word."""
+    """Words by their 64-bit hashes ``h``, numbered in the order they are given; 12 bytes a word."""
 
-    def __init__(self, terms: list[str]):
-        h = hashed(terms)
+    def __init__(self, h: np.ndarray):
         self.number = np.argsort(h).astype(np.int32)
         self.hash = h[self.number]
 
@@ -105,11 +109,11 @@ def weighed_terms(rows: DataFrame, text: str) -> tuple[Terms, np.ndarray]:
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     counted = rows.select(text, "y").mapInArrow(run, "term string, a long, n long")
     summed = counted.groupBy("term").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
-    found = summed.toArrow().to_pandas()  # of the bounded examples
-    found["g"] = ratio(found["a"].to_numpy(float), found["n"].to_numpy(float), toxic, total)
-    found = found.sort_values(["g", "term"], ascending=[False, True])
-    return Terms(found["term"].tolist()), 1 + found["g"].to_numpy(float) / RATIO
-
+    found = summed.toArrow()  # of the bounded examples; no word of it becomes an object, but for its hash
+    g = ratio(found["a"].to_numpy().astype(float), found["n"].to_numpy().astype(float), toxic, total)
+    found = found.select(["term"]).append_column("g", pa.array(g)).sort_by([("g", "descending"), ("term", "ascending")])
+    h = [hashed(part.column("term").to_pylist()) for part in found.to_batches(max_chunksize=10_000)]
+    return Terms(np.concatenate([np.zeros(0, np.uint64), *h])), 1 + found["g"].to_numpy() / RATIO
 
 
 class Weights:
@@ -120,9 +124,6 @@ class Weights:
         self.terms = np.concatenate([np.zeros(0, np.int32), *[t.astype(np.int32) for t, _ in vectors]])
         self.values = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]])
         self.first = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
-        block = np.minimum(np.arange(width // BLOCK + 1) * BLOCK, len(vectors))
-        self.start = self.first[block]
-        self.lane = (self.row % BLOCK).astype(np.uint8)
 
     @property
     def row(self) -> np.ndarray:
@@ -137,8 +138,40 @@ class Weights:
         return out
 
 
+class Lists:
+    """The inverted lists of example vectors: term by term the examples with it and their weights; the
+    COMMON longest ones are dense, as matrices of (term, LANES examples)."""
+
+    def __init__(self, held: Weights, terms: int):
+        length = np.bincount(held.terms, minlength=terms)
+        some = np.argsort(-length, kind="stable")[:COMMON]
+        self.place = np.full(terms, -1, np.int32)
+        self.place[some] = np.arange(len(some))
+        self.width, at, row = held.width, self.place[held.terms], held.row
+        common = at >= 0
+        self.dense = np.zeros((-(-held.width // LANES), len(some), LANES), np.float32)
+        self.dense[row[common] // LANES, at[common], row[common] % LANES] = held.values[common]
+        left = np.flatnonzero(at < 0)
+        left = left[np.argsort(held.terms[left], kind="stable")]
+        self.row, self.values = row[left], held.values[left]
+        length[some] = 0
+        self.begin = np.concatenate([[0], np.cumsum(length)])
+
+    def summed(self, terms: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Products of all examples with these terms, none of them dense."""
+        begin = self.begin[terms]
+        n = self.begin[terms + 1] - begin
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.row[at], weights=self.values[at] * np.repeat(w, n), minlength=self.width)
+
+    def met(self, common: np.ndarray, w: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Products of some examples with dense terms, in double precision."""
+        values = self.dense[(some // LANES)[:, None], common, (some % LANES)[:, None]]
+        return (values * w).sum(axis=1, dtype=np.float64)
+
+
 class Index:
-    """Distinct example vectors with their numbers of rows and of toxic rows, in blocks."""
+    """Distinct example vectors with their numbers of rows and of toxic rows."""
 
     def __init__(self, rows: pd.DataFrame, idf: np.ndarray):
         self.idf = idf
@@ -154,22 +187,16 @@ class Index:
         total, toxic = max(1, len(rows)), int(rows["y"].sum()) if len(rows) else 0
         self.prior = (toxic + 1) / (total + 2)
         self.silent = (zero[1] + self.prior) / (zero[0] + 1)  # of texts without a term
-        found = [merged[name] for name in sorted(merged)]  # similar vectors share blocks
-        self.size, self.blocks = len(found), -(-len(found) // BLOCK)
-        self.rows, self.toxic = np.zeros(self.blocks * BLOCK), np.zeros(self.blocks * BLOCK)
-        self.keys = np.zeros(self.blocks * BLOCK, np.int64)
+        found = [merged[name] for name in sorted(merged)]
+        self.size = len(found)
+        self.rows, self.toxic, self.keys = np.zeros(self.size), np.zeros(self.size), np.zeros(self.size, np.int64)
         for e, (n, y, key, _, _) in enumerate(found):
             self.rows[e], self.toxic[e], self.keys[e] = n, y, key
-        self.weights = Weights([self.vector(t, c) for *_, t, c in found], self.blocks * BLOCK)
-        # Postings of the largest weights: term by term, the blocks with it.
-        place = self.weights.terms.astype(np.int64) * max(1, self.blocks) + self.weights.row // BLOCK
-        order = np.argsort(place, kind="stable")
-        place, first = np.unique(place[order], return_index=True)
-        self.block = (place % max(1, self.blocks)).astype(np.min_scalar_type(self.blocks))
-        most = np.maximum.reduceat(self.weights.values[order], first) if len(first) else np.zeros(0, np.float32)
-        self.most = np.minimum(np.ceil(most * 255 + 1e-3), 255).astype(np.uint8)  # rounded up: still a bound
-        self.begin = np.searchsorted(place, np.arange(len(idf) + 1) * max(1, self.blocks)).astype(np.int32)
-        self.query = np.zeros(len(idf), np.float32)
+        self.weights = Weights([self.vector(t, c) for *_, t, c in found], self.size)
+        self.lists = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"lists": None}  # each worker makes its own
 
     def vector(self, terms, counts, more: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """Weights of unit length; ``more`` is the squared weight of words that are no terms."""
@@ -181,34 +208,36 @@ class Index:
         a, z = self.weights.first[e], self.weights.first[e + 1]
         return self.weights.terms[a:z], self.weights.values[a:z]
 
-    def bounds(self, terms: np.ndarray, w: np.ndarray) -> np.ndarray:
-        begin = self.begin[terms].astype(np.int64)
-        n = self.begin[terms + 1] - begin
-        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.block[at], weights=self.most[at] * np.repeat(w / 255, n), minlength=self.blocks)
+    def opened(self) -> Lists:
+        if self.lists is None:
+            self.lists = Lists(self.weights, len(self.idf))
+        return self.lists
 
     def nearest(self, terms, counts, more: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the NEAREST distinct vectors; ties go to the lower number."""
-        return self.search(*self.vector(terms, counts, more))
-
-    def search(self, terms: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bound, held = self.bounds(terms, w), self.weights
-        order = np.argsort(-bound, kind="stable")
-        found, score = np.zeros(0, np.int64), np.zeros(0)
-        self.query[terms] = w
-        for b in order.tolist():
-            if bound[b] <= 0 or (len(found) == NEAREST and score[-1] > bound[b] + 1e-6):
-                break
-            a, z = held.start[b], held.start[b + 1]
-            product = self.query[held.terms[a:z]] * held.values[a:z]
-            more = np.bincount(held.lane[a:z], weights=product, minlength=BLOCK)
-            good = np.flatnonzero(more >= score[-1] if len(found) == NEAREST else more > 0)
-            if len(good):
-                found, score = np.append(found, good + b * BLOCK), np.append(score, more[good])
-                keep = np.lexsort((found, -score))[:NEAREST]
-                found, score = found[keep], score[keep]
-        self.query[terms] = 0
-        return found, score
+        return next(self.search([self.vector(terms, counts, more)]))
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The nearest of each of some vectors of unit length, in order."""
+        for i in range(0, len(queries), TOGETHER):
+            some, held = queries[i : i + TOGETHER], self.opened()
+            places = [held.place[terms] for terms, _ in some]
+            rows = np.zeros((len(some), held.dense.shape[1]), np.float32)
+            for row, place, (_, w) in zip(rows, places, some, strict=True):
+                row[place[place >= 0]] = w[place >= 0]
+            products = rows @ held.dense
+            for j, (place, (terms, w)) in enumerate(zip(places, some, strict=True)):
+                common, product = place >= 0, products[:, j].ravel()[: self.size]
+                yield self.chosen(held.summed(terms[~common], w[~common]), product, place[common], w[common])
+
+    def chosen(self, rare: np.ndarray, product: np.ndarray, common: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest, of all examples that are among them by single-precision products, give or take SLACK."""
+        near = rare + product
+        least = np.partition(near, -NEAREST)[-NEAREST] if len(near) > NEAREST else 0.0
+        found = np.flatnonzero((near > 0) & (near >= least - 2 * SLACK))
+        score = rare[found] + self.opened().met(common, w, found)
+        keep = np.lexsort((found, -score))[:NEAREST]
+        return found[keep], score[keep]
 
     def vote(self, found: np.ndarray, score: np.ndarray, without: tuple[int, float] = (-1, 0.0)) -> float:
         """Share of toxic rows among the nearest, weighted by 1 / (distance + 0.05), with the share of
@@ -222,20 +251,23 @@ class Index:
         w = w * np.log1p(n)
         return float(((w * share).sum() + self.prior) / (w.sum() + 1))
 
-    def votes(self, e: int) -> list[tuple[float, float, float]]:
-        """(vote as a logit, rows, label) of an example judged by the others, for each label it has."""
-        found, score = self.search(*self.example(e))
-        of = ((1.0, self.toxic[e]), (0.0, self.rows[e] - self.toxic[e]))
-        return [(logit(self.vote(found, score, (e, y))), float(n), y) for y, n in of if n]
-
-    def judged(self, terms, counts, curve: tuple[float, float], more: float = 0.0) -> tuple[float, list[int], list[float]]:
-        """(score, keys and cosines of the three nearest toxic examples)."""
-        if not len(terms):
-            return float(self.silent), [], []
-        found, score = self.nearest(terms, counts, more)
-        p = float(1 / (1 + np.exp(-(curve[0] * logit(self.vote(found, score)) + curve[1]))))
-        bad = np.flatnonzero(self.toxic[found] > 0)[:3]
-        return p, self.keys[found[bad]].tolist(), score[bad].astype(float).tolist()
+    def votes(self, examples: list[int]) -> Iterator[tuple[float, float, float]]:
+        """(vote as a logit, rows, label) of examples judged by the others, for each label they have."""
+        for e, (found, score) in zip(examples, self.search([self.example(e) for e in examples]), strict=True):
+            of = ((1.0, self.toxic[e]), (0.0, self.rows[e] - self.toxic[e]))
+            yield from ((logit(self.vote(found, score, (e, y))), float(n), y) for y, n in of if n)
+
+    def judged(self, queries: list[tuple], curve: tuple[float, float]) -> Iterator[tuple[float, list[int], list[float]]]:
+        """(score, keys and cosines of the three nearest toxic examples) of each (terms, counts, more)."""
+        nearest = self.search([self.vector(*q) for q in queries if len(q[0])])
+        for q in queries:
+            if not len(q[0]):
+                yield float(self.silent), [], []
+                continue
+            found, score = next(nearest)
+            p = float(1 / (1 + np.exp(-(curve[0] * logit(self.vote(found, score)) + curve[1]))))
+            bad = np.flatnonzero(self.toxic[found] > 0)[:3]
+            yield p, self.keys[found[bad]].tolist(), score[bad].astype(float).tolist()
 
 
 def logit(p: float) -> float:
@@ -307,9 +339,9 @@ def scored(
         yield pa.RecordBatch.from_pydict({"t": pa.array(used, pa.int32()), "n": counts[used]})
 
     df = np.zeros(size + 1)
-    frequencies = own.select(text).mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n"))
-    for t, n in frequencies.collect():  # the examples' terms, and the number of rows
-        df[t] = n
+    frequencies = own.select(text).mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    told = frequencies.toArrow()  # the examples' terms, and the number of rows
+    df[told["t"].to_numpy()] = told["n"].to_numpy()
     idf = (np.log((df[size] + 1) / (df[:size] + 1)) + 1) * factor
     rare = float(np.log(df[size] + 1) + 1)  # of a word no example has
 
@@ -330,7 +362,7 @@ def scored(
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
-            found = [v for e in batch.column("id").to_pylist() for v in own.votes(e)]
+            found = list(own.votes(batch.column("id").to_pylist()))
             yield pa.RecordBatch.from_pydict({c: pa.array([v[i] for v in found], pa.float64()) for i, c in enumerate("xny")})
 
     # Examples lie in the order of their likeness, so neighbours are dealt to different tasks.
@@ -341,16 +373,16 @@ def scored(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = index.value, {}
         for batch in sliced(batches, text):
-            out = []
-            for text_of in strings(batch, text):
-                t, c, other = hits(text_of)
-                vector = (t.tobytes(), c.tobytes(), other.tobytes())
-                if vector not in seen:
-                    if len(seen) > 10_000:
-                        seen.clear()
-                    w = (1 + np.log(other)) * rare
-                    seen[vector] = own.judged(t, c, curve, float((w * w).sum()))
-                out.append(seen[vector])
+            names, new = [], {}
+            if len(seen) > 10_000:
+                seen.clear()
+            for t, c, other in map(hits, strings(batch, text)):
+                w = (1 + np.log(other)) * rare
+                names.append((t.tobytes(), c.tobytes(), other.tobytes()))
+                if names[-1] not in seen:
+                    new[names[-1]] = t, c, float((w * w).sum())
+            seen.update(zip(new, own.judged(list(new.values()), curve), strict=True))
+            out = [seen[name] for name in names]
             yield pa.RecordBatch.from_pydict({
                 key: batch.column(key), "score": pa.array([o[0] for o in out], pa.float64()),
                 "evidence": pa.array([o[1] for o in out], pa.list_(pa.int64())),
