@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +28,13 @@ from fxtape.shared import published
 
 COUNTERS = 18  # bits: the table of counters has 262,144 entries whatever the corpus
 COLUMNS = 4096  # of a dense part of a product
+SLICE = 1 << 19  # bytes of text handled at once: a slice takes some 60 times that in arrays and sets
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """(slice, its n-gram sets) of some texts."""
+    for batch in sliced(batches, text, SLICE):
+        yield batch, Words(strings(batch, text), SLICE).shingles(size)
 
 
 def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
@@ -47,8 +53,7 @@ def counters(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTERS, np.int64)
-        for batch in sliced(batches, text):
-            sets = Words(strings(batch, text)).shingles(size)
+        for _, sets in slices(batches, text, size):
             if sets:
                 slot = (np.concatenate(sets) >> np.uint64(64 - COUNTERS)).astype(np.int64)
                 total += np.bincount(slot, minlength=1 << COUNTERS)
@@ -67,8 +72,7 @@ def prefixes(docs: DataFrame, key: str, text: str, size: int, percent: int) -> D
     weight = docs.sparkSession.sparkContext.broadcast(counters(docs, text, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text):
-            sets = Words(strings(batch, text)).shingles(size)
+        for batch, sets in slices(batches, text, size):
             identity, chosen = [], []
             for s in sets:
                 slot = (s >> np.uint64(64 - COUNTERS)).astype(np.int64)
@@ -169,8 +173,7 @@ def links(docs: DataFrame, grouped: DataFrame, key: str, text: str, size: int, p
     )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
-            sets = Words(strings(batch, "text")).shingles(size)
+        for batch, sets in slices(batches, "text", size):
             n = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "cluster": batch.column("cluster"), "n": n})
 
@@ -187,14 +190,14 @@ def links(docs: DataFrame, grouped: DataFrame, key: str, text: str, size: int, p
     sides = pairs.select("cluster", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
     dealt = rows.drop("cluster").join(placed.join(sides, ["cluster", "block"]).drop("n").hint("merge"), "node")
 
-    def multiply(keys: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    def multiply(keys: tuple, part: pa.Table) -> pa.Table:
         node, at = part["node"].to_numpy(), part["block"].to_numpy()
-        sets = [s for t in part["text"] for s in Words([t or ""]).shingles(size)]
-        left, right = np.flatnonzero(at == keys[1]), np.flatnonzero(at == keys[2])
-        found = product(sets, left, right, percent)
-        return pd.DataFrame({"a": [node[x] for x, _ in found], "b": [node[y] for _, y in found]}, dtype="int64")
+        sets = [s for _, some in slices(part.select(["text"]).to_batches(), "text", size) for s in some]
+        left, right = (np.flatnonzero(at == k.as_py()) for k in keys[1:])
+        found = np.array(product(sets, left, right, percent), np.int64).reshape(-1, 2)
+        return pa.table({"a": node[found[:, 0]], "b": node[found[:, 1]]})
 
-    return dealt.groupBy("cluster", "i", "j").applyInPandas(multiply, "a long, b long")
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(multiply, "a long, b long")
 
 
 def joined(

@@ -92,19 +92,21 @@ class Words:
     """The words of some texts: 64-bit hashes in order, and where each text's words begin and end.
 
     A word is a run of bytes other than space and the controls 9 to 13, with A-Z lower-cased. Its hash
-    is a polynomial over random byte values, taken for all words at once from running sums.
+    is a polynomial over random byte values, taken for all words at once from running sums; it does not
+    depend on ``most``, the bytes of text that a caller usually hands over at once.
     """
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], most: int = SLICE_BYTES):
         parts = [t.encode() for t in texts]
         ends = np.cumsum([len(p) + 1 for p in parts]) if parts else np.zeros(0, np.int64)
         raw = np.frombuffer((b"\n".join(parts) + b"\n").lower(), np.uint8)
         space = IS_SPACE[raw]
         edge = np.flatnonzero(np.diff(space.view(np.int8), prepend=np.int8(1), append=np.int8(1)))
         self.start, self.stop = edge[::2], edge[1::2]
-        up, down = powers(len(raw) + 1)
+        up, down = powers(len(raw) + 1, most)
         total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[raw] * up[: len(raw)], out=total[1:])
+        np.multiply(BYTE_VALUES[raw], up[: len(raw)], out=total[1:])
+        np.cumsum(total[1:], out=total[1:])
         value = (total[self.stop] - total[self.start]) * down[self.start]
         self.hash = mixed(value + (self.stop - self.start).astype(np.uint64))
         self.last = np.searchsorted(self.start, ends)
