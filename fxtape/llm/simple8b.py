@@ -7,6 +7,7 @@ selector 0 and the id follows, whole, after the block's last data word.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fxtape.llm.texts import PieceCache, sliced, strings
+from fxtape.llm.texts import LETTER_PIECES, PIECES, PieceCache, sliced, strings
 from fxtape.shared import new_folder
 
 BLOCK = 1024
@@ -122,6 +123,13 @@ def unpacked(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, n: int
     return np.ascontiguousarray(ids.reshape(-1, room)[:, :BLOCK]).ravel()[:n]
 
 
+def gpt2_pattern(model: bytes) -> bool:
+    """Whether a tokenizer cuts texts by GPT-2's pattern, and by nothing before it."""
+    told = json.loads(model)
+    cuts = told.get("pre_tokenizer") or {}
+    return cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts.get("add_prefix_space") and not told.get("normalizer")
+
+
 def tokenizer_pieces(model: bytes) -> PieceCache:
     """A cache over a tokenizer of the ``tokenizers`` library; special tokens are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -135,19 +143,19 @@ def tokenizer_pieces(model: bytes) -> PieceCache:
     cut = tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
     def encode(pieces: list[str]) -> list[bytes]:
-        blank = {p: np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+        known = {p: np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
                  for p in pieces if p.isspace()}
-        shown = [p for p in pieces if p not in blank]
+        shown = [p for p in pieces if p not in known]
         lines = [shown[i : i + LINE] for i in range(0, len(shown), LINE)]
         found = tokenizer.encode_batch_fast(["\n".join(x) for x in lines], add_special_tokens=False)
         for line, e in zip(lines, found, strict=True):
             ids = np.array(e.ids, "<u4")
             ends = np.append(np.flatnonzero(ids == cut), len(ids))
-            begins = np.append(0, ends[:-1] + 1)
-            blank |= {p: ids[a:b].tobytes() for p, a, b in zip(line, begins, ends, strict=True)}
-        return [blank[p] for p in pieces]
+            begins, raw = np.append(0, ends[:-1] + 1), ids.tobytes()
+            known.update(zip(line, [raw[a:b] for a, b in zip((4 * begins).tolist(), (4 * ends).tolist())], strict=True))
+        return [known[p] for p in pieces]
 
-    return PieceCache(encode)
+    return PieceCache(encode, LETTER_PIECES if gpt2_pattern(model) else PIECES)
 
 
 _CACHES: dict[int, PieceCache] = {}

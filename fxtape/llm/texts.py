@@ -18,6 +18,9 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Cuts only where every byte-level pattern cuts: before a space that a visible character follows,
 # and around other white space. A piece is tokenized alone, so equal pieces are tokenized once.
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+# Cuts where GPT-2's pattern cuts as well: behind a run of A-Z from a cut on, if another ASCII character
+# follows. Words with and without a comma are one piece then; a run that may go on in other letters stays whole.
+LETTER_PIECES = re.compile(r" ?[A-Za-z]++(?![^\x00-\x7F])|" + PIECES.pattern)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -41,14 +44,14 @@ def strings(batch: pa.RecordBatch, text: str) -> list[str]:
 class PieceCache:
     """Ids of pieces as little-endian 32-bit bytes, kept while a Python worker lives and bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.known = encode, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], cuts: re.Pattern = PIECES):
+        self.encode, self.cuts, self.known = encode, cuts, {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        cut = [PIECES.findall(t) for t in texts]
+        cut = [self.cuts.findall(t) for t in texts]
         known = self.known
         new = list(set().union(*cut).difference(known))
         if new:
