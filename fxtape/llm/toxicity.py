@@ -35,6 +35,8 @@ TOGETHER = 64  # queries that meet the dense lists at once
 LANES = 16  # examples in a matrix of the dense lists; products this small stay on the task's own core
 SLACK = 1e-5  # error of a cosine in single precision, at most
 WORD = re.compile(r"[^\W_]+")
+SPACED = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))  # ASCII bytes of no word are spaces
+OTHER = re.compile(r"[^\w\x00-\x7F]")  # a character of no word that is not ASCII
 
 
 def words(text: str) -> list[str]:
@@ -42,6 +44,26 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def counted(text: str) -> Counter[bytes]:
+    """The words of a text in UTF-8 with their counts; where only ASCII characters part words, bytes tell them."""
+    low = text.lower()
+    if low.isascii() or not OTHER.search(low):
+        return Counter(low.encode().translate(SPACED).split())
+    return Counter(w.encode() for w in WORD.findall(low))
+
+
+def packed(terms: np.ndarray, counts: np.ndarray, others: np.ndarray) -> bytes:
+    """Rising terms, their counts and the counts of other words; equal bytes of the values stand together."""
+    whole = np.concatenate([np.diff(terms, prepend=np.int32(0)), counts, others]).astype("<i4")
+    return len(terms).to_bytes(4, "little") + whole.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(hits: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(hits[:4], "little")
+    whole = np.ascontiguousarray(np.frombuffer(hits, np.uint8, offset=4).reshape(4, -1).T).view("<i4").ravel()
+    return np.cumsum(whole[:n]), whole[n : 2 * n], whole[2 * n :]
+
+
 def examples(labels: DataFrame, key: str, label: str, parts: int, held: int, most: int) -> DataFrame:
     """(key, y) of the rows learned from: at most ``most``, with crc32(key as text) mod parts not held."""
     own = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias(key))
@@ -74,7 +96,7 @@ class Terms:
     def __len__(self) -> int:
         return len(self.hash)
 
-    def find(self, some: list[str]) -> np.ndarray:
+    def find(self, some: list[str] | list[bytes]) -> np.ndarray:
         """The number of each word, -1 for others."""
         if not len(self.hash):
             return np.full(len(some), -1, np.int32)
@@ -83,7 +105,7 @@ class Terms:
         return np.where(self.hash[at] == h, self.number[at], np.int32(-1))
 
 
-def hashed(terms: list[str]) -> np.ndarray:
+def hashed(terms: list[str] | list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(t) for t in terms), np.uint64, len(terms))
 
 
@@ -121,7 +143,7 @@ class Weights:
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], width: int):
         self.width = width
-        self.terms = np.concatenate([np.zeros(0, np.int32), *[t.astype(np.int32) for t, _ in vectors]])
+        self.terms = np.concatenate([np.zeros(0, np.int32), *[t.astype(np.int32, copy=False) for t, _ in vectors]])
         self.values = np.concatenate([np.zeros(0, np.float32), *[w for _, w in vectors]])
         self.first = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
 
@@ -153,7 +175,7 @@ class Lists:
         self.dense[row[common] // LANES, at[common], row[common] % LANES] = held.values[common]
         left = np.flatnonzero(at < 0)
         left = left[np.argsort(held.terms[left], kind="stable")]
-        self.row, self.values = row[left], held.values[left]
+        self.row, self.values = row[left].astype(np.intp), held.values[left]
         length[some] = 0
         self.begin = np.concatenate([[0], np.cumsum(length)])
 
@@ -161,8 +183,11 @@ class Lists:
         """Products of all examples with these terms, none of them dense."""
         begin = self.begin[terms]
         n = self.begin[terms + 1] - begin
-        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.row[at], weights=self.values[at] * np.repeat(w, n), minlength=self.width)
+        at = np.repeat(begin - (np.cumsum(n) - n), n)
+        at += np.arange(len(at))
+        values = self.values.take(at)
+        values *= np.repeat(w, n)
+        return np.bincount(self.row.take(at), weights=values, minlength=self.width)
 
     def met(self, common: np.ndarray, w: np.ndarray, some: np.ndarray) -> np.ndarray:
         """Products of some examples with dense terms, in double precision."""
@@ -188,6 +213,7 @@ class Index:
         self.prior = (toxic + 1) / (total + 2)
         self.silent = (zero[1] + self.prior) / (zero[0] + 1)  # of texts without a term
         found = [merged[name] for name in sorted(merged)]
+        del merged
         self.size = len(found)
         self.rows, self.toxic, self.keys = np.zeros(self.size), np.zeros(self.size), np.zeros(self.size, np.int64)
         for e, (n, y, key, _, _) in enumerate(found):
@@ -200,7 +226,7 @@ class Index:
 
     def vector(self, terms, counts, more: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """Weights of unit length; ``more`` is the squared weight of words that are no terms."""
-        terms = np.asarray(terms, np.int64)
+        terms = np.asarray(terms, np.int32)
         w = (1 + np.log(np.asarray(counts, np.float64))) * self.idf[terms]
         return terms, (w / np.sqrt((w * w).sum() + more)).astype(np.float32)
 
@@ -304,7 +330,7 @@ def scored(
     Labels are learned from rows of ``labels`` whose crc32(key as text) modulo ``parts`` is not
     ``held``, at most ``most`` of them; a text, and nothing else of a row, makes its score. Document
     frequencies are counted over all rows; a word no example has counts in a text's norm like one that no
-    text has. Texts are read twice, for frequencies and for scores, and no vector of them is stored. The index of at most ``most`` examples over all their words is
+    text has. Texts are read once; their term counts are stored, for frequencies and for scores. The index of at most ``most`` examples over all their words is
     broadcast; every row is searched exactly, with no limit on its length.
 
     A text without a word of the examples, a null or an empty one gets the share of toxic ones among such examples.
@@ -321,7 +347,7 @@ def scored(
 
     def hits(t: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Terms in order, their counts, and the counts of words no example has."""
-        found = Counter(words(t))
+        found = counted(t)
         at, counts = number.value.find(list(found)), np.fromiter(found.values(), np.int32, len(found))
         known = at >= 0
         order = np.argsort(at[known])
@@ -329,17 +355,24 @@ def scored(
 
     size = len(terms)
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, text):
+            found = pa.array([packed(*hits(t)) for t in strings(batch, text)], pa.binary())
+            yield pa.RecordBatch.from_pydict({key: batch.column(key), "hits": found})
+
+    stored = published(own.mapInArrow(read, f"{key} long, hits binary"), "hits")
+
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size + 1, np.int64)
-        for batch in sliced(batches, text):
-            for t in strings(batch, text):
-                counts[hits(t)[0]] += 1
+        for batch in sliced(batches, "hits"):
+            for b in batch.column("hits").to_pylist():
+                counts[unpacked(b)[0]] += 1
                 counts[size] += 1
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"t": pa.array(used, pa.int32()), "n": counts[used]})
 
     df = np.zeros(size + 1)
-    frequencies = own.select(text).mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    frequencies = stored.select("hits").mapInArrow(summed, "t int, n long").groupBy("t").agg(F.sum("n").alias("n"))
     told = frequencies.toArrow()  # the examples' terms, and the number of rows
     df[told["t"].to_numpy()] = told["n"].to_numpy()
     idf = (np.log((df[size] + 1) / (df[:size] + 1)) + 1) * factor
@@ -357,6 +390,7 @@ def scored(
     known = rows.select(F.col(key).alias("key"), F.col("y").cast("long").alias("y"), text)
     known = known.mapInArrow(taken, "key long, y long, terms array<int>, counts array<int>").distinct()
     made = Index(known.toArrow().to_pandas(), idf)  # of the bounded examples
+    pa.default_memory_pool().release_unused()  # what the collected rows took
     index = spark.sparkContext.broadcast(made)
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,15 +406,15 @@ def scored(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = index.value, {}
-        for batch in sliced(batches, text):
-            names, new = [], {}
+        for batch in sliced(batches, "hits"):
+            names, new = batch.column("hits").to_pylist(), {}
             if len(seen) > 10_000:
                 seen.clear()
-            for t, c, other in map(hits, strings(batch, text)):
-                w = (1 + np.log(other)) * rare
-                names.append((t.tobytes(), c.tobytes(), other.tobytes()))
-                if names[-1] not in seen:
-                    new[names[-1]] = t, c, float((w * w).sum())
+            for name in names:
+                if name not in seen and name not in new:
+                    t, c, other = unpacked(name)
+                    w = (1 + np.log(other)) * rare
+                    new[name] = t, c, float((w * w).sum())
             seen.update(zip(new, own.judged(list(new.values()), curve), strict=True))
             out = [seen[name] for name in names]
             yield pa.RecordBatch.from_pydict({
@@ -389,7 +423,7 @@ def scored(
                 "cosines": pa.array([o[2] for o in out], pa.list_(pa.float64())),
             })
 
-    judged = own.mapInArrow(judge, f"{key} long, score double, evidence array<bigint>, cosines array<double>")
+    judged = stored.mapInArrow(judge, f"{key} long, score double, evidence array<bigint>, cosines array<double>")
     name = F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")
     return judged.select(
         key, (F.crc32(name) % parts == held).alias("held_out"), "score",
