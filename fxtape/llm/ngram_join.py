@@ -4,8 +4,10 @@ document-by-n-gram matrix that drops pairs below bounds derived from the sizes.
 1. Columns are ordered from rare to common by a fixed-size table of counters. A document's prefix is
    its first n-grams in that order. A pair at the threshold shares at least ``need`` of them, so rows
    meet only in prefix columns, and their accumulated overlap is held against that bound.
-2. Columns of more than ``wide`` documents are not paired off: their documents are put in one cluster.
-   So are pairs that pass the bound.
+2. Columns of more than ``wide`` documents are not paired off. A pair may share as many of them as either
+   document has: so much less is asked of its other columns, and pairs that pass are put in one cluster.
+   Documents with enough wide columns to pass by these alone are put in one cluster with all such
+   documents of the column.
 3. Inside a cluster the whole rows are multiplied in blocks of ``block`` documents, ordered by size;
    pairs of blocks whose sizes cannot reach the threshold are left out. A product returns a spanning
    forest of its linked pairs.
@@ -98,28 +100,32 @@ def clusters(prefixed: DataFrame, percent: int, wide: int) -> DataFrame:
         .groupBy("identity").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     )
     entries = sets.select("node", "n", F.explode("prefix").alias("g"))
-    column = Window.partitionBy("g")
+    column, row = Window.partitionBy("g"), Window.partitionBy("node")
     shared = published(
-        entries.withColumns({"m": F.count("*").over(column), "lead": F.min("node").over(column)}).where("m > 1"),
+        entries.withColumn("m", F.count("*").over(column)).where("m > 1")
+        .withColumn("crowded", F.sum((F.col("m") > wide).cast("int")).over(row)),
         "columns",
     )
     narrow = shared.where(F.col("m") <= wide)
-    x, y = narrow.alias("x"), narrow.select("g", "node", "n").alias("y")
+    x, y = narrow.alias("x"), narrow.select("g", "node", "n", "crowded").alias("y")
     fits = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
     met = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.node") < F.col("y.node")) & fits)
 
-    def need(n: str) -> Column:
-        """``prefix_sizes(n)[1]`` as an expression."""
-        size = F.col(n)
+    def need(size: Column) -> Column:
+        """``prefix_sizes(size)[1]`` as an expression."""
         missing = size - F.ceil(size * percent / 100)
         return F.least(size - missing, F.floor(size / 20) + 1)
 
+    # What a pair lacks may lie in wide columns, of which it shares no more than either document has.
+    lacking = F.least(need(F.col("x.n")), need(F.col("y.n"))) - F.least("x.crowded", "y.crowded")
     close = (
-        met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least(need("x.n"), need("y.n")).cast("int").alias("need"))
+        met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), lacking.cast("int").alias("need"))
         .groupBy("a", "b", "need").agg(F.count("*").alias("overlap")).where("overlap >= need")
     )
-    hot = shared.where((F.col("m") > wide) & (F.col("node") != F.col("lead")))
-    edges = close.select("a", "b").union(hot.select("lead", "node"))
+    # Only a document that has enough of them for its smallest partner can be linked by wide columns alone.
+    alone = F.col("crowded") >= need(F.ceil(F.col("n") * percent / 100))
+    hot = shared.where((F.col("m") > wide) & alone).select("node", F.min("node").over(column).alias("lead"))
+    edges = close.select("a", "b").union(hot.where("node != lead").select("lead", "node"))
     return components(edges).withColumnRenamed("component", "cluster")
 
 
