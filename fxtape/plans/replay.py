@@ -73,8 +73,11 @@ def replay_and_publish(
     written = ingest.write_replay(as_messages(events, f"market.{run_id.lower()}"), source, files)
     stream = ingest.replay_stream(spark, source, max(files_per_trigger, ingest.batch_files(spark, written)))
     metrics = published(ingest.run_once(stream, paths, events.count(), symbols), "run_metrics")
-    stored = rows.dedup_run_events(ingest.sink_rows(spark, paths)).select(*MARKET_EVENT.names)
-    captured = published(decode_envelope(ingest.raw_rows(spark, paths), symbols), "captured")
+    # Both are read several times: stored once, with the fields that are compared and no message beside them.
+    stored = published(rows.dedup_run_events(ingest.sink_rows(spark, paths)).select(*MARKET_EVENT.names), "stored")
+    captured = published(
+        decode_envelope(ingest.raw_rows(spark, paths), symbols).select(*MARKET_EVENT.names, "error"), "captured"
+    )
     partition, cluster = writers.MARKET_LAYOUT
     gate = publish_checked(captured, stored, metrics, table, run_id, partition, cluster)
     writers.write_manifest(

@@ -171,13 +171,16 @@ def append_events(batch: DataFrame, batch_id: int, path: str, run_id: str | None
 
 
 def capture_raw(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Store the messages of a micro-batch as envelopes, before anything else is done with them."""
+    """Store the messages of a micro-batch as envelopes, before anything else is done with them.
+
+    The files are gzipped, as they take several times an event otherwise; a task reads one file whole.
+    """
     batch.select(
         F.base64("value").alias("value_base64"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").cast("long").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-    ).write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
+    ).write.mode("overwrite").option("compression", "gzip").json(f"{path}/batch_id={batch_id}")
 
 
 def write_invalid(batch: DataFrame, batch_id: int, path: str) -> None:

@@ -95,7 +95,8 @@ def capture_then_process(
     The batch is decoded once, from the capture just written: the source is read once and the
     message is on disk before it is interpreted, so a lost executor costs a re-read of the
     capture. Every folder is named by the batch, so a batch
-    that is tried again after a failure overwrites its own output.
+    that is tried again after a failure overwrites its own output. What was decoded goes when the
+    batch's events and dead letters are stored.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -119,6 +120,7 @@ def capture_then_process(
         stamped = valid.withColumns({"consumer_received_at": received, "sink_requested_at": received})
         writers.append_events(stamped, batch_id, paths.valid, paths.run_id)
         writers.write_invalid(invalid.drop("key", "timestamp"), batch_id, paths.invalid)
+        versions.remove(spark, folder)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", paths.checkpoint)
     if available_now:
